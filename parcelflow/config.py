@@ -9,7 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from parcelflow.sources import schemas
 
@@ -140,8 +143,16 @@ class Rules:
         return tuple(w.anomaly_id for w in self.windows)
 
 
-def _frame(spark: SparkSession, records, schema) -> DataFrame:
-    return spark.createDataFrame([tuple(getattr(r, c) for c in schema.names) for r in records], schema)
+def local_table(spark: SparkSession, rows, schema: StructType | str) -> DataFrame:
+    """A small in-memory table. By way of Arrow it becomes a local relation of known size, which Spark
+    broadcasts by its own check; rows given directly would be an RDD of unknown size."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.names)}
+    return spark.createDataFrame(pa.Table.from_pydict(columns, schema=to_arrow_schema(schema)), schema)
+
+
+def _frame(spark: SparkSession, records, schema: StructType) -> DataFrame:
+    return local_table(spark, [tuple(getattr(r, c) for c in schema.names) for r in records], schema)
 
 
 def warehouses_df(spark: SparkSession, warehouses=WAREHOUSES) -> DataFrame:
@@ -162,19 +173,19 @@ def windows_df(spark: SparkSession, windows=ANOMALY_WINDOWS) -> DataFrame:
 
 def label_metrics_df(spark: SparkSession, metrics=None) -> DataFrame:
     rows = list((VALIDATION_METRICS if metrics is None else metrics).items())
-    return spark.createDataFrame(rows, "anomaly_id string, validation_metric string")
+    return local_table(spark, rows, "anomaly_id string, validation_metric string")
 
 
 def warehouse_names(spark: SparkSession, warehouses=WAREHOUSES) -> DataFrame:
     """`warehouse_id, warehouse_name` of the configured warehouses: an in-memory dimension."""
     rows = [(w.warehouse_id, w.warehouse_name) for w in warehouses]
-    return spark.createDataFrame(rows, "warehouse_id string, warehouse_name string")
+    return local_table(spark, rows, "warehouse_id string, warehouse_name string")
 
 
 def carrier_names(spark: SparkSession, carriers=CARRIERS) -> DataFrame:
     """`carrier_id, carrier_name` of the configured carriers: an in-memory dimension."""
     rows = [(c.carrier_id, c.carrier_name) for c in carriers]
-    return spark.createDataFrame(rows, "carrier_id string, carrier_name string")
+    return local_table(spark, rows, "carrier_id string, carrier_name string")
 
 
 def _records(df: DataFrame, cls, max_records: int):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.config import local_table
+
 
 def unique_lookup(df: DataFrame, key: str, value: str) -> DataFrame:
     """One value per key, so that a left join on it never multiplies rows.
@@ -25,4 +27,4 @@ def bounded_lookup(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return local_table(df.sparkSession, rows, df.schema)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow import config
-from parcelflow.functions.lookups import unique_lookup
+from parcelflow.functions.lookups import bounded_lookup, unique_lookup
 from parcelflow.functions.scalars import days_between, hash_unit, is_blank, pick_weighted
 
 ORDER_DATE = F.col("order_purchase_timestamp").cast("date")
@@ -60,8 +60,11 @@ def warehouse_routing(warehouses: DataFrame, overrides: DataFrame) -> DataFrame:
 
 
 def route_warehouse(orders: DataFrame, routing: DataFrame, default: tuple[str, str]) -> DataFrame:
-    """Add the warehouse of `customer_state`; an unknown state goes to the default warehouse."""
-    routed = orders.join(routing, "customer_state", "left")
+    """Add the warehouse of `customer_state`; an unknown state goes to the default warehouse.
+
+    The routing table is held in memory if it is small, so that orders are not shuffled by a few states.
+    """
+    routed = orders.join(bounded_lookup(routing), "customer_state", "left")
     return routed.withColumns(
         {
             "warehouse_id": F.coalesce("warehouse_id", F.lit(default[0])),
@@ -102,13 +105,14 @@ def assign_carrier(orders: DataFrame, carriers, salt: str = "c") -> DataFrame:
 # --- category and SLA tier -------------------------------------------------------------------------
 
 
-def order_category(items: DataFrame, products: DataFrame) -> DataFrame:
+def order_category(items: DataFrame, products: DataFrame, unique_products: bool = False) -> DataFrame:
     """Most frequent non-blank category per order, ties by name; orders without one are absent.
 
     `mode` combines on the map side into one small count map per order, so a single shuffle by order id
-    does and copies of a hot order or product collapse before it.
+    does and copies of a hot order or product collapse before it. `unique_products` skips the removal of
+    repeated product ids.
     """
-    known = unique_lookup(products, "product_id", "product_category_name")
+    known = products if unique_products else unique_lookup(products, "product_id", "product_category_name")
     known = known.where(~is_blank(F.col("product_category_name")))
     return (
         items.join(known, "product_id")
@@ -247,8 +251,13 @@ def draw_issue(orders: DataFrame, rules: config.Rules, salt: str = "i", type_sal
 # --- the whole row ---------------------------------------------------------------------------------
 
 
-def with_customer_state(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    return orders.join(unique_lookup(customers, "customer_id", "customer_state"), "customer_id", "left")
+def with_customer_state(orders: DataFrame, customers: DataFrame, unique_customers: bool = False) -> DataFrame:
+    """Add the state of the customer. The orders side of the join may be split where one customer is hot.
+
+    `unique_customers` skips the removal of repeated customer ids.
+    """
+    states = customers if unique_customers else unique_lookup(customers, "customer_id", "customer_state")
+    return orders.join(states.select("customer_id", "customer_state"), "customer_id", "left")
 
 
 def enrich_orders(
@@ -260,16 +269,18 @@ def enrich_orders(
     routing: DataFrame,
     rules: config.Rules = config.Rules(),
     months: int | None = config.WINDOW_MONTHS,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """One wide row per order with everything the assignment tables hold.
 
     `months=None` keeps the whole history instead of the last complete months; orders without a purchase
-    time are dropped in both cases.
+    time are dropped in both cases. `unique_keys` states that customer and product ids are known to be
+    unique (`quality.duplicates` tells), which saves two aggregations.
     """
     kept = in_recent_months(orders, months) if months else orders.where(F.col("order_purchase_timestamp").isNotNull())
-    routed = route_warehouse(with_customer_state(kept, customers), routing, rules.default_warehouse)
+    routed = route_warehouse(with_customer_state(kept, customers, unique_keys), routing, rules.default_warehouse)
     with_carrier = assign_carrier(routed, rules.carriers)
-    joined = with_carrier.join(order_category(items, products), "order_id", "left").join(worst_review(reviews), "order_id", "left")
+    joined = with_carrier.join(order_category(items, products, unique_keys), "order_id", "left").join(worst_review(reviews), "order_id", "left")
     tiered = assign_sla(joined.withColumn("category_name", F.coalesce("category_name", F.lit(config.UNKNOWN_CATEGORY))), rules)
     issued = draw_issue(score_risk(tag_window(tiered, rules.windows), rules), rules)
     return issued.withColumns(

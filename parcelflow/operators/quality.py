@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from parcelflow.config import local_table
 from parcelflow.functions.scalars import is_blank
 
 
@@ -57,7 +58,7 @@ def unaccepted_values(df: DataFrame, column: str, accepted: Iterable[str]) -> Da
 
 def missing_values(df: DataFrame, column: str, required: Iterable[str]) -> DataFrame:
     """Required values that do not occur."""
-    wanted = df.sparkSession.createDataFrame([(v,) for v in required], "value string")
+    wanted = local_table(df.sparkSession, [(v,) for v in required], "value string")
     present = df.where(F.col(column).isin(*required)).select(F.col(column).alias("value")).distinct()
     return wanted.join(present, "value", "left_anti")
 

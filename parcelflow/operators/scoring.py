@@ -85,16 +85,34 @@ def labelled_segment(flag_counts: DataFrame, labels=tuple(config.VALIDATION_METR
     )
 
 
+def _deviation(values: Column) -> Column:
+    """Sample deviation of a short array, value by value in order; NULL below two values.
+
+    `F.stddev_samp` sums the same squares in another way. Few shipments give round rates, so a z-score
+    can lie exactly on the threshold, and there the last digit decides.
+    """
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+
+    def add(state: Column, value: Column) -> Column:
+        n = state["n"] + 1.0
+        mean = state["mean"] + (value - state["mean"]) / n
+        squares = state["squares"] + (value - mean) * (value - state["mean"])
+        return F.struct(n.alias("n"), mean.alias("mean"), squares.alias("squares"))
+
+    return F.aggregate(values, start, add, lambda s: F.when(s["n"] > 1, F.sqrt(s["squares"] / (s["n"] - 1.0))))
+
+
 def with_sla_baseline(segments: DataFrame, weeks: int = 4) -> DataFrame:
     """Mean, deviation and number of the `weeks` previous present weeks of the same segment."""
     prior = Window.partitionBy("warehouse_id", "carrier_id").orderBy("week_start_date").rowsBetween(-weeks, -1)
-    return segments.withColumns(
+    framed = segments.withColumns(
         {
             "prior_week_count": F.count("sla_breach_rate").over(prior),
             "sla_mean": F.avg("sla_breach_rate").over(prior),
-            "sla_std": F.stddev_samp("sla_breach_rate").over(prior),
+            "prior_rates": F.collect_list("sla_breach_rate").over(prior),
         }
     )
+    return framed.withColumn("sla_std", _deviation(F.col("prior_rates"))).drop("prior_rates")
 
 
 def with_damaged_baseline(segments: DataFrame) -> DataFrame:

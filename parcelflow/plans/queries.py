@@ -8,7 +8,7 @@ segment-week.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ class Lazy:
         s = self.source
         return enrich.enrich_orders(
             s["raw_orders"], s["raw_customers"], s["raw_order_items"], s["raw_products"], s["raw_reviews"],
-            self.routing, self.rules, months,
+            self.routing, self.rules, months, unique_keys=True,
         )
 
     @cached_property
@@ -110,9 +110,17 @@ class Lazy:
         return exports.shipments(self.fact, *self.names)
 
 
+@lru_cache(maxsize=4)
+def _lazy(spark: SparkSession, application_id: str, sf_dir: str) -> Lazy:
+    return Lazy(spark, sf_dir)
+
+
 def query(fn: Callable[[Lazy], DataFrame]):
-    """Register a function of the lazy frames under its own name."""
-    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Lazy(spark, sf_dir))
+    """Register a function of the lazy frames under its own name.
+
+    Queries of one session share the frames, that is the analysed plans; no data is kept.
+    """
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(_lazy(spark, spark.sparkContext.applicationId, sf_dir))
     return fn
 
 
@@ -419,7 +427,7 @@ def dq_required_values(t):
 
 @query
 def dq_detection_outcome(t):
-    expected = t.label_metrics.unionByName(t.spark.createDataFrame([("ANOM_ABSENT", scoring.SLA_METRIC)], t.label_metrics.schema))
+    expected = t.label_metrics.unionByName(config.label_metrics_df(t.spark, {"ANOM_ABSENT": scoring.SLA_METRIC}))
     return quality.missed_labels(t.summary, expected)
 
 
@@ -594,7 +602,7 @@ def enrich_carrier_assignment(t):
 
 @query
 def enrich_order_category(t):
-    return enrich.order_category(t.source["raw_order_items"], t.source["raw_products"])
+    return enrich.order_category(t.source["raw_order_items"], t.source["raw_products"], unique_products=True)
 
 
 @query

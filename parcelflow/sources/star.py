@@ -102,7 +102,7 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def warehouses(spark: SparkSession, nation: DataFrame) -> DataFrame:
     """The warehouse config, with the nations of each region as its assigned states."""
-    regions = spark.createDataFrame(list(REGION_WAREHOUSES.items()), "n_regionkey int, warehouse_id string")
+    regions = config.local_table(spark, list(REGION_WAREHOUSES.items()), "n_regionkey int, warehouse_id string")
     states = (
         nation.join(regions, "n_regionkey")
         .groupBy("warehouse_id")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from parcelflow.config import local_table
 from parcelflow.functions.scalars import blank_to_null
 from parcelflow.sources import schemas
 
@@ -82,7 +83,7 @@ def load_bronze(
     for name, path in paths.items():
         df = read_csv(spark, path, schema_of[name], multi_line=name in multi_line)
         counts.append((name, write_table(df, f"{out_dir}/{name}")))
-    return spark.createDataFrame(counts, "table_name string, row_count bigint")
+    return local_table(spark, counts, "table_name string, row_count bigint")
 
 
 def read_config(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

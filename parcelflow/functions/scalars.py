@@ -81,7 +81,8 @@ def has_member(joined: Column, member: str | Column, separator: str = ";") -> Co
 
 
 def as_percent_text(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f%%", round_scaled(value * 100.0, 2)), F.lit("n/a"))
+    text = F.format_string("%.2f%%", round_scaled(value * 100.0, 2))
+    return F.when(value.isNotNull(), text).otherwise("n/a")
 
 
 def as_count_text(value: Column) -> Column:
@@ -89,4 +90,5 @@ def as_count_text(value: Column) -> Column:
 
 
 def as_decimal_text(value: Column, digits: int = 4) -> Column:
-    return F.coalesce(F.format_string(f"%.{digits}f", round_scaled(value, digits)), F.lit("n/a"))
+    text = F.format_string(f"%.{digits}f", round_scaled(value, digits))
+    return F.when(value.isNotNull(), text).otherwise("n/a")

@@ -14,7 +14,9 @@ from parcelflow import config
 from parcelflow.functions.lookups import bounded_lookup, unique_lookup
 from parcelflow.functions.scalars import days_between, hash_unit, is_blank, pick_weighted
 
-ORDER_DATE = F.col("order_purchase_timestamp").cast("date")
+
+def order_date() -> Column:
+    return F.col("order_purchase_timestamp").cast("date")
 
 
 # --- six complete months ---------------------------------------------------------------------------
@@ -25,7 +27,7 @@ def recent_months(orders: DataFrame, months: int = config.WINDOW_MONTHS, complet
 
     The latest month counts as complete from its `complete_day` on.
     """
-    last = F.max(ORDER_DATE)
+    last = F.max(order_date())
     bounds = orders.agg(last.alias("last_day"))
     latest = F.trunc("last_day", "month")
     latest = F.when(F.dayofmonth("last_day") >= complete_day, latest).otherwise(F.add_months(latest, -1))
@@ -35,7 +37,7 @@ def recent_months(orders: DataFrame, months: int = config.WINDOW_MONTHS, complet
 def in_recent_months(orders: DataFrame, months: int = config.WINDOW_MONTHS) -> DataFrame:
     """Orders bought in the last complete months; the bounds are scalar subqueries, so nothing is joined."""
     bounds = recent_months(orders, months)
-    return orders.where(ORDER_DATE.between(bounds.select("start_date").scalar(), bounds.select("end_date").scalar()))
+    return orders.where(order_date().between(bounds.select("start_date").scalar(), bounds.select("end_date").scalar()))
 
 
 # --- warehouse -------------------------------------------------------------------------------------
@@ -152,7 +154,7 @@ def worst_review(reviews: DataFrame) -> DataFrame:
 
 def in_window(w: config.AnomalyWindow) -> Column:
     """Whether the order lies in the window: date range, warehouse, and carrier unless it is open."""
-    hit = ORDER_DATE.between(F.lit(w.start_date), F.lit(w.end_date)) & (F.col("warehouse_id") == w.affected_warehouse_id)
+    hit = order_date().between(F.lit(w.start_date), F.lit(w.end_date)) & (F.col("warehouse_id") == w.affected_warehouse_id)
     return hit & (F.col("carrier_id") == w.affected_carrier_id) if w.affected_carrier_id else hit
 
 
@@ -182,7 +184,7 @@ def window_risk(windows) -> Column:
             return F.lit(config.SPIKE_RISK)
         if w.anomaly_type == config.DRIFT_TYPE:
             span = max((w.end_date - w.start_date).days, 1)
-            elapsed = days_between(F.lit(w.start_date), ORDER_DATE) / F.lit(float(span))
+            elapsed = days_between(F.lit(w.start_date), order_date()) / F.lit(float(span))
             return F.lit(config.DRIFT_RISK) + F.lit(config.DRIFT_SLOPE) * elapsed
         return F.lit(0.0)
 

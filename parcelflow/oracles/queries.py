@@ -155,7 +155,7 @@ ORACLES: dict[str, str] = {
           coalesce(printf('%.2f%%', round(100 * d_in::DOUBLE / nullif(n_in, 0), 2)) || format(' ({:,} of {:,})', d_in, n_in), 'n/a (n/a of 0)') FROM spike
         UNION ALL SELECT 'ANOM_SPIKE_001', 'damaged rate outside window',
           coalesce(printf('%.2f%%', round(100 * d_out::DOUBLE / nullif(n_out, 0), 2)) || format(' ({:,} of {:,})', d_out, n_out), 'n/a (n/a of 0)') FROM spike
-        UNION ALL SELECT 'ANOM_SPIKE_001', 'share of damages in window', coalesce(printf('%.2f%%', round(100 * d_in::DOUBLE / nullif(d_all, 0), 2)), 'n/a') FROM spike
+        UNION ALL SELECT 'ANOM_SPIKE_001', 'share of damages in window', if(n_in > 0 AND d_all > 0, printf('%.2f%%', round(100 * d_in::DOUBLE / d_all, 2)), 'n/a') FROM spike
         UNION ALL SELECT 'ANOM_DRIFT_001', 'breach rate at start',
           coalesce(printf('%.2f%%', round(100 * b_start::DOUBLE / nullif(n_start, 0), 2)) || format(' ({:,} of {:,})', b_start, n_start), 'n/a (n/a of 0)') FROM drift
         UNION ALL SELECT 'ANOM_DRIFT_001', 'breach rate at end',

@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(6,4)": T.DecimalType(6, 4),
+}
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _schema(columns: str) -> T.StructType:
+    """A schema from `name type` pairs. Unlike `StructType.fromDDL` it needs no running session."""
+    pairs = (column.split() for column in columns.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 RAW_ORDERS = _schema(

@@ -1,0 +1,68 @@
+import hashlib
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from parcelflow.functions import scalars as s
+
+
+def one(spark, column, **inputs):
+    row = spark.range(1).select(*(v.alias(k) for k, v in inputs.items()), F.lit(1).alias("_"))
+    return row.select(column.alias("out")).first().out
+
+
+@pytest.mark.parametrize("value, digits, expected", [(1.005, 2, 1.0), (2.675, 2, 2.68), (-0.125, 2, -0.13), (0.03125, 4, 0.0313), (7.0, 2, 7.0)])
+def test_round_scaled(spark, value, digits, expected):
+    assert one(spark, s.round_scaled(F.lit(value), digits)) == expected
+
+
+def test_percentage_and_rate_of_nothing_are_null(spark):
+    assert one(spark, s.percentage(F.lit(1), F.lit(3))) == 33.33
+    assert one(spark, s.percentage(F.lit(0), F.lit(0))) is None
+    assert one(spark, s.rate(F.lit(0), F.lit(0))) is None
+
+
+def test_sunday_belongs_to_the_week_before(spark):
+    sunday = F.lit(date(2018, 4, 1))
+    assert one(spark, s.week_start(sunday)) == date(2018, 3, 26)
+    assert one(spark, s.day_of_week(sunday)) == 0
+
+
+def test_days_between_counts_from_start_to_end(spark):
+    assert one(spark, s.days_between(F.lit(date(2018, 1, 1)), F.lit(date(2018, 1, 11)))) == 10
+
+
+@pytest.mark.parametrize("value, expected", [(0, 0), (4, 0), (5, 5), (12, 10), (-1, -5)])
+def test_fixed_bin(spark, value, expected):
+    assert one(spark, s.fixed_bin(F.lit(value), 5)) == expected
+
+
+def test_membership_is_exact(spark):
+    assert one(spark, s.has_member(F.lit("ANOM_10;B"), "ANOM_1")) is False
+    assert one(spark, s.has_member(F.lit("ANOM_10;ANOM_1"), "ANOM_1")) is True
+
+
+def test_texts(spark):
+    assert one(spark, s.as_percent_text(F.lit(0.3004))) == "30.04%"
+    assert one(spark, s.as_percent_text(F.lit(None).cast("double"))) == "n/a"
+    assert one(spark, s.as_count_text(F.lit(32150))) == "32,150"
+    assert one(spark, s.as_decimal_text(F.lit(0.5))) == "0.5000"
+
+
+def test_hash_unit_is_stable_and_uniform(spark):
+    units = spark.range(20_000).select(s.hash_unit(F.col("id").cast("string"), "c").alias("u"))
+    low, high, mean = units.agg(F.min("u"), F.max("u"), F.avg("u")).first()
+    assert 0 <= low and high < 1 and abs(mean - 0.5) < 0.01
+    head = hashlib.md5(b"c7").hexdigest()[:8]
+    assert one(spark, s.hash_unit(F.lit("7"), "c")) == int(head, 16) / 2**32
+
+
+@pytest.mark.parametrize("unit, expected", [(0.0, "a"), (0.24, "a"), (0.26, "b"), (0.74, "b"), (0.76, "c"), (0.999, "c")])
+def test_pick_weighted_normalises_weights(spark, unit, expected):
+    assert one(spark, s.pick_weighted(F.lit(unit), [("a", 0.5), ("b", 1.0), ("c", 0.5)])) == expected
+
+
+def test_blank_to_null(spark):
+    assert one(spark, s.blank_to_null(F.lit("  "))) is None
+    assert one(spark, s.blank_to_null(F.lit("a"))) == "a"

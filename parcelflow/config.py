@@ -22,7 +22,7 @@ class Warehouse:
     warehouse_id: str
     warehouse_name: str
     assigned_states: str  # ';'-separated
-    region_rule_notes: str = ""
+    region_rule_notes: str | None = None
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class Carrier:
     carrier_id: str
     carrier_name: str
     reliability_tier: str
-    performance_notes: str = ""
+    performance_notes: str | None = None
     warehouse_exception: str | None = None
     weight: float = 0.12
 
@@ -39,7 +39,7 @@ class Carrier:
 class SlaTarget:
     sla_tier: str
     target_days: int
-    description: str = ""
+    description: str | None = None
 
 
 @dataclass(frozen=True)
@@ -51,43 +51,41 @@ class AnomalyWindow:
     issue_type: str
     start_date: date
     end_date: date
-    notes: str = ""
+    notes: str | None = None
 
 
 # --- Fixed values: they must equal the reference's for equal results -------------------------------
 
 WAREHOUSES = (
-    Warehouse("WH_NORTH", "North FC", "AM;PA;RR;AP;RO;AC;TO", "Routes North region states to North FC."),
-    Warehouse("WH_SOUTHEAST", "Southeast FC", "SP;RJ;MG;ES", "Routes Southeast region states to Southeast FC."),
-    Warehouse("WH_SOUTH", "South FC", "PR;SC;RS", "Routes South region states to South FC."),
-    Warehouse("WH_CENTRAL_WEST", "Central-West FC", "DF;GO;MT;MS", "Routes Central-West states to Central-West FC."),
+    Warehouse("WH_NORTH", "North FC", "AM;PA;RR;AP;RO;AC;TO"),
+    Warehouse("WH_SOUTHEAST", "Southeast FC", "SP;RJ;MG;ES"),
+    Warehouse("WH_SOUTH", "South FC", "PR;SC;RS"),
+    Warehouse("WH_CENTRAL_WEST", "Central-West FC", "DF;GO;MT;MS"),
 )
 OVERRIDE_STATES = ("AL", "BA", "CE", "MA", "PB", "PE", "PI", "RN", "SE")
 OVERRIDE_WAREHOUSE = "WH_SOUTHEAST"
 DEFAULT_WAREHOUSE = "WH_CENTRAL_WEST"
 
 CARRIERS = (
-    Carrier("CAR_A", "Carrier A", "solid", "Consistent on-time baseline across warehouses.", None, 0.33),
-    Carrier("CAR_B", "Carrier B", "solid", "Generally reliable, with a known injected damaged-issue spike window.", None, 0.33),
-    Carrier("CAR_C", "Carrier C", "mediocre", "Higher baseline delay and breach risk than solid carriers.", None, 0.22),
-    Carrier("CAR_D", "Carrier D", "warehouse_specific_poor", "Performs poorly only when assigned to Central-West FC.", "WH_CENTRAL_WEST", 0.12),
+    Carrier("CAR_A", "Carrier A", "solid", None, None, 0.33),
+    Carrier("CAR_B", "Carrier B", "solid", None, None, 0.33),
+    Carrier("CAR_C", "Carrier C", "mediocre", None, None, 0.22),
+    Carrier("CAR_D", "Carrier D", "warehouse_specific_poor", None, "WH_CENTRAL_WEST", 0.12),
 )
 EXCEPTION_WEIGHT = 0.23
 
 SLA_TARGETS = (
-    SlaTarget("fast", 3, "Priority small-parcel orders."),
-    SlaTarget("standard", 5, "Default ecommerce fulfillment promise."),
-    SlaTarget("bulky", 8, "Large or heavy-item fulfillment promise."),
+    SlaTarget("fast", 3),
+    SlaTarget("standard", 5),
+    SlaTarget("bulky", 8),
 )
 BULKY_KEYWORDS = ("moveis", "cama_mesa_banho", "construcao", "ferramentas", "eletrodomesticos", "climatizacao")
 FAST_KEYWORDS = ("beleza", "fashion", "eletron", "informatica", "telefonia", "relogios", "perfumaria", "papelaria")
 UNKNOWN_CATEGORY = "unknown"
 
 ANOMALY_WINDOWS = (
-    AnomalyWindow("ANOM_SPIKE_001", "sharp_spike", "CAR_B", "WH_SOUTHEAST", "damaged", date(2018, 4, 1), date(2018, 4, 14),
-                  "Carrier B x Southeast FC damaged issue spike for a 2-week window."),
-    AnomalyWindow("ANOM_DRIFT_001", "gradual_drift", None, "WH_CENTRAL_WEST", "sla_breach", date(2018, 7, 1), date(2018, 7, 28),
-                  "Central-West FC SLA breach rate increases across a 4-week window."),
+    AnomalyWindow("ANOM_SPIKE_001", "sharp_spike", "CAR_B", "WH_SOUTHEAST", "damaged", date(2018, 4, 1), date(2018, 4, 14)),
+    AnomalyWindow("ANOM_DRIFT_001", "gradual_drift", None, "WH_CENTRAL_WEST", "sla_breach", date(2018, 7, 1), date(2018, 7, 28)),
 )
 SPIKE_TYPE = "sharp_spike"
 DRIFT_TYPE = "gradual_drift"
@@ -171,6 +169,15 @@ def windows_df(spark: SparkSession, windows=ANOMALY_WINDOWS) -> DataFrame:
     return _frame(spark, windows, schemas.ANOMALY_WINDOWS)
 
 
+def ordered_windows_df(spark: SparkSession, windows=ANOMALY_WINDOWS) -> DataFrame:
+    """The windows with their `position` in config order."""
+    schema = StructType().add("position", "integer")
+    for column in schemas.ANOMALY_WINDOWS:
+        schema.add(column)
+    rows = [(i, *(getattr(w, c) for c in schemas.ANOMALY_WINDOWS.names)) for i, w in enumerate(windows)]
+    return local_table(spark, rows, schema)
+
+
 def label_metrics_df(spark: SparkSession, metrics=None) -> DataFrame:
     rows = list((VALIDATION_METRICS if metrics is None else metrics).items())
     return local_table(spark, rows, "anomaly_id string, validation_metric string")
@@ -192,7 +199,7 @@ def _records(df: DataFrame, cls, max_records: int):
     """Config rows as records. Refuses a table that is too long to be a rule list."""
     rows = df.limit(max_records + 1).collect()
     if len(rows) > max_records:
-        raise ValueError(f"a {cls.__name__} table may hold {max_records} rows at most")
+        raise ValueError(f"more than {max_records} {cls.__name__} rows are no rule list; for windows, join the table instead")
     return tuple(cls(**row.asDict()) for row in rows)
 
 

@@ -158,37 +158,63 @@ def in_window(w: config.AnomalyWindow) -> Column:
     return hit & (F.col("carrier_id") == w.affected_carrier_id) if w.affected_carrier_id else hit
 
 
-def first_window(windows, value) -> Column:
-    """`value(window)` of the first window, in config order, that holds the order; else NULL."""
-    picked = None
-    for w in windows:
-        picked = F.when(in_window(w), value(w)) if picked is None else picked.when(in_window(w), value(w))
-    return F.lit(None) if picked is None else picked
+def tag_window(orders: DataFrame, windows) -> DataFrame:
+    """Add id, type, start and end of the first window, in config order, that holds the order.
 
+    For a short list: each window is a branch of one expression and nothing is joined.
+    """
+    found = F.lit(None).cast("struct<anomaly_id:string,anomaly_type:string,window_start:date,window_end:date>")
+    for w in reversed(windows):
+        window = F.struct(
+            F.lit(w.anomaly_id).alias("anomaly_id"), F.lit(w.anomaly_type).alias("anomaly_type"),
+            F.lit(w.start_date).alias("window_start"), F.lit(w.end_date).alias("window_end"),
+        )
+        found = F.when(in_window(w), window).otherwise(found)
+    return orders.withColumn("window", found).select(
+        *orders.columns, "window.anomaly_id", "window.anomaly_type", "window.window_start", "window.window_end"
+    )
 
-def tag_window(orders: DataFrame, windows) -> DataFrame:
-    """Add `anomaly_id` and `anomaly_type` of the first matching window (NULL where none matches)."""
-    return orders.withColumns(
-        {
-            "anomaly_id": first_window(windows, lambda w: F.lit(w.anomaly_id)).cast("string"),
-            "anomaly_type": first_window(windows, lambda w: F.lit(w.anomaly_type)).cast("string"),
-        }
+
+def tag_window_join(orders: DataFrame, windows: DataFrame) -> DataFrame:
+    """`tag_window` for a window table of any length; `windows` has a `position` that gives their order.
+
+    Windows are spread over their days and reduced to the first one per day, warehouse and carrier, and
+    likewise for those open to any carrier. Both are equality joins on unique keys: no order is paired
+    with a window that does not hold it, and no order is repeated.
+    """
+    daily = windows.where(F.col("start_date") <= F.col("end_date")).select(
+        F.explode(F.sequence("start_date", "end_date", F.expr("interval 1 day"))).alias("order_day"),
+        F.col("affected_warehouse_id").alias("warehouse_id"),
+        F.col("affected_carrier_id").alias("carrier_id"),
+        F.struct("position", "anomaly_id", "anomaly_type", "start_date", "end_date").alias("window"),
     )
 
+    def first(rows: DataFrame, name: str, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.min("window").alias(name))
 
-def window_risk(windows) -> Column:
-    """Extra risk in a window: a constant in a spike, growing with the elapsed share in a drift."""
+    named = first(daily.where(F.col("carrier_id").isNotNull()), "named", "order_day", "warehouse_id", "carrier_id")
+    opened = first(daily.where(F.col("carrier_id").isNull()), "opened", "order_day", "warehouse_id")
+    joined = (
+        orders.withColumn("order_day", order_date())
+        .join(named, ["order_day", "warehouse_id", "carrier_id"], "left")
+        .join(opened, ["order_day", "warehouse_id"], "left")
+        .withColumn("window", F.least("named", "opened"))
+    )
+    return joined.select(
+        *orders.columns, "window.anomaly_id", "window.anomaly_type",
+        F.col("window.start_date").alias("window_start"), F.col("window.end_date").alias("window_end"),
+    )
 
-    def extra(w: config.AnomalyWindow) -> Column:
-        if w.anomaly_type == config.SPIKE_TYPE:
-            return F.lit(config.SPIKE_RISK)
-        if w.anomaly_type == config.DRIFT_TYPE:
-            span = max((w.end_date - w.start_date).days, 1)
-            elapsed = days_between(F.lit(w.start_date), order_date()) / F.lit(float(span))
-            return F.lit(config.DRIFT_RISK) + F.lit(config.DRIFT_SLOPE) * elapsed
-        return F.lit(0.0)
 
-    return F.coalesce(first_window(windows, extra).cast("double"), F.lit(0.0))
+def window_risk() -> Column:
+    """Extra risk in a window: a constant in a spike, growing with the elapsed share in a drift."""
+    span = F.greatest(days_between(F.col("window_start"), F.col("window_end")), F.lit(1))
+    elapsed = days_between(F.col("window_start"), order_date()) / span
+    return (
+        F.when(F.col("anomaly_type") == config.SPIKE_TYPE, config.SPIKE_RISK)
+        .when(F.col("anomaly_type") == config.DRIFT_TYPE, F.lit(config.DRIFT_RISK) + F.lit(config.DRIFT_SLOPE) * elapsed)
+        .otherwise(0.0)
+    )
 
 
 def _signals(carriers) -> list[tuple[str, Column]]:
@@ -209,8 +235,8 @@ def risk_signals(carriers) -> Column:
     return F.array_compact(F.array(*(F.when(holds, name) for name, holds in _signals(carriers))))
 
 
-def risk_score(rules: config.Rules) -> Column:
-    holds = dict(_signals(rules.carriers))
+def risk_score(carriers) -> Column:
+    holds = dict(_signals(carriers))
 
     def add(name: str, amount: float) -> Column:
         return F.when(holds[name], amount).otherwise(0.0)
@@ -221,15 +247,15 @@ def risk_score(rules: config.Rules) -> Column:
         + add("low_review", config.LOW_REVIEW_RISK)
         + add("carrier_reliability", config.WEAK_CARRIER_RISK)
         + add("warehouse_carrier_weakness", config.EXCEPTION_RISK)
-        + window_risk(rules.windows)
+        + window_risk()
     )
     score = F.when(holds["order_canceled"], F.greatest(score, F.lit(config.CANCELED_RISK))).otherwise(score)
     return F.least(score, F.lit(config.MAX_RISK))
 
 
 def score_risk(orders: DataFrame, rules: config.Rules) -> DataFrame:
-    """Add `issue_probability`, unrounded; needs `anomaly_id` and `review_score`."""
-    return orders.withColumn("issue_probability", risk_score(rules))
+    """Add `issue_probability`, unrounded; needs the tagged window and `review_score`."""
+    return orders.withColumn("issue_probability", risk_score(rules.carriers))
 
 
 def draw_issue(orders: DataFrame, rules: config.Rules, salt: str = "i", type_salt: str = "t") -> DataFrame:
@@ -272,19 +298,22 @@ def enrich_orders(
     rules: config.Rules = config.Rules(),
     months: int | None = config.WINDOW_MONTHS,
     unique_keys: bool = False,
+    windows: DataFrame | None = None,
 ) -> DataFrame:
     """One wide row per order with everything the assignment tables hold.
 
     `months=None` keeps the whole history instead of the last complete months; orders without a purchase
     time are dropped in both cases. `unique_keys` states that customer and product ids are known to be
-    unique (`quality.duplicates` tells), which saves two aggregations.
+    unique (`quality.duplicates` tells), which saves two aggregations. `windows` is a window table to join
+    in place of the short list in `rules`.
     """
     kept = in_recent_months(orders, months) if months else orders.where(F.col("order_purchase_timestamp").isNotNull())
     routed = route_warehouse(with_customer_state(kept, customers, unique_keys), routing, rules.default_warehouse)
     with_carrier = assign_carrier(routed, rules.carriers)
     joined = with_carrier.join(order_category(items, products, unique_keys), "order_id", "left").join(worst_review(reviews), "order_id", "left")
     tiered = assign_sla(joined.withColumn("category_name", F.coalesce("category_name", F.lit(config.UNKNOWN_CATEGORY))), rules)
-    issued = draw_issue(score_risk(tag_window(tiered, rules.windows), rules), rules)
+    tagged = tag_window(tiered, rules.windows) if windows is None else tag_window_join(tiered, windows)
+    issued = draw_issue(score_risk(tagged, rules), rules)
     return issued.withColumns(
         {
             "synthetic_issue_probability": F.col("issue_probability").cast("decimal(6,4)"),

@@ -1,7 +1,7 @@
 """Weekly segment scoring on two tracks, and validation against known labels.
 
-The fact is read once, into counts per week, warehouse, carrier and flag. All windows run on those
-counts, so their input is weeks x segments, whatever the size of the fact.
+The fact is read once, into counts per day, warehouse, carrier and flag. Scores, labels and findings all
+come from those counts, so windows and joins see days x segments, whatever the size of the fact.
 """
 
 from __future__ import annotations
@@ -17,19 +17,19 @@ SLA_METRIC = "sla_breach_rate"
 DAMAGED_METRIC = "damaged_issue_rate"
 
 
-def segment_flag_counts(fact: DataFrame) -> DataFrame:
-    """Shipments, breaches and damages per segment-week and anomaly flag."""
-    return (
-        fact.withColumn("week_start_date", week_start(F.col("order_purchase_date")))
-        .groupBy(*SEGMENT_KEYS, "anomaly_flag")
-        .agg(
-            F.count(F.lit(1)).alias("shipments"),
-            F.count_if("sla_breach_flag").alias("breaches"),
-            F.count_if(F.col("issue_type") == "damaged").alias("damages"),
-        )
+def daily_flag_counts(fact: DataFrame) -> DataFrame:
+    """Shipments, breaches and damages per purchase date, warehouse, carrier and anomaly flag."""
+    return fact.groupBy("order_purchase_date", "warehouse_id", "carrier_id", "anomaly_flag").agg(
+        F.count(F.lit(1)).alias("shipments"),
+        F.count_if("sla_breach_flag").alias("breaches"),
+        F.count_if(F.col("issue_type") == "damaged").alias("damages"),
     )
 
 
+def _by_segment(counts: DataFrame):
+    return counts.withColumn("week_start_date", week_start(F.col("order_purchase_date"))).groupBy(*SEGMENT_KEYS)
+
+
 def _totals():
     return (
         F.sum("shipments").alias("shipment_count"),
@@ -56,23 +56,22 @@ def _with_rates(segments: DataFrame) -> DataFrame:
     )
 
 
-def weekly_segment(flag_counts: DataFrame) -> DataFrame:
+def weekly_segment(daily_counts: DataFrame) -> DataFrame:
     """Counts and unrounded rates per segment-week."""
-    return _with_rates(flag_counts.groupBy(*SEGMENT_KEYS).agg(*_totals()))
+    return _with_rates(_by_segment(daily_counts).agg(*_totals()))
 
 
-def label_rollup(flag_counts: DataFrame, labels=tuple(config.VALIDATION_METRICS)) -> DataFrame:
+def label_rollup(daily_counts: DataFrame, labels=tuple(config.VALIDATION_METRICS)) -> DataFrame:
     """Labelled rows and distinct labels per segment-week that has any."""
-    labelled = flag_counts.where(F.col("anomaly_flag").isin(*labels))
-    return labelled.groupBy(*SEGMENT_KEYS).agg(*_label_columns(labels))
+    return _by_segment(daily_counts.where(F.col("anomaly_flag").isin(*labels))).agg(*_label_columns(labels))
 
 
-def labelled_segment(flag_counts: DataFrame, labels=tuple(config.VALIDATION_METRICS)) -> DataFrame:
+def labelled_segment(daily_counts: DataFrame, labels=tuple(config.VALIDATION_METRICS)) -> DataFrame:
     """`weekly_segment` with its label rollup, in one aggregation instead of a join of two.
 
     A segment-week with a NULL key gets no labels, as an equality join would leave it.
     """
-    rolled = _with_rates(flag_counts.groupBy(*SEGMENT_KEYS).agg(*_totals(), *_label_columns(labels)))
+    rolled = _with_rates(_by_segment(daily_counts).agg(*_totals(), *_label_columns(labels)))
     joinable = F.lit(True)
     for key in SEGMENT_KEYS:
         joinable = joinable & F.col(key).isNotNull()
@@ -193,7 +192,7 @@ def score(
 
 def anomaly_results(fact: DataFrame, dim_warehouse: DataFrame, dim_carrier: DataFrame, labels=tuple(config.VALIDATION_METRICS), **params) -> DataFrame:
     """The full result: both tracks for every segment-week, with its known labels."""
-    return score(labelled_segment(segment_flag_counts(fact), labels), dim_warehouse, dim_carrier, **params)
+    return score(labelled_segment(daily_flag_counts(fact), labels), dim_warehouse, dim_carrier, **params)
 
 
 # --- validation ------------------------------------------------------------------------------------

@@ -326,6 +326,8 @@ ORACLES: dict[str, str] = {
     "enrich_sla_tier": on_orders("SELECT order_id, category_name, sla_tier, sla_target_days FROM enriched"),
     "enrich_min_review": on_orders("SELECT * FROM order_reviews"),
     "enrich_anomaly_window": on_orders("SELECT order_id, anomaly_flag, anomaly_type FROM enriched"),
+    "enrich_anomaly_window_join": on_orders("""
+        SELECT order_id, coalesce(anomaly_id, 'none') AS anomaly_flag, anomaly_type FROM carried LEFT JOIN tagged USING (order_id)"""),
     "enrich_risk_score": on_orders("""
         SELECT order_id, round(issue_probability, 6) AS issue_probability, synthetic_issue_probability FROM enriched"""),
     "enrich_risk_signals": on_orders("SELECT order_id, array_to_string(signals, ';') AS signals, issue_source FROM enriched"),

@@ -1,7 +1,6 @@
-"""Findings about the known windows, from one rollup of the fact.
+"""Findings about the known windows, from the daily counts that the scores come from too.
 
-`daily_segment` reduces the fact to days x segments; every finding is a small join of the windows with
-that rollup, all windows at once.
+Every finding is a small join of the windows with `scoring.daily_flag_counts`, all windows at once.
 """
 
 from __future__ import annotations
@@ -14,15 +13,6 @@ from parcelflow.functions.scalars import as_count_text, as_percent_text, rate, r
 from parcelflow.operators.scoring import DAMAGED_METRIC, SLA_METRIC, top_segment
 
 
-def daily_segment(fact: DataFrame) -> DataFrame:
-    """Shipments, breaches and damages per purchase date, warehouse and carrier."""
-    return fact.groupBy("order_purchase_date", "warehouse_id", "carrier_id").agg(
-        F.count(F.lit(1)).alias("shipments"),
-        F.count_if("sla_breach_flag").alias("breaches"),
-        F.count_if(F.col("issue_type") == "damaged").alias("damages"),
-    )
-
-
 def _on_segment(windows: DataFrame, daily: DataFrame) -> DataFrame:
     """Window rows with the rollup of their warehouse and, where named, their carrier."""
     same = (F.col("w.affected_warehouse_id") == F.col("d.warehouse_id")) & (
@@ -96,13 +86,20 @@ def drift_start_end(daily: DataFrame, windows: DataFrame, days: int = 7) -> Data
 
 
 def overview(daily: DataFrame, results: DataFrame) -> DataFrame:
-    """Number and date range of the shipments, and the number of flagged segment-weeks."""
-    flagged = results.where("anomaly_detected").agg(F.count(F.lit(1)).alias("n"))
-    return daily.agg(
+    """Number and date range of the shipments, and the number of flagged segment-weeks.
+
+    Both inputs go through one aggregation as a union, so that they share the daily counts behind them.
+    """
+    bought = daily.select("shipments", "order_purchase_date", F.lit(0).cast("long").alias("flagged"))
+    flagged = results.where("anomaly_detected").select(
+        F.lit(0).cast("long").alias("shipments"), F.lit(None).cast("date").alias("order_purchase_date"), F.lit(1).cast("long").alias("flagged")
+    )
+    return bought.unionByName(flagged).agg(
         F.coalesce(F.sum("shipments"), F.lit(0)).alias("total_shipments"),
         F.min("order_purchase_date").alias("date_start"),
         F.max("order_purchase_date").alias("date_end"),
-    ).withColumn("total_flagged_segment_weeks", flagged.select("n").scalar())
+        F.coalesce(F.sum("flagged"), F.lit(0)).alias("total_flagged_segment_weeks"),
+    )
 
 
 def _named_segment(top: DataFrame, metric: str, label: str) -> Column:

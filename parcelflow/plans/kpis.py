@@ -75,13 +75,17 @@ def ops(fact: DataFrame) -> DataFrame:
 
 
 def quality(weekly: DataFrame, summary: DataFrame) -> DataFrame:
-    detected = summary.agg(F.count_if("detected").alias("n"))
-    return weekly.agg(
+    measures = ("shipment_count", "issue_count", "anomaly_count")
+    nothing = F.lit(0).cast("long")
+    weeks = weekly.select(*measures, nothing.alias("detected"))
+    labels = summary.where("detected").select(*(nothing.alias(m) for m in measures), F.lit(1).cast("long").alias("detected"))
+    return weeks.unionByName(labels).agg(
         F.sum("shipment_count").alias("shipment_count"),
         _issue_rate().alias("quality_issue_rate"),
         F.sum("issue_count").alias("issue_count"),
         F.sum("anomaly_count").alias("anomaly_count"),
-    ).withColumn("detected_known_anomalies", detected.select("n").scalar())
+        F.sum("detected").alias("detected_known_anomalies"),
+    )
 
 
 # --- worksheets ------------------------------------------------------------------------------------

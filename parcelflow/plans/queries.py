@@ -19,7 +19,7 @@ from parcelflow.functions.scratch import scratch_path
 from parcelflow.operators import enrich, quality, scoring, staging
 from parcelflow.plans import build, exports, findings, kpis, marts
 from parcelflow.sources import schemas, star
-from parcelflow.sources.tables import read_csv, row_counts, write_csv
+from parcelflow.sources.tables import materialize, read_csv, row_counts, write_csv
 
 MIN_SHIPMENTS = 3
 SPIKE = "ANOM_SPIKE_001"
@@ -63,19 +63,20 @@ class Lazy:
         return staging.fact_of(self.enriched)
 
     @cached_property
-    def flag_counts(self) -> DataFrame:
-        return scoring.segment_flag_counts(self.fact)
+    def daily_counts(self) -> DataFrame:
+        return scoring.daily_flag_counts(self.fact)
 
     @cached_property
     def segments(self) -> DataFrame:
-        return scoring.labelled_segment(self.flag_counts)
+        return scoring.labelled_segment(self.daily_counts)
 
     @cached_property
     def names(self) -> tuple[DataFrame, DataFrame]:
         return config.warehouse_names(self.spark), config.carrier_names(self.spark)
 
-    def scored(self, **params) -> DataFrame:
-        return scoring.score(self.segments, *self.names, min_shipments=MIN_SHIPMENTS, **params)
+    def scored(self, segments: DataFrame | None = None, **params) -> DataFrame:
+        segments = self.segments if segments is None else segments
+        return scoring.score(segments, *self.names, min_shipments=MIN_SHIPMENTS, **params)
 
     @cached_property
     def results(self) -> DataFrame:
@@ -93,10 +94,6 @@ class Lazy:
     def windows(self) -> DataFrame:
         return config.windows_df(self.spark, self.rules.windows)
 
-    @cached_property
-    def daily_segment(self) -> DataFrame:
-        return findings.daily_segment(self.fact)
-
     @cached_property
     def daily(self) -> DataFrame:
         return exports.daily_sla(marts.agg_daily_sla(self.fact), *self.names)
@@ -238,13 +235,13 @@ def agg_weekly_quality(t):
 
 @query
 def weekly_segment(t):
-    segments = scoring.weekly_segment(t.flag_counts)
+    segments = scoring.weekly_segment(t.daily_counts)
     return segments.withColumns({c: round_scaled(F.col(c), 6) for c in ("sla_breach_rate", "damaged_issue_rate")})
 
 
 @query
 def scored_sla(t):
-    return scoring.with_sla_baseline(scoring.weekly_segment(t.flag_counts)).select(
+    return scoring.with_sla_baseline(scoring.weekly_segment(t.daily_counts)).select(
         "week_start_date", "warehouse_id", "carrier_id", "prior_week_count",
         round_scaled(F.col("sla_mean"), 4).alias("trailing_4_week_mean"), round_scaled(F.col("sla_std"), 4).alias("trailing_4_week_std"),
     )
@@ -252,7 +249,7 @@ def scored_sla(t):
 
 @query
 def scored_damaged(t):
-    return scoring.with_damaged_baseline(scoring.weekly_segment(t.flag_counts)).select(
+    return scoring.with_damaged_baseline(scoring.weekly_segment(t.daily_counts)).select(
         "week_start_date", "warehouse_id", "carrier_id",
         round_scaled(F.col("damaged_mean"), 4).alias("damaged_segment_mean"), round_scaled(F.col("damaged_std"), 4).alias("damaged_segment_std"),
     )
@@ -260,7 +257,7 @@ def scored_damaged(t):
 
 @query
 def label_rollup(t):
-    return scoring.label_rollup(t.flag_counts)
+    return scoring.label_rollup(t.daily_counts)
 
 
 @query
@@ -317,32 +314,35 @@ def _rounded_rates(df: DataFrame) -> DataFrame:
 
 @query
 def findings_overview(t):
-    return findings.overview(t.daily_segment, t.results)
+    return findings.overview(t.daily_counts, t.results)
 
 
 @query
 def finding_spike_inside(t):
-    return _rounded_rates(findings.spike_inside(t.daily_segment, t.windows))
+    return _rounded_rates(findings.spike_inside(t.daily_counts, t.windows))
 
 
 @query
 def finding_spike_outside(t):
-    return _rounded_rates(findings.spike_outside(t.daily_segment, t.windows))
+    return _rounded_rates(findings.spike_outside(t.daily_counts, t.windows))
 
 
 @query
 def finding_spike_share(t):
-    return _rounded_rates(findings.spike_share(t.daily_segment, t.windows))
+    return _rounded_rates(findings.spike_share(t.daily_counts, t.windows))
 
 
 @query
 def finding_drift_start_end(t):
-    return _rounded_rates(findings.drift_start_end(t.daily_segment, t.windows))
+    return _rounded_rates(findings.drift_start_end(t.daily_counts, t.windows))
 
 
 @query
 def findings_text(t):
-    return findings.findings_text(t.daily_segment, t.windows, t.results, t.summary)
+    # Nine small parts read the counts, so they are written once.
+    counts = materialize(t.daily_counts, scratch_path(t.spark, "daily_counts"))
+    results = t.scored(scoring.labelled_segment(counts))
+    return findings.findings_text(counts, t.windows, results, scoring.anomaly_summary(results, t.label_metrics))
 
 
 # --- quality ---------------------------------------------------------------------------------------
@@ -620,6 +620,14 @@ def enrich_anomaly_window(t):
     return t.enriched.select("order_id", "anomaly_flag", "anomaly_type")
 
 
+@query
+def enrich_anomaly_window_join(t):
+    tagged = enrich.tag_window_join(
+        t.enriched.drop("anomaly_id", "anomaly_type", "window_start", "window_end"), config.ordered_windows_df(t.spark, t.rules.windows)
+    )
+    return tagged.select("order_id", F.coalesce("anomaly_id", F.lit("none")).alias("anomaly_flag"), "anomaly_type")
+
+
 @query
 def enrich_risk_score(t):
     return t.enriched.select("order_id", round_scaled(F.col("issue_probability"), 6).alias("issue_probability"), "synthetic_issue_probability")

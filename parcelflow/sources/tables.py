@@ -48,8 +48,12 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
-    """Create or replace a Parquet table and return its number of rows, counted while writing."""
-    counted, written = _observed(df)
+    """Create or replace a Parquet table and return its number of rows, counted while writing.
+
+    With `partition_by`, rows are first rebalanced by those columns: few files per value, and adaptive
+    execution splits a value that holds too much for one task.
+    """
+    counted, written = _observed(df.hint("rebalance", *partition_by) if partition_by else df)
     writer = written.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

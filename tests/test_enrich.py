@@ -138,6 +138,48 @@ def test_window_ends_wildcard_and_order(spark):
     assert values(scored(spark, [("1", "delivered", "2018-01-05", False, 5, "WH_SOUTH", "CAR_A")], both), "anomaly_id") == [("second",)]
 
 
+def test_window_join_equals_the_expression(spark):
+    def window(name, carrier, warehouse, first, last):
+        return config.AnomalyWindow(name, "sharp_spike", carrier, warehouse, "damaged", date(2020, 1, first), date(2020, 1, last))
+
+    windows = (
+        window("a", "CAR_A", "W1", 3, 5), window("b", None, "W1", 1, 4), window("c", "CAR_A", "W1", 1, 9), window("d", None, "W2", 4, 4),
+        window("e", None, "W1", 2, 8), window("f", "CAR_B", "W2", 1, 9), window("g", "CAR_B", "W2", 9, 1),
+    )
+    rows = [
+        (f"{day}{wh}{car}", ts(f"2020-01-{day:02d} 12:00:00"), wh, car) for day in range(1, 11) for wh in ("W1", "W2", None) for car in ("CAR_A", "CAR_B", None)
+    ]
+    frame = spark.createDataFrame(rows, "order_id string, order_purchase_timestamp timestamp_ntz, warehouse_id string, carrier_id string")
+    by_rule = enrich.tag_window(frame, windows)
+    by_join = enrich.tag_window_join(frame, config.ordered_windows_df(spark, windows))
+    assert by_join.columns == by_rule.columns and values(by_join) == values(by_rule)
+    assert {r.anomaly_id for r in by_rule.collect()} == {"a", "b", "c", "d", "e", "f", None}
+
+
+def test_hot_customers_are_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+        frame = spark.range(0, 60_000, numPartitions=8).select(F.col("id").cast("string").alias("order_id"), hot.alias("customer_id"), F.md5(F.col("id").cast("string")).alias("payload"))
+        customers = spark.range(60_000).select(F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("customer_id"), F.lit("SP").alias("customer_state"))
+        joined = enrich.with_customer_state(frame, customers, unique_customers=True)
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_issue_source_is_the_last_signal(spark):
     rows = [(str(i), "delivered", "2018-04-05", True, 1, "WH_SOUTHEAST", "CAR_B") for i in range(200)]
     rows += [(str(i), "delivered", "2019-01-01", False, 5, "WH_SOUTH", "CAR_A") for i in range(200, 1200)]

@@ -4,6 +4,7 @@ import pytest
 
 from frames import fact, shipment, values
 from parcelflow import config
+from parcelflow.operators import scoring
 from parcelflow.plans import findings
 
 WINDOWS = (
@@ -21,7 +22,7 @@ def inputs(spark):
         shipment(10, date(2024, 3, 1), breach=True), shipment(11, date(2024, 3, 7), carrier="other"), shipment(12, date(2024, 3, 8), breach=True),
         shipment(13, date(2024, 3, 21)), shipment(14, date(2024, 3, 22), breach=True), shipment(15, date(2024, 3, 28), breach=True),
     ]
-    return findings.daily_segment(fact(spark, rows)), config.windows_df(spark, WINDOWS)
+    return scoring.daily_flag_counts(fact(spark, rows)), config.windows_df(spark, WINDOWS)
 
 
 def test_inside_and_outside(inputs):

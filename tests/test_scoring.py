@@ -95,7 +95,7 @@ def test_fused_labels_equal_the_join(spark):
     day = date(2024, 1, 3)
     flags = ["ANOM_SPIKE_001", "ANOM_DRIFT_001", "ANOM_DRIFT_001", "none", "other", None]
     frame = fact(spark, [shipment(i, day, flag=f) for i, f in enumerate(flags)] + [shipment(9, day, warehouse=None, flag="ANOM_DRIFT_001")])
-    counts = scoring.segment_flag_counts(frame)
+    counts = scoring.daily_flag_counts(frame)
     fused = scoring.labelled_segment(counts)
     joined = scoring.weekly_segment(counts).join(scoring.label_rollup(counts), list(scoring.SEGMENT_KEYS), "left").fillna({"known_anomaly_count": 0, "known_anomaly_labels": "none"})
     columns = (*scoring.SEGMENT_KEYS, "shipment_count", "known_anomaly_count", "known_anomaly_labels")

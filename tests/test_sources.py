@@ -59,6 +59,13 @@ def test_table_is_replaced(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_partitioned_table_has_few_files(spark, tmp_path):
+    df = spark.range(1000, numPartitions=8).selectExpr("id", "id % 3 as part")
+    assert tables.write_table(df, str(tmp_path / "p"), ("part",)) == 1000
+    assert len(list(Path(tmp_path / "p").glob("part=*/*.parquet"))) == 3
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 1000
+
+
 def test_bronze_load_counts(spark, tmp_path):
     (tmp_path / "items.csv").write_text("order_id,product_id\n1,p\n1,q\n")
     (tmp_path / "reviews.csv").write_text("order_id,review_score\n1,5\n")

@@ -27,7 +27,10 @@ def daily_flag_counts(fact: DataFrame) -> DataFrame:
 
 
 def _by_segment(counts: DataFrame):
-    return counts.withColumn("week_start_date", week_start(F.col("order_purchase_date"))).groupBy(*SEGMENT_KEYS)
+    """Counts grouped by segment-week. They are already few per segment, so they are placed by segment
+    once, which serves this grouping and the windows over the segment alike."""
+    placed = counts.repartition("warehouse_id", "carrier_id")
+    return placed.withColumn("week_start_date", week_start(F.col("order_purchase_date"))).groupBy(*SEGMENT_KEYS)
 
 
 def _totals():
@@ -213,40 +216,40 @@ def _strongest() -> list[Column]:
     return [F.abs("z_score").desc(), F.col("week_start_date"), F.col("warehouse_id"), F.col("carrier_id")]
 
 
-def top_flagged_segments(results: DataFrame, label_metrics: DataFrame, k: int = 3) -> DataFrame:
-    """The `k` strongest flagged segment-weeks per label, under the metric the label is judged by."""
-    judged = _judged(results.where("anomaly_detected"), label_metrics)
-    ranked = judged.withColumn("segment_rank", F.row_number().over(Window.partitionBy("anomaly_id").orderBy(*_strongest())))
+def _judged(results: DataFrame, label_metrics: DataFrame) -> DataFrame:
+    """Flagged rows per label under the metric the label is judged by, ranked by strength.
+
+    A label has few rows: the weeks of its window times the segments it touches.
+    """
+    wanted = label_metrics.withColumnRenamed("validation_metric", "detection_metric")
+    judged = per_label(results.where("anomaly_detected")).join(wanted, ["anomaly_id", "detection_metric"])
     segment = F.concat(
         F.col("warehouse_id"), F.lit(" x "), F.col("carrier_id"), F.lit(" (z="), round_scaled(F.col("z_score"), 2).cast("string"), F.lit(")")
     )
-    return ranked.where(F.col("segment_rank") <= k).select(
-        "anomaly_id", "segment_rank", segment.alias("segment"), "week_start_date", "z_score"
-    )
+    rank = F.row_number().over(Window.partitionBy("anomaly_id").orderBy(*_strongest()))
+    return judged.select("anomaly_id", rank.alias("segment_rank"), segment.alias("segment"), "week_start_date", "z_score")
 
 
-def _judged(results: DataFrame, label_metrics: DataFrame) -> DataFrame:
-    wanted = label_metrics.withColumnRenamed("validation_metric", "detection_metric")
-    return per_label(results).join(wanted, ["anomaly_id", "detection_metric"])
+def top_flagged_segments(results: DataFrame, label_metrics: DataFrame, k: int = 3) -> DataFrame:
+    """The `k` strongest flagged segment-weeks per label."""
+    return _judged(results, label_metrics).where(F.col("segment_rank") <= k)
 
 
 def anomaly_summary(results: DataFrame, label_metrics: DataFrame, k: int = 3) -> DataFrame:
     """One row per known label: whether, when and where its own metric found it."""
-    found = _judged(results, label_metrics).where("anomaly_detected").groupBy("anomaly_id").agg(
-        F.min("week_start_date").alias("first_detected_week"), F.count(F.lit(1)).alias("flagged_segment_weeks")
-    )
-    top = (
-        top_flagged_segments(results, label_metrics, k)
-        .groupBy("anomaly_id")
-        .agg(F.array_sort(F.collect_list(F.struct("segment_rank", "segment"))).alias("best"))
+    best = F.when(F.col("segment_rank") <= k, F.struct("segment_rank", "segment"))
+    found = _judged(results, label_metrics).groupBy("anomaly_id").agg(
+        F.min("week_start_date").alias("first_detected_week"),
+        F.count(F.lit(1)).alias("flagged_segment_weeks"),
+        F.array_sort(F.collect_list(best)).alias("best"),
     )
-    joined = label_metrics.join(found, "anomaly_id", "left").join(top, "anomaly_id", "left")
-    return joined.select(
+    count = F.coalesce("flagged_segment_weeks", F.lit(0))
+    return label_metrics.join(found, "anomaly_id", "left").select(
         "anomaly_id",
         "validation_metric",
-        (F.coalesce("flagged_segment_weeks", F.lit(0)) > 0).alias("detected"),
+        (count > 0).alias("detected"),
         "first_detected_week",
-        F.coalesce("flagged_segment_weeks", F.lit(0)).alias("flagged_segment_weeks"),
+        count.alias("flagged_segment_weeks"),
         F.coalesce(F.array_join("best.segment", "; "), F.lit("")).alias("top_flagged_segments"),
     )
 

@@ -36,6 +36,16 @@ def _ratio(part: Column, whole: Column) -> Column:
     return round_scaled(rate(part, whole), 4)
 
 
+def _exact_sum(value: Column | str) -> Column:
+    """Sum of values with two decimals, in decimals: the same whatever the order of the rows."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.sum(value.cast("decimal(18,2)")).cast("double")
+
+
+def _exact_mean(value: str) -> Column:
+    return round_scaled(_exact_sum(value) / F.count(value), 4)
+
+
 def _attainment() -> Column:
     return _ratio(F.sum("on_time_count"), F.sum("shipment_count"))
 
@@ -58,7 +68,7 @@ def executive(daily: DataFrame) -> DataFrame:
         F.sum("shipment_count").alias("total_shipments"),
         _attainment().alias("sla_attainment"),
         F.sum("sla_breach_count").alias("sla_breach_count"),
-        round_scaled(F.avg("avg_delay_days"), 4).alias("avg_delay_days"),
+        _exact_mean("avg_delay_days").alias("avg_delay_days"),
         F.sum("real_late_delivery_count").alias("real_late_delivery_count"),
     )
 
@@ -94,7 +104,7 @@ def quality(weekly: DataFrame, summary: DataFrame) -> DataFrame:
 def avg_delay_by_carrier(daily: DataFrame) -> DataFrame:
     """Mean of the daily means, slowest carrier first."""
     by_pair = daily.groupBy("carrier_name", "warehouse_name").agg(
-        F.sum("avg_delay_days").alias("delay_sum"), F.count("avg_delay_days").alias("delay_rows")
+        _exact_sum("avg_delay_days").alias("delay_sum"), F.count("avg_delay_days").alias("delay_rows")
     )
     by_carrier = by_pair.groupBy("carrier_name").agg((F.sum("delay_sum") / F.sum("delay_rows")).alias("carrier_delay"))
     return (
@@ -111,7 +121,7 @@ def avg_delay_by_carrier(daily: DataFrame) -> DataFrame:
 def damaged_spike(weekly: DataFrame, warehouse_name: str = "Southeast FC") -> DataFrame:
     kept = filtered(weekly, issue_type="damaged", warehouse_name=warehouse_name)
     return kept.groupBy(week_start(F.col("week_start_date")).alias("week_start_date"), "carrier_name").agg(
-        round_scaled(F.sum("issue_rate_pct"), 4).alias("damaged_issue_signal")
+        round_scaled(_exact_sum("issue_rate_pct"), 4).alias("damaged_issue_signal")
     )
 
 
@@ -123,7 +133,7 @@ def delay_distribution(fact: DataFrame, unique: bool = False) -> DataFrame:
 
 def sla_trend(daily: DataFrame) -> DataFrame:
     return daily.groupBy(week_start(F.col("order_purchase_date")).alias("week_start_date"), "warehouse_name").agg(
-        round_scaled(F.avg("sla_attainment_pct"), 4).alias("avg_sla_attainment_pct")
+        _exact_mean("sla_attainment_pct").alias("avg_sla_attainment_pct")
     )
 
 

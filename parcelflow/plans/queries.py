@@ -314,7 +314,9 @@ def _rounded_rates(df: DataFrame) -> DataFrame:
 
 @query
 def findings_overview(t):
-    return findings.overview(t.daily_counts, t.results)
+    # The overview and the scores need different columns of the counts: written, they are computed once.
+    counts = materialize(t.daily_counts, scratch_path(t.spark, "daily_counts"))
+    return findings.overview(counts, t.scored(scoring.labelled_segment(counts)))
 
 
 @query

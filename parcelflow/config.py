@@ -220,3 +220,21 @@ def sla_targets_from(df: DataFrame, max_records: int = 200) -> tuple[SlaTarget,
 
 def windows_from(df: DataFrame, max_records: int = 200) -> tuple[AnomalyWindow, ...]:
     return _records(df, AnomalyWindow, max_records)
+
+
+def rules_from(frames: dict[str, DataFrame]) -> Rules:
+    """Rules from the four config tables; spikes are judged by damages, other windows by breaches."""
+    windows = windows_from(frames["anomaly_windows"])
+    metrics = {w.anomaly_id: "damaged_issue_rate" if w.anomaly_type == SPIKE_TYPE else "sla_breach_rate" for w in windows}
+    default = frames["warehouses"].where(f"warehouse_id = '{DEFAULT_WAREHOUSE}'").first()
+    return Rules(
+        carriers=carriers_from(frames["carriers"]),
+        sla_targets=sla_targets_from(frames["sla_targets"]),
+        windows=windows,
+        default_warehouse=(DEFAULT_WAREHOUSE, default.warehouse_name if default else None),
+        validation_metrics=metrics,
+    )
+
+
+def overrides_df(spark: SparkSession) -> DataFrame:
+    return local_table(spark, [(state, OVERRIDE_WAREHOUSE) for state in OVERRIDE_STATES], "customer_state string, warehouse_id string")

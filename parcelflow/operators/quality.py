@@ -40,10 +40,10 @@ def duplicates(df: DataFrame, *key: str) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Non-NULL child keys without a parent row, with their number of rows.
 
-    Keys are counted first: copies of a hot key collapse before the join.
+    Both sides are reduced to distinct keys first: copies of a hot key collapse before the join.
     """
     keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key_value")).agg(F.count(F.lit(1)).alias("row_count"))
-    parents = parent.select(F.col(parent_column).alias("key_value"))
+    parents = parent.select(F.col(parent_column).alias("key_value")).distinct()
     return keys.join(parents, "key_value", "left_anti")
 
 

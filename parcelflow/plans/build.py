@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow import config
 from parcelflow.operators import quality, scoring, staging
-from parcelflow.operators.enrich import ASSIGNMENT_COLUMNS, assignment_tables, enrich_orders
+from parcelflow.operators.enrich import ASSIGNMENT_COLUMNS, assignment_tables, enrich_orders, warehouse_routing
 from parcelflow.plans import exports, marts
-from parcelflow.sources.tables import materialize
+from parcelflow.sources.tables import load_bronze, materialize, read_config, read_tables, write_csv
 
 ACCEPTED_ISSUES = {"issue_type": config.ISSUE_TYPES}
 
@@ -126,4 +126,31 @@ def export_all(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, int]:
     return counts
 
 
-__all__ = ["ASSIGNMENT_COLUMNS", "SUITE", "build_marts", "detect", "export_all"]
+def export_assignments(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, int]:
+    """Write the four assignment tables as CSV; returns their row counts."""
+    return {name: write_csv(tables[name].select(*columns), f"{out_dir}/{name}") for name, columns in ASSIGNMENT_COLUMNS.items()}
+
+
+def run(
+    spark: SparkSession,
+    source_paths: Mapping[str, str],
+    config_dir: str,
+    out_dir: str,
+    months: int | None = config.WINDOW_MONTHS,
+    **params,
+) -> dict[str, DataFrame]:
+    """The whole run: load the source CSVs, enrich, build, detect, export, check.
+
+    Returns all tables, with the check report as `quality_report`.
+    """
+    load_bronze(spark, source_paths, f"{out_dir}/bronze", multi_line=("raw_reviews",))
+    bronze = read_tables(spark, f"{out_dir}/bronze", source_paths)
+    frames = read_config(spark, config_dir)
+    rules = config.rules_from(frames)
+    routing = warehouse_routing(frames["warehouses"], config.overrides_df(spark))
+    tables = build_marts(bronze, routing, f"{out_dir}/marts", rules, months)
+    tables |= detect(spark, tables, f"{out_dir}/results", rules, **params)
+    export_assignments(tables, f"{out_dir}/assignments")
+    export_all(tables, f"{out_dir}/exports")
+    report = materialize(quality.suite_report(tables, SUITE), f"{out_dir}/results/quality_report")
+    return {**bronze, **tables, "quality_report": report}

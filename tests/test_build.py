@@ -4,11 +4,12 @@ import pytest
 
 from compare import connect, sql_rows
 from frames import values
+from parcelflow import config
 from parcelflow.operators import staging
 from parcelflow.oracles import ORACLES
 from parcelflow.plans import build
 from parcelflow.sources import schemas, star
-from parcelflow.sources.tables import read_csv
+from parcelflow.sources.tables import read_csv, write_csv
 
 SF = "/root/testdata/sf0.01"
 
@@ -57,3 +58,25 @@ def test_exports(spark, built, tmp_path):
     assert header.split(",") == schemas.ANOMALY_SUMMARY.names
     again = read_csv(spark, str(tmp_path / "anomaly_summary"), schemas.ANOMALY_SUMMARY)
     assert values(again, "anomaly_id", "detected") == [("ANOM_DRIFT_001", True), ("ANOM_SPIKE_001", True)]
+
+
+def test_whole_run_from_csv(spark, tmp_path):
+    small = "/root/testdata/sf0.001"
+    sources = star.source_tables(spark, small)
+    for name, df in sources.items():
+        write_csv(df, str(tmp_path / "in" / name))
+    frames = {
+        "warehouses": star.warehouses(spark, star.read_star(spark, small, "nation")["nation"]).select(*schemas.WAREHOUSES.names),
+        "carriers": config.carriers_df(spark),
+        "sla_targets": config.sla_targets_df(spark),
+        "anomaly_windows": config.windows_df(spark, star.RULES.windows),
+    }
+    for name, df in frames.items():
+        write_csv(df, str(tmp_path / "config" / f"{name}.csv"), single_file=True)
+    tables = build.run(spark, {name: str(tmp_path / "in" / name) for name in sources}, str(tmp_path / "config"), str(tmp_path / "out"))
+    # Only the last six complete months are assigned; every order is staged.
+    window = tables["raw_issue_flags"].count()
+    assert 0 < window < tables["stg_orders"].count() == sources["raw_orders"].count()
+    assert tables["quality_report"].count() == 37 and tables["quality_report"].where("status <> 'pass'").isEmpty()
+    again = read_csv(spark, str(tmp_path / "out" / "assignments" / "raw_issue_flags"), schemas.RAW_ISSUE_FLAGS)
+    assert again.exceptAll(tables["raw_issue_flags"]).isEmpty() and again.count() == window

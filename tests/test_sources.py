@@ -59,6 +59,15 @@ def test_table_is_replaced(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_empty_tables_are_written_and_counted(spark, tmp_path):
+    nothing = spark.range(10).where("id < 0")
+    grouped = nothing.groupBy("id").count().join(spark.range(3), "id")
+    assert tables.write_table(nothing, str(tmp_path / "a")) == 0
+    assert tables.write_table(grouped, str(tmp_path / "b")) == 0
+    assert tables.write_csv(grouped.orderBy("id"), str(tmp_path / "c"), single_file=True) == 0
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 0
+
+
 def test_partitioned_table_has_few_files(spark, tmp_path):
     df = spark.range(1000, numPartitions=8).selectExpr("id", "id % 3 as part")
     assert tables.write_table(df, str(tmp_path / "p"), ("part",)) == 1000

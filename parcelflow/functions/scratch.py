@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
+from collections import defaultdict
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="parcelflow-")
+_written: dict[tuple[str, str], list[str]] = defaultdict(list)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder named by `spark.checkpoint.dir`.
+    """A fresh path in the folder named by `spark.checkpoint.dir`, else in the warehouse folder.
 
-    The setting is required on a cluster, where every executor must see the folder. Only a local master
-    that has none falls back to a temporary folder.
+    Every executor must see the folder. A new path under a name deletes all earlier ones under that name
+    but the last: a result of the call before may still be unread.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_root()
-    return f"{root.rstrip('/')}/parcelflow/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/parcelflow/{name}-{uuid.uuid4().hex}"
+    earlier = _written[spark.sparkContext.applicationId, name]
+    while len(earlier) > 1:
+        discard(spark, earlier.pop(0))
+    earlier.append(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder; one that is gone already is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a scratch table: a cut in the lineage that survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

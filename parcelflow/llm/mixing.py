@@ -69,7 +69,7 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame
     sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("domain", _features(words(common.whole_text())).alias("found"))
     counts = sample.select("domain", F.explode("found").alias("bucket")).groupBy("bucket").agg(*(F.sum((F.col("domain") == d).cast("double")).alias(f"n_{i}") for i, d in enumerate(domains)))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    full = every.join(counts, "bucket", "left").fillna(0.0)
+    full = every.join(stored(counts, "mixing-counts"), "bucket", "left").fillna(0.0)
     total = full.agg(*(F.sum(f"n_{i}").alias(f"t_{i}") for i in range(len(domains)))).first()
     log_share = F.array(*(F.round(F.log((F.col(f"n_{i}") + 0.1) / (total[i] + 0.1 * BUCKETS)), 3) for i in range(len(domains))))
     rows = full.select("bucket", log_share.alias("weight")).agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "weight"))), lambda x: x["weight"]).alias("weights"))

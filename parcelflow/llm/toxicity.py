@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from parcelflow.llm import common, ngrams
 
 SIZES, BUCKETS = (3, 5), 1 << 18
-PER_CLASS, FEATURES, SMOOTHING, RIDGE, STEPS = 4000, 30_000, 1.0, 1e-4, 300
+PER_CLASS, FEATURES, SMOOTHING, RIDGE, STEPS = 2500, 30_000, 1.0, 1e-4, 300
 THRESHOLD = 0.3
 
 

@@ -14,7 +14,7 @@ residual per domain comes back.
 All expressions are built-in functions. The model is one row of `BUCKETS` weight vectors, made by Spark and
 put into the plan as a constant of that fixed size. Scoring happens in place: texts are not shuffled, and each is read whole.
 
-Defined results: a NULL or empty text has 0 tokens and the prior as posterior. Labels that are NULL or of no
+Defined results: tokens are cut at spaces and line breaks; a NULL or empty text has 0 tokens and the prior as posterior. Labels that are NULL or of no
 target domain are left out; without any label the posterior is uniform. Repeated rows get the same rate and
 number of copies; chances are a hash of id and text. If no document has a token, all rates are 1. An empty
 table gives an empty result. Extra columns are ignored, or kept by `mixed`.

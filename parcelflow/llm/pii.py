@@ -44,18 +44,27 @@ BLOCK = 128
 SPANS = "array<struct<start:int,end:int,text:string,before:string,after:string,cut:boolean>>"
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """All matches as an array of structs: `start`, `end` (code points), `text`, and the text `before` and `after`."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    items = F.transform(
-        found,
-        lambda m, i: F.struct(
-            F.length(F.get(between, i)).alias("gap"), F.length(m).alias("size"), m.alias("text"),
-            F.substring(F.get(between, i), -CONTEXT, CONTEXT).alias("before"), F.substring(F.get(between, i + 1), 1, CONTEXT).alias("after"),
+def with_spans(df: DataFrame, name: str, text: str, pattern: str, needed: Column | None = None) -> DataFrame:
+    """`df` with all matches of `pattern` in the column `text` as an array `name` (type `SPANS`).
+
+    Matches and the text between them become columns before the sums refer to them: a lambda would work them
+    out again for every element.
+    """
+    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    between = F.split(F.col(text), pattern, -1)
+    parts = F.struct(found.alias("found"), between.alias("between"))
+    cut = df.withColumn("parts", parts if needed is None else F.when(needed, parts))
+    later = F.slice("parts.between", F.lit(2), F.greatest(F.size("parts.found"), F.lit(0)))
+    pairs = F.zip_with(F.slice("parts.between", F.lit(1), F.greatest(F.size("parts.found"), F.lit(0))), later, lambda b, a: F.struct(b.alias("before"), a.alias("after")))
+    items = F.zip_with(
+        "parts.found", pairs,
+        lambda m, p: F.struct(
+            F.length(p["before"]).alias("gap"), F.length(m).alias("size"), m.alias("text"),
+            F.substring(p["before"], -CONTEXT, CONTEXT).alias("before"), F.substring(p["after"], 1, CONTEXT).alias("after"),
         ),
     )
-    return _located(items)
+    summed = cut.withColumn("items", items).drop("parts")
+    return summed.withColumn(name, F.coalesce(_located(F.col("items")), F.array().cast(SPANS))).drop("items")
 
 
 def _located(items: Column) -> Column:
@@ -127,8 +136,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
         needed = F.contains("text", F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True)
         if kind != "email":
             needed &= F.col("has_digit")
-        found = F.when(needed, spans(F.col("text"), pattern))
-        rows = rows.withColumn(kind, F.coalesce(_checked(kind, found), F.array().cast(SPANS)))
+        rows = with_spans(rows, kind, "text", pattern, needed).withColumn(kind, _checked(kind, F.col(kind)))
     return rows.drop("text", "has_digit")
 
 
@@ -155,7 +163,8 @@ def nearby(rows: DataFrame) -> DataFrame:
         after = F.when(F.length("s.after") == CONTEXT, F.regexp_replace("s.after", r"\S*\z", "")).otherwise(F.col("s.after"))
         sides = [(before, F.col("s.start") - F.length(before)), (after, F.col("s.end"))]
         for side, at in sides:
-            found = mention.select(*common.KEY, "entity", at.alias("at"), F.explode(spans(side, TERM)).alias("t"))
+            context = mention.select(*common.KEY, "entity", at.alias("at"), side.alias("side"))
+            found = with_spans(context, "found", "side", TERM).select(*common.KEY, "entity", "at", F.explode("found").alias("t"))
             terms = found.select(*common.KEY, "entity", F.lower("t.text").alias("term"), (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
             each = terms if each is None else each.unionByName(terms)
     return each

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use themselves.
 CLASHING = ["size", "kept", "fp", "rate", "doc", "tokens", "n", "bucket", "key_text", "units", "shard", "terms", "DIGEST", "score"]
-LONG = " ".join(f"word{i % 977} of the long text number {i}" for i in range(40_000))
+LONG = " ".join(f"word{i % 977} of the long text number {i}" for i in range(8_000))
 ROWS = [
     (None, None, None, None, None),
     (None, "the same text twice over here", "en", None, 3),
@@ -24,7 +24,7 @@ ROWS = [
     (7, "ünïcödé ñandú über straße 😀 中文", "de", "b", 1),
     (8, "12 34 !!", "en", "b", 1),
     (9, LONG, "en", "b", len(LONG)),
-    (10, "x" * 30_000, "en", "b", 30_000),
+    (10, "x" * 3_000, "en", "b", 3_000),
 ]
 
 

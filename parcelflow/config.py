@@ -195,18 +195,15 @@ def carrier_names(spark: SparkSession, carriers=CARRIERS) -> DataFrame:
     return local_table(spark, rows, "carrier_id string, carrier_name string")
 
 
-def _records(df: DataFrame, cls, max_records: int):
-    """Config rows as records. Refuses a table that is too long to be a rule list."""
-    rows = df.limit(max_records + 1).collect()
-    if len(rows) > max_records:
-        raise ValueError(f"more than {max_records} {cls.__name__} rows are no rule list; for windows, join the table instead")
-    return tuple(cls(**row.asDict()) for row in rows)
+def _records(df: DataFrame, cls):
+    """Config rows as records."""
+    return tuple(cls(**{name: row[name] for name in cls.__dataclass_fields__ if name in row}) for row in df.collect())
 
 
-def carriers_from(df: DataFrame, weights=None, max_records: int = 200) -> tuple[Carrier, ...]:
+def carriers_from(df: DataFrame, weights=None) -> tuple[Carrier, ...]:
     """Carriers read from a config table; `weights` maps carrier_id to its share."""
     known = {c.carrier_id: c.weight for c in CARRIERS} if weights is None else weights
-    carriers = _records(df, Carrier, max_records)
+    carriers = _records(df, Carrier)
     return tuple(
         Carrier(c.carrier_id, c.carrier_name, c.reliability_tier, c.performance_notes,
                 c.warehouse_exception, known.get(c.carrier_id, 0.12))
@@ -214,12 +211,12 @@ def carriers_from(df: DataFrame, weights=None, max_records: int = 200) -> tuple[
     )
 
 
-def sla_targets_from(df: DataFrame, max_records: int = 200) -> tuple[SlaTarget, ...]:
-    return _records(df, SlaTarget, max_records)
+def sla_targets_from(df: DataFrame) -> tuple[SlaTarget, ...]:
+    return _records(df, SlaTarget)
 
 
-def windows_from(df: DataFrame, max_records: int = 200) -> tuple[AnomalyWindow, ...]:
-    return _records(df, AnomalyWindow, max_records)
+def windows_from(df: DataFrame) -> tuple[AnomalyWindow, ...]:
+    return _records(df, AnomalyWindow)
 
 
 def rules_from(frames: dict[str, DataFrame]) -> Rules:

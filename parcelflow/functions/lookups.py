@@ -1,12 +1,10 @@
-"""Lookup tables: one row per key, and in memory only when they are known to be small."""
+"""Lookup tables: one row per key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.config import local_table
-
 
 def unique_lookup(df: DataFrame, key: str, value: str) -> DataFrame:
     """One value per key, so that a left join on it never multiplies rows.
@@ -15,16 +13,3 @@ def unique_lookup(df: DataFrame, key: str, value: str) -> DataFrame:
     partitioned by `key`, which the join then reuses.
     """
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
-
-
-def bounded_lookup(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """`df` as an in-memory table if it has at most `max_rows` rows, else `df` unchanged.
-
-    At most `max_rows + 1` rows reach the driver. Spark knows the exact size of an in-memory table and
-    broadcasts it only below its own threshold. A larger `df` joins by shuffle, where adaptive execution
-    splits skewed keys.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return local_table(df.sparkSession, rows, df.schema)

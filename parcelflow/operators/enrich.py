@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow import config
-from parcelflow.functions.lookups import bounded_lookup, unique_lookup
+from parcelflow.functions.lookups import unique_lookup
 from parcelflow.functions.scalars import days_between, hash_unit, is_blank, pick_weighted
 
 
@@ -64,9 +64,10 @@ def warehouse_routing(warehouses: DataFrame, overrides: DataFrame) -> DataFrame:
 def route_warehouse(orders: DataFrame, routing: DataFrame, default: tuple[str, str]) -> DataFrame:
     """Add the warehouse of `customer_state`; an unknown state goes to the default warehouse.
 
-    The routing table is held in memory if it is small, so that orders are not shuffled by a few states.
+    Give `routing` as a written table: Spark then knows how small it is and does not shuffle the orders by
+    a few states.
     """
-    routed = orders.join(bounded_lookup(routing), "customer_state", "left")
+    routed = orders.join(routing, "customer_state", "left")
     return routed.withColumns(
         {
             "warehouse_id": F.coalesce("warehouse_id", F.lit(default[0])),

@@ -122,20 +122,22 @@ def missing_tables(spark: SparkSession, expected: Iterable[str], database: str |
     return set(expected) - {t.name for t in spark.catalog.listTables(database)}
 
 
-def config_problems(frames: Mapping[str, DataFrame], specs: Mapping[str, StructType], rows: Mapping[str, int]) -> list[str]:
-    """What is wrong with the config tables: absent ones, absent columns, wrong number of rows."""
-    problems = []
-    for name, schema in specs.items():
-        if name not in frames:
-            problems.append(f"{name}: table is missing")
-            continue
-        absent = missing_columns(frames[name], schema)
-        if absent:
-            problems.append(f"{name}: missing columns: {', '.join(sorted(absent))}")
-        found = frames[name].limit(rows[name] + 1).count()
-        if found != rows[name]:
-            problems.append(f"{name}: expected {rows[name]} rows")
-    return problems
+def config_faults(frames: Mapping[str, DataFrame], specs: Mapping[str, StructType], rows: Mapping[str, int]) -> DataFrame:
+    """`table_name, column_name, fault, expected, found`: one row per fault, none if the config is sound.
+
+    Wanted and present columns are compared as tables; row counts are exact, and `found` reports them.
+    """
+    spark = next(iter(frames.values())).sparkSession
+    wanted = local_table(spark, [(t, c) for t, schema in specs.items() for c in schema.names], "table_name string, column_name string")
+    there = local_table(spark, [(t, c) for t, df in frames.items() for c in df.columns], "table_name string, column_name string")
+    lacking = wanted.join(there, ["table_name", "column_name"], "left_anti").select("*", F.lit("absent column").alias("fault"), F.lit(1).alias("expected"), F.lit(0).cast("long").alias("found"))
+    sizes = _union([df.agg(F.count(F.lit(1)).alias("found")).select(F.lit(t).alias("table_name"), "found") for t, df in frames.items()])
+    judged = local_table(spark, list(rows.items()), "table_name string, expected int").join(sizes, "table_name", "left")
+    uneven = judged.where(~F.col("found").eqNullSafe(F.col("expected"))).select(
+        "table_name", F.lit(None).cast("string").alias("column_name"),
+        F.when(F.col("found").isNull(), "absent table").otherwise("row count").alias("fault"), "expected", F.coalesce("found", F.lit(0).cast("long")).alias("found"),
+    )
+    return lacking.unionByName(uneven)
 
 
 # --- suite -----------------------------------------------------------------------------------------

@@ -119,7 +119,9 @@ def with_sla_baseline(segments: DataFrame, weeks: int = 4) -> DataFrame:
 
 def with_damaged_baseline(segments: DataFrame) -> DataFrame:
     """Mean and deviation over all weeks of the same segment, the current one included."""
-    whole = Window.partitionBy("warehouse_id", "carrier_id")
+    # Floating sums depend on the order of rows, so the frame is ordered.
+    by_week = Window.partitionBy("warehouse_id", "carrier_id").orderBy("week_start_date")
+    whole = by_week.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return segments.withColumns(
         {
             "damaged_mean": F.avg("damaged_issue_rate").over(whole),

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelflow import config
 from parcelflow.operators import quality, scoring, staging
 from parcelflow.operators.enrich import ASSIGNMENT_COLUMNS, assignment_tables, enrich_orders, warehouse_routing
-from parcelflow.plans import exports, marts
+from parcelflow.plans import exports, findings, marts
 from parcelflow.sources.tables import load_bronze, materialize, read_config, read_tables, write_csv
 
 ACCEPTED_ISSUES = {"issue_type": config.ISSUE_TYPES}
@@ -62,11 +63,13 @@ def build_marts(
     out_dir: str,
     rules: config.Rules = config.Rules(),
     months: int | None = config.WINDOW_MONTHS,
+    windows: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Enrich, write the marts, and return all tables by name.
 
     The enriched orders are written once as one wide table; the assignment tables are projections of it,
-    so the fact needs no join by order id.
+    so the fact needs no join by order id. `windows` is a window table of any length, joined in place of the
+    list in `rules`.
     """
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -76,7 +79,7 @@ def build_marts(
     enriched = write(
         "enriched_orders",
         enrich_orders(
-            orders, customers, sources["raw_order_items"], sources["raw_products"], sources["raw_reviews"], routing, rules, months
+            orders, customers, sources["raw_order_items"], sources["raw_products"], sources["raw_reviews"], routing, rules, months, windows=windows
         ),
     )
     assigned = assignment_tables(enriched)
@@ -137,19 +140,26 @@ def run(
     config_dir: str,
     out_dir: str,
     months: int | None = config.WINDOW_MONTHS,
+    multi_line: tuple[str, ...] = (),
     **params,
 ) -> dict[str, DataFrame]:
     """The whole run: load the source CSVs, enrich, build, detect, export, check.
 
-    Returns all tables, with the check report as `quality_report`.
+    Windows are joined as a table, so there may be any number. Source tables named in `multi_line` may hold
+    line breaks inside quoted values, but then each of their files is one task. Returns all tables, with the
+    check report as `quality_report`, and the findings as `findings`.
     """
-    load_bronze(spark, source_paths, f"{out_dir}/bronze", multi_line=("raw_reviews",))
+    load_bronze(spark, source_paths, f"{out_dir}/bronze", multi_line=multi_line)
     bronze = read_tables(spark, f"{out_dir}/bronze", source_paths)
     frames = read_config(spark, config_dir)
     rules = config.rules_from(frames)
-    routing = warehouse_routing(frames["warehouses"], config.overrides_df(spark))
-    tables = build_marts(bronze, routing, f"{out_dir}/marts", rules, months)
+    routing = materialize(warehouse_routing(frames["warehouses"], config.overrides_df(spark)), f"{out_dir}/marts/routing")
+    windows = materialize(frames["anomaly_windows"].withColumn("position", F.monotonically_increasing_id()), f"{out_dir}/marts/windows")
+    tables = build_marts(bronze, routing, f"{out_dir}/marts", rules, months, windows)
     tables |= detect(spark, tables, f"{out_dir}/results", rules, **params)
+    counts = materialize(scoring.daily_flag_counts(tables["fct_shipments"]), f"{out_dir}/results/daily_flag_counts")
+    text = findings.findings_text(counts, windows, tables["anomaly_results"], tables["anomaly_validation_summary"])
+    tables["findings"] = materialize(text, f"{out_dir}/results/findings")
     export_assignments(tables, f"{out_dir}/assignments")
     export_all(tables, f"{out_dir}/exports")
     report = materialize(quality.suite_report(tables, SUITE), f"{out_dir}/results/quality_report")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from parcelflow.functions.lookups import bounded_lookup
 from parcelflow.sources import schemas
 from parcelflow.sources.tables import read_csv, write_csv
 
+# Column names and sort keys that consumers of the exports rely on.
 SHIPMENT_EXPORT = (
     "shipment_id", "order_id", "order_purchase_date", "delivered_customer_date", "estimated_delivery_date", "warehouse_id",
     "warehouse_name", "carrier_id", "carrier_name", "category_name", "sla_tier", "actual_delivery_days",
@@ -29,9 +29,8 @@ def _named(df: DataFrame, dim_warehouse: DataFrame, dim_carrier: DataFrame, colu
 
 
 def shipments(fact: DataFrame, dim_warehouse: DataFrame, dim_carrier: DataFrame) -> DataFrame:
-    """The fact with names. Dimensions are held in memory if they are small, so that the fact is not
-    shuffled by a handful of warehouse ids."""
-    return _named(fact, bounded_lookup(dim_warehouse), bounded_lookup(dim_carrier), SHIPMENT_EXPORT)
+    """The fact with names. Dimensions are written or in-memory tables, so Spark knows their size."""
+    return _named(fact, dim_warehouse, dim_carrier, SHIPMENT_EXPORT)
 
 
 def daily_sla(daily: DataFrame, dim_warehouse: DataFrame, dim_carrier: DataFrame) -> DataFrame:
@@ -42,6 +41,7 @@ def weekly_quality(weekly: DataFrame, dim_warehouse: DataFrame, dim_carrier: Dat
     return _named(weekly, dim_warehouse, dim_carrier, WEEKLY_EXPORT)
 
 
+# See above.
 EXPORT_ORDER = {
     "fct_shipments_dashboard": ("order_purchase_date", "shipment_id"),
     "daily_sla_performance": ("order_purchase_date", "warehouse_id", "carrier_id", "sla_tier"),

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from parcelflow import config
 from parcelflow.functions.scalars import fixed_bin, rate, round_scaled, week_start
 
-CARRIER_NAMES = tuple(c.carrier_name for c in config.CARRIERS)
 
 
 def filtered(df: DataFrame, date_column: str | None = None, date_from=None, date_to=None, **members) -> DataFrame:
@@ -178,9 +177,16 @@ def delay_bins(fact: DataFrame) -> DataFrame:
     return fact.groupBy(fixed_bin(F.col("delay_days"), 5).alias("delay_days_bin")).agg(F.count("shipment_id").alias("shipments"))
 
 
-def breach_pivot(fact: DataFrame, carrier_names=CARRIER_NAMES) -> DataFrame:
-    """Breach rate, warehouses by carriers."""
-    return fact.groupBy("warehouse_name").pivot("carrier_name", list(carrier_names)).agg(
+def _known_carriers(df: DataFrame, carrier_names) -> DataFrame:
+    """`df`, whose job fails on a carrier outside `carrier_names`: a pivot would drop it without a word."""
+    name = F.col("carrier_name")
+    unknown = F.raise_error(F.concat(F.lit("carrier outside the dimension: "), F.coalesce(name, F.lit("NULL")))).cast("string")
+    return df.withColumn("carrier_name", F.when(name.isin(list(carrier_names)), name).otherwise(unknown))
+
+
+def breach_pivot(fact: DataFrame, carrier_names) -> DataFrame:
+    """Breach rate, warehouses by the carriers of the run's dimension."""
+    return _known_carriers(fact, carrier_names).groupBy("warehouse_name").pivot("carrier_name", list(carrier_names)).agg(
         _ratio(F.count_if("sla_breach_flag"), F.count("sla_breach_flag"))
     )
 
@@ -202,9 +208,9 @@ def weekly_issue_rate(weekly: DataFrame) -> DataFrame:
     return weekly.groupBy("week_start_date", "issue_type").agg(_issue_rate().alias("quality_issue_rate"))
 
 
-def quality_heatmap(weekly: DataFrame, carrier_names=CARRIER_NAMES) -> DataFrame:
-    """Issue rate, warehouses by carriers."""
-    return weekly.groupBy("warehouse_name").pivot("carrier_name", list(carrier_names)).agg(_issue_rate())
+def quality_heatmap(weekly: DataFrame, carrier_names) -> DataFrame:
+    """Issue rate, warehouses by the carriers of the run's dimension."""
+    return _known_carriers(weekly, carrier_names).groupBy("warehouse_name").pivot("carrier_name", list(carrier_names)).agg(_issue_rate())
 
 
 def category_issues(weekly: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import config
 from parcelflow.functions.scalars import round_scaled
-from parcelflow.functions.scratch import scratch_path
+from parcelflow.functions.scratch import scratch_path, stored
 from parcelflow.operators import enrich, quality, scoring, staging
 from parcelflow.plans import build, exports, findings, kpis, marts
 from parcelflow.sources import schemas, star
@@ -28,7 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 class Lazy:
-    """The lazy frames of one data folder. Nothing runs until a query's result does."""
+    """The frames of one data folder. They are lazy but for the routing table, and for the queries that write."""
 
     rules = star.RULES
 
@@ -41,7 +41,8 @@ class Lazy:
 
     @cached_property
     def routing(self) -> DataFrame:
-        return star.routing(self.spark, self.sf_dir)
+        # Written, so that Spark knows its size and its own threshold decides on a broadcast.
+        return stored(star.routing(self.spark, self.sf_dir), f"routing-{abs(hash(self.sf_dir))}")
 
     def enriched_over(self, months: int | None) -> DataFrame:
         s = self.source
@@ -70,6 +71,10 @@ class Lazy:
     def segments(self) -> DataFrame:
         return scoring.labelled_segment(self.daily_counts)
 
+    @property
+    def carrier_names(self) -> list[str]:
+        return [c.carrier_name for c in self.rules.carriers]
+
     @cached_property
     def names(self) -> tuple[DataFrame, DataFrame]:
         return config.warehouse_names(self.spark), config.carrier_names(self.spark)
@@ -547,7 +552,7 @@ def kpi_delay_bins(t):
 
 @query
 def kpi_breach_pivot(t):
-    return kpis.breach_pivot(t.named_fact)
+    return kpis.breach_pivot(t.named_fact, t.carrier_names)
 
 
 @query
@@ -567,7 +572,7 @@ def kpi_weekly_issue_rate(t):
 
 @query
 def kpi_quality_heatmap(t):
-    return kpis.quality_heatmap(t.weekly)
+    return kpis.quality_heatmap(t.weekly, t.carrier_names)
 
 
 @query

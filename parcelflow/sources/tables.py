@@ -16,8 +16,9 @@ from parcelflow.sources import schemas
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False) -> DataFrame:
     """Scan headed CSV files; blank text becomes NULL.
 
-    With a schema the header is checked against it and a malformed row fails the job. Without one, types
-    are inferred over the whole input, which costs a second scan. `multi_line` allows line breaks inside
+    With a schema, its columns must be in the header, in any order, and get their types; further columns are
+    kept as text, and a malformed row or value fails the job. Without one, types are inferred over the whole
+    input, which costs a second scan. `multi_line` allows line breaks inside
     quoted values, but then a file is one task: leave it off for large inputs without such values.
     """
     reader = (
@@ -26,7 +27,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, m
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
     )
-    df = reader.schema(schema).option("enforceSchema", False).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    df = reader.option("inferSchema", schema is None).csv(path)
+    types = {f.name: f.dataType for f in schema.fields} if schema else {}
+    if absent := sorted(set(types) - set(df.columns)):
+        raise ValueError(f"{path} has no columns {', '.join(absent)}")
+    if schema:
+        df = df.select(*(F.trim(F.col(f"`{c}`")).cast(types[c]).alias(c) if c in types and types[c] != StringType() else F.col(f"`{c}`") for c in df.columns))
     return df.select(
         *(
             blank_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)

@@ -40,6 +40,8 @@ def test_distribution_counts_distinct_shipments(frames):
 
 def test_pivots(frames):
     assert values(kpis.breach_pivot(frames["fact"], ["Carrier", "Nobody"])) == [("Warehouse", 0.6, None)]
+    with pytest.raises(Exception, match="outside the dimension"):
+        kpis.breach_pivot(frames["fact"], ["Nobody"]).collect()
     assert values(kpis.quality_heatmap(frames["weekly"], ["Carrier"])) == [("Warehouse", 0.4)]
 
 

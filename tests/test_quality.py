@@ -63,9 +63,11 @@ def test_config_structure(spark):
         "warehouses": config.warehouses_df(spark), "carriers": config.carriers_df(spark).drop("warehouse_exception"),
         "sla_targets": config.sla_targets_df(spark).limit(2),
     }
-    assert quality.config_problems(frames, schemas.CONFIG_TABLES, config.CONFIG_ROWS) == [
-        "carriers: missing columns: warehouse_exception", "sla_targets: expected 3 rows", "anomaly_windows: table is missing",
-    ]
+    faults = quality.config_faults(frames, schemas.CONFIG_TABLES, config.CONFIG_ROWS).collect()
+    assert {tuple(f) for f in faults if f.table_name != "anomaly_windows"} == {
+        ("carriers", "warehouse_exception", "absent column", 1, 0), ("sla_targets", None, "row count", 3, 2),
+    }
+    assert {f.fault for f in faults if f.table_name == "anomaly_windows"} == {"absent column", "absent table"}
 
 
 def test_catalog_and_columns(spark):

@@ -6,7 +6,8 @@ import __spark_entry__ as entry_point
 from compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+from parcelflow.oracles import ORACLES  # noqa: E402
+from parcelflow.plans.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -23,5 +24,9 @@ def test_query(spark, con, name):
     assert difference(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0

@@ -24,7 +24,7 @@ ORACLES: dict[str, str] = {
           (SELECT count(*) FROM enriched)"""),
     "scalar_casts": on_sources("""
         SELECT order_id, TRY_CAST(order_id AS INTEGER) AS order_number, order_purchase_timestamp::DATE AS purchase_date,
-          strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') AS purchase_text,
+          CAST(order_purchase_timestamp AS VARCHAR) AS purchase_text,
           TRY_CAST(strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS purchase_again,
           (order_number / 7.0::DOUBLE)::DECIMAL(12, 4) AS as_decimal,
           round(order_number / 8.0::DOUBLE, 2) AS as_rounded,

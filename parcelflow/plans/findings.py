@@ -13,42 +13,53 @@ from parcelflow.functions.scalars import as_count_text, as_percent_text, rate, r
 from parcelflow.operators.scoring import DAMAGED_METRIC, SLA_METRIC, top_segment
 
 
-def _on_segment(windows: DataFrame, daily: DataFrame) -> DataFrame:
-    """Window rows with the rollup of their warehouse and, where named, their carrier."""
-    same = (F.col("w.affected_warehouse_id") == F.col("d.warehouse_id")) & (
-        F.col("w.affected_carrier_id").isNull() | (F.col("w.affected_carrier_id") == F.col("d.carrier_id"))
+def _on_days(days: DataFrame, daily: DataFrame) -> DataFrame:
+    """Window days with the rollup of their day, warehouse and, where named, carrier: an equality join."""
+    same = (
+        (F.col("w.day") == F.col("d.order_purchase_date"))
+        & (F.col("w.affected_warehouse_id") == F.col("d.warehouse_id"))
+        & (F.col("w.affected_carrier_id").isNull() | (F.col("w.affected_carrier_id") == F.col("d.carrier_id")))
     )
-    return windows.alias("w").join(daily.alias("d"), same, "left")
+    return days.alias("w").join(daily.alias("d"), same, "left")
 
 
-def _within() -> Column:
-    return F.col("order_purchase_date").between(F.col("start_date"), F.col("end_date"))
+def _days_between(first: Column, last: Column) -> Column:
+    """One row per day; a window that ends before it begins keeps one row without a day."""
+    return F.explode_outer(F.when(first <= last, F.sequence(first, last, F.expr("interval 1 day"))))
 
 
-def _rates_where(joined: DataFrame, keep: Column, part: str, prefix: str = "", as_name: str | None = None) -> list[Column]:
+def _rates(whole: Column, counted: Column, prefix: str, name: str) -> list[Column]:
+    return [whole.alias(f"{prefix}shipments"), counted.alias(f"{prefix}{name}_count"), rate(counted, whole).alias(f"{prefix}{name}_rate")]
+
+
+def _rates_where(keep: Column, part: str, prefix: str = "", as_name: str | None = None) -> list[Column]:
     """Shipments, counted part and their ratio over the rows in `keep`."""
-    name = as_name or part
     whole = F.coalesce(F.sum(F.when(keep, F.col("shipments"))), F.lit(0))
-    counted = F.sum(F.when(keep, F.col(part)))
-    return [
-        whole.alias(f"{prefix}shipments"),
-        counted.alias(f"{prefix}{name}_count"),
-        rate(counted, whole).alias(f"{prefix}{name}_rate"),
-    ]
+    return _rates(whole, F.sum(F.when(keep, F.col(part))), prefix, as_name or part)
+
+
+def _spikes(windows: DataFrame) -> DataFrame:
+    return windows.where(F.col("anomaly_type") == config.SPIKE_TYPE)
 
 
 def spike_inside(daily: DataFrame, windows: DataFrame) -> DataFrame:
     """Damage rate of each spike's segment inside its window."""
-    spikes = windows.where(F.col("anomaly_type") == config.SPIKE_TYPE)
-    joined = _on_segment(spikes, daily)
-    return joined.groupBy("anomaly_id").agg(*_rates_where(joined, _within(), "damages", as_name="damaged"))
+    days = _spikes(windows).withColumn("day", _days_between(F.col("start_date"), F.col("end_date")))
+    return _on_days(days, daily).groupBy("anomaly_id").agg(*_rates_where(F.lit(True), "damages", as_name="damaged"))
 
 
 def spike_outside(daily: DataFrame, windows: DataFrame) -> DataFrame:
-    """Damage rate of the same segment on all other days."""
-    spikes = windows.where(F.col("anomaly_type") == config.SPIKE_TYPE)
-    joined = _on_segment(spikes, daily)
-    return joined.groupBy("anomaly_id").agg(*_rates_where(joined, ~_within(), "damages", as_name="damaged"))
+    """Damage rate of the same segment on all other days: the segment's total less what lies inside.
+
+    Windows meet one row per segment and one per day of theirs, never all days.
+    """
+    totals = daily.groupBy("warehouse_id", "carrier_id").agg(F.sum("shipments").alias("shipments"), F.sum("damages").alias("damages"))
+    same = (F.col("affected_warehouse_id") == F.col("warehouse_id")) & (F.col("affected_carrier_id").isNull() | (F.col("affected_carrier_id") == F.col("carrier_id")))
+    whole = _spikes(windows).join(totals, same, "left").groupBy("anomaly_id").agg(F.coalesce(F.sum("shipments"), F.lit(0)).alias("all_shipments"), F.sum("damages").alias("all_damages"))
+    left = whole.join(spike_inside(daily, windows).select("anomaly_id", "shipments", "damaged_count"), "anomaly_id")
+    left = left.withColumn("outside", F.col("all_shipments") - F.col("shipments"))
+    damaged = F.when(F.col("outside") > 0, F.col("all_damages") - F.coalesce("damaged_count", F.lit(0)))
+    return left.select("anomaly_id", *_rates(F.col("outside"), damaged, "", "damaged"))
 
 
 def spike_share(daily: DataFrame, windows: DataFrame) -> DataFrame:
@@ -75,13 +86,11 @@ def spike_share(daily: DataFrame, windows: DataFrame) -> DataFrame:
 
 def drift_start_end(daily: DataFrame, windows: DataFrame, days: int = 7) -> DataFrame:
     """Breach rate of each drift's warehouse in the first and last `days` days of its window."""
-    drifts = windows.where(F.col("anomaly_type") == config.DRIFT_TYPE)
-    joined = drifts.join(daily, drifts.affected_warehouse_id == daily.warehouse_id, "left")
-    day = F.col("order_purchase_date")
-    first = day.between(F.col("start_date"), F.date_add("start_date", days - 1))
-    last = day.between(F.date_sub("end_date", days - 1), F.col("end_date"))
-    return joined.groupBy("anomaly_id", "affected_warehouse_id").agg(
-        *_rates_where(joined, first, "breaches", "start_", "breach"), *_rates_where(joined, last, "breaches", "end_", "breach")
+    drifts = windows.where(F.col("anomaly_type") == config.DRIFT_TYPE).withColumn("affected_carrier_id", F.lit(None).cast("string"))
+    first = drifts.withColumn("part", F.lit("start")).withColumn("day", _days_between(F.col("start_date"), F.date_add("start_date", days - 1)))
+    last = drifts.withColumn("part", F.lit("end")).withColumn("day", _days_between(F.date_sub("end_date", days - 1), F.col("end_date")))
+    return _on_days(first.unionByName(last), daily).groupBy("anomaly_id", "affected_warehouse_id").agg(
+        *(c for part in ("start", "end") for c in _rates_where(F.col("part") == part, "breaches", f"{part}_", "breach"))
     )
 
 

@@ -147,7 +147,7 @@ def scalar_casts(t):
         "order_id",
         F.col("order_id").try_cast("int").alias("order_number"),
         F.col("order_purchase_timestamp").cast("date").alias("purchase_date"),
-        F.col("order_purchase_timestamp").cast("string").substr(1, 19).alias("purchase_text"),
+        F.col("order_purchase_timestamp").cast("string").alias("purchase_text"),
     )
     return days.select(
         "*",

@@ -37,3 +37,15 @@ def test_share(inputs):
 
 def test_start_and_end(inputs):
     assert values(findings.drift_start_end(*inputs)) == [("D", "W", 2, 1, 0.5, 2, 2, 1.0)]
+
+
+def test_a_thousand_windows(spark, inputs):
+    """Windows join by day and segment, so a long table is no product with all days."""
+    from pyspark.sql import functions as F
+
+    daily, windows = inputs
+    many = windows.join(spark.range(500)).withColumn("anomaly_id", F.concat("anomaly_id", F.lit("-"), F.col("id"))).drop("id")
+    for finding in (findings.spike_inside, findings.spike_outside, findings.drift_start_end):
+        once, often = finding(daily, windows), finding(daily, many)
+        assert often.count() == 500 * once.count()
+        assert sorted(map(str, set(values(often.drop("anomaly_id"))))) == sorted(map(str, set(values(once.drop("anomaly_id")))))

@@ -7,8 +7,10 @@ d from a pivot, nothing in the annulus [lo, hi] is nearer than max(d - hi, lo -
 its annuli in the order of that bound until they hold k vectors, which gives a k-th best score, and then
 only those annuli whose bound does not exclude a better one. So results are exact whatever the pivots are.
 
-Queries and annuli meet in blocks: an annulus is split into blocks of about `BLOCK` vectors and its queries
-into blocks of about `QUERIES`, so a task's memory does not grow with the data. Equal vectors are one entry
+Queries and annuli meet in blocks: neighbouring annuli of up to `BLOCK` vectors together are a run, which is
+sent to its queries once; a larger annulus is a run of its own, split into blocks of about `BLOCK` vectors.
+A run's queries are split into blocks of about `QUERIES`, so a task's memory does not grow with the data.
+Inside a run a query is compared with those annuli only that it has to open. Equal vectors are one entry
 with their k + 1 least ids, which is all that any query can return, so copies make no hot block.
 
 Only pivots (from a bounded sample), and one row per annulus (`PIVOTS` x `RINGS` at most), reach the driver.
@@ -21,6 +23,8 @@ smaller id. An empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,6 +36,9 @@ from parcelflow.functions.scratch import stored
 SCALE, K = 64, 20
 SAMPLE, PIVOTS, RINGS = 2000, 16, 8
 BLOCK, QUERIES = 4096, 1024
+#: Rows of query and run that are handed to Spark at once.
+ROWS_AT_ONCE = 10_000
+WANTED = "rep long, vector array<long>, least double, run long, annulus array<long>"
 FOUND = "rep long, score long, ids array<long>"
 
 
@@ -114,42 +121,74 @@ def build(vectors: DataFrame, k: int = K, pivots: int = PIVOTS, rings: int = RIN
     return stored(entries.select("rep", "vector", "ids").mapInPandas(key, schema), "topk-index"), found
 
 
+class Directory:
+    """The annuli in order with their sizes and distance ranges, and the run that each belongs to."""
+
+    def __init__(self, index: DataFrame, rings: int):
+        found = index.groupBy("annulus").agg(F.count(F.lit(1)).alias("size"), F.min("distance").alias("lo"), F.max("distance").alias("hi")).orderBy("annulus").toPandas()
+        self.annuli, self.sizes = found["annulus"].to_numpy(), found["size"].to_numpy()
+        self.lo, self.hi, self.of_pivot = found["lo"].to_numpy(), found["hi"].to_numpy(), self.annuli // rings
+        #: First annulus of each run, by position.
+        self.starts, held = [0], 0
+        for i, size in enumerate(self.sizes.tolist()):
+            if held and held + size > BLOCK:
+                self.starts.append(i)
+                held = 0
+            held += size
+        self.ends = [*self.starts[1:], len(self.annuli)]
+
+    def run_of_annulus(self) -> dict[int, int]:
+        return {int(a): run for run, (i, j) in enumerate(zip(self.starts, self.ends, strict=True)) for a in self.annuli[i:j]}
+
+    def run_sizes(self) -> list[int]:
+        return np.add.reduceat(self.sizes, self.starts).tolist()
+
+    def bounds(self, distances: np.ndarray) -> np.ndarray:
+        """Least distance that anything in each annulus can have from queries at `distances` from the pivots."""
+        d = distances[:, self.of_pivot]
+        return np.clip(np.maximum(d - self.hi, self.lo - d), 0, None)
+
+    def first(self, bound: np.ndarray, k: int) -> np.ndarray:
+        """Which annuli are those of least bound that together hold k vectors."""
+        order = np.argsort(bound, axis=1, kind="stable")
+        held = self.sizes[order]
+        chosen = np.zeros(bound.shape, bool)
+        np.put_along_axis(chosen, order, np.cumsum(held, axis=1) - held < k, axis=1)
+        return chosen
+
+    def by_run(self, batch: pd.DataFrame, chosen: np.ndarray) -> Iterator[pd.DataFrame]:
+        """One row per query and run (type `WANTED`), with the chosen annuli of the run."""
+        query, run = np.nonzero(np.logical_or.reduceat(chosen, self.starts, axis=1))
+        for at in range(0, len(query), ROWS_AT_ONCE):
+            q, r = query[at : at + ROWS_AT_ONCE], run[at : at + ROWS_AT_ONCE]
+            lists = [self.annuli[self.starts[j] : self.ends[j]][chosen[i, self.starts[j] : self.ends[j]]] for i, j in zip(q, r, strict=True)]
+            yield batch.iloc[q][["rep", "vector", "least"]].assign(run=r, annulus=lists)
+
+
 def search(queries: DataFrame, index: DataFrame, pivots: Pivots, k: int = K, rings: int = RINGS) -> DataFrame:
     """`rep, vec_id, score`: for each query vector the k best entries, by score and then id. Queries have `rep` and `vector`."""
-    directory = index.groupBy("annulus").agg(F.count(F.lit(1)).alias("size"), F.min("distance").alias("lo"), F.max("distance").alias("hi")).orderBy("annulus").toPandas()
-    annuli, sizes = directory["annulus"].to_numpy(), directory["size"].to_numpy()
-    lo, hi, of_pivot = directory["lo"].to_numpy(), directory["hi"].to_numpy(), annuli // rings
-
-    def bounds(vectors: np.ndarray) -> np.ndarray:
-        d = pivots.of_query(vectors)[:, of_pivot]
-        return np.clip(np.maximum(d - hi, lo - d), 0, None)
+    directory = Directory(index, rings)
 
     def nearest(batches):
         """The annuli of least bound that together hold k vectors."""
         for batch in batches:
-            order = np.argsort(bounds(np.stack(batch["vector"])), axis=1, kind="stable")
-            held = np.cumsum(sizes[order], axis=1)
-            enough = held - sizes[order] < k
-            yield batch.assign(annulus=[annuli[o[e]] for o, e in zip(order, enough, strict=True)], least=None).astype({"least": "float64"})
+            bound = directory.bounds(pivots.of_query(np.stack(batch["vector"])))
+            yield from directory.by_run(batch.assign(least=np.nan), directory.first(bound, k))
 
     def others(batches):
         """The other annuli that can hold a vector at least as good as the k-th so far."""
         for batch in batches:
             vectors = np.stack(batch["vector"])
-            bound, least = bounds(vectors), batch["least"].to_numpy(float)
-            order = np.argsort(bound, axis=1, kind="stable")
-            first = np.zeros(bound.shape, bool)
-            np.put_along_axis(first, order, np.cumsum(sizes[order], axis=1) - sizes[order] < k, axis=1)
+            bound, least = directory.bounds(pivots.of_query(vectors)), batch["least"].to_numpy(float)
             square = (vectors.astype(np.float64) ** 2).sum(axis=1) + pivots.largest - 2 * least
             reach = np.where(np.isnan(least), np.inf, np.sqrt(np.clip(square, 0, None)) + pivots.slack())
-            yield batch.assign(annulus=[annuli[~f & (b <= r)] for f, b, r in zip(first, bound, reach, strict=True)])
+            yield from directory.by_run(batch, ~directory.first(bound, k) & (bound <= reach[:, None]))
 
-    schema = "rep long, vector array<long>, annulus array<long>, least double"
-    start = queries.select("rep", "vector").mapInPandas(nearest, schema)
-    seeds = stored(_expand(start, index, dict(zip(annuli.tolist(), sizes.tolist(), strict=True)), pivots.largest, k), "topk-seeds")
+    start = queries.select("rep", "vector").mapInPandas(nearest, WANTED)
+    seeds = stored(_expand(start, index, directory, pivots.largest, k), "topk-seeds")
     least = _best(seeds, k).groupBy("rep").agg(F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("least"))
-    rest = queries.join(least, "rep").select("rep", "vector", F.lit(None).cast("array<long>").alias("annulus"), "least").mapInPandas(others, schema)
-    found = _expand(rest, index, dict(zip(annuli.tolist(), sizes.tolist(), strict=True)), pivots.largest, k)
+    rest = queries.join(least, "rep").select("rep", "vector", "least").mapInPandas(others, WANTED)
+    found = _expand(rest, index, directory, pivots.largest, k)
     return _best(seeds.unionByName(found), k)
 
 
@@ -159,39 +198,47 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return each.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select("rep", "vec_id", "score")
 
 
-def _expand(wanted: DataFrame, index: DataFrame, sizes: dict[int, int], largest: float, k: int) -> DataFrame:
-    """The best entries of each wanted annulus for each query, block by block: `FOUND`."""
-    wanted = stored(wanted.select("rep", "vector", "least", F.explode("annulus").alias("annulus")), "topk-wanted")
-    asked = {r.annulus: r.n for r in wanted.groupBy("annulus").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _expand(wanted: DataFrame, index: DataFrame, directory: Directory, largest: float, k: int) -> DataFrame:
+    """The best entries of each wanted run for each query, block by block: `FOUND`."""
+    wanted = stored(wanted, "topk-wanted")
+    asked = {r.run: r.n for r in wanted.groupBy("run").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not asked:
         return index.sparkSession.createDataFrame([], FOUND)
+    sizes = directory.run_sizes()
+    run_of = {a: run for a, run in directory.run_of_annulus().items() if run in asked}
 
-    def blocks(counts: dict[int, int], block: int) -> Column:
-        each = F.create_map(*(F.lit(int(x)) for a in asked for x in (a, -(-counts[a] // block))))
-        return F.element_at(each, F.col("annulus"))
+    def lookup(values: dict[int, int], key: str) -> Column:
+        return F.element_at(F.create_map(*(F.lit(x).cast("long") for pair in values.items() for x in pair)), F.col(key))
 
     def spread(n: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
 
     def own(n: Column) -> Column:
-        return F.pmod(F.xxhash64("rep", F.lit(5)), n.cast("long"))
+        return F.pmod(F.xxhash64("rep", F.lit(5)), n)
 
-    data_blocks, query_blocks = blocks(sizes, BLOCK), blocks(asked, QUERIES)
-    left = wanted.select("rep", "vector", "least", "annulus", own(query_blocks).alias("query_block"), spread(data_blocks).alias("data_block"))
-    data = index.where(F.col("annulus").isin([int(a) for a in asked]))
-    right = data.select("rep", "vector", "ids", "annulus", own(data_blocks).alias("data_block"), spread(query_blocks).alias("query_block"))
+    data_blocks = lookup({run: -(-sizes[run] // BLOCK) for run in asked}, "run")
+    query_blocks = lookup({run: -(-n // QUERIES) for run, n in asked.items()}, "run")
+    left = wanted.select("*", own(query_blocks).alias("query_block"), spread(data_blocks).alias("data_block"))
+    data = index.where(F.col("annulus").isin(list(run_of))).select("rep", "vector", "ids", "annulus", lookup(run_of, "annulus").alias("run"))
+    right = data.select("*", own(data_blocks).alias("data_block"), spread(query_blocks).alias("query_block"))
 
     def meet(queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(entries):
             return pd.DataFrame({"rep": [], "score": [], "ids": []})
-        exact = np.float64 if largest < 2**53 else np.int64 if largest < 2**63 else object
+        exact, lowest = (np.float64, -np.inf) if largest < 2**53 else (np.int64, np.iinfo(np.int64).min) if largest < 2**63 else (object, 0)
         a, b = np.stack(queries["vector"]).astype(exact), np.stack(entries["vector"]).astype(exact)
-        scores = a @ b.T
+        scores, opened = np.full((len(a), len(b)), lowest, exact), np.zeros((len(a), len(b)), bool)
+        asking, annulus = np.repeat(np.arange(len(a)), queries["annulus"].map(len)), np.concatenate(queries["annulus"].to_list())
+        of_entry = entries["annulus"].to_numpy()
+        for each in np.unique(of_entry):
+            cells = np.ix_(asking[annulus == each], np.flatnonzero(of_entry == each))
+            scores[cells] = a[cells[0][:, 0]] @ b[cells[1][0]].T
+            opened[cells] = True
         floor = queries["least"].to_numpy(float)
         floor = np.where(np.isnan(floor), -np.inf, floor)
         if scores.shape[1] > k and exact is not object:
             floor = np.maximum(floor, np.partition(scores, -k, axis=1)[:, -k])
-        query, entry = np.nonzero(scores >= floor[:, None])
+        query, entry = np.nonzero(opened & (scores >= floor[:, None]))
         score, rep = scores[query, entry], entries["rep"].to_numpy()[entry]
         order = np.lexsort((rep, -score.astype(np.float64 if exact is np.float64 else np.int64), query))
         query, entry, score = query[order], entry[order], score[order]
@@ -200,7 +247,7 @@ def _expand(wanted: DataFrame, index: DataFrame, sizes: dict[int, int], largest:
         kept = nth < k
         return pd.DataFrame({"rep": queries["rep"].to_numpy()[query[kept]], "score": score[kept].astype(np.int64), "ids": entries["ids"].to_numpy()[entry[kept]]})
 
-    keys = ["annulus", "query_block", "data_block"]
+    keys = ["run", "query_block", "data_block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, FOUND)
 
 

@@ -181,7 +181,10 @@ def test_terms_that_disclose(spark):
     assert pii.sanitised(frame).columns == frame.columns and pii.report(docs(spark, [])).count() == 0
 
 
-def test_top_k_of_odd_vectors(spark):
+@pytest.mark.parametrize("block, queries_at_once", [(topk.BLOCK, topk.QUERIES), (24, 4)])
+def test_top_k_of_odd_vectors(spark, monkeypatch, block, queries_at_once):
+    monkeypatch.setattr(topk, "BLOCK", block)  # small ones: many runs, some split into blocks
+    monkeypatch.setattr(topk, "QUERIES", queries_at_once)
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(size=6).round(2).tolist()) for i in range(300)]
     rows += [(i, rows[3][1]) for i in range(300, 420)] + [(421, [9.0] * 6), (440, [0.0] * 6), rows[20], (20, [5.0] * 6)]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from parcelflow import config
 from parcelflow.functions.lookups import unique_lookup
 from parcelflow.functions.scalars import days_between, hash_unit, is_blank, pick_weighted
+from parcelflow.functions.scratch import stored
 
 
 def order_date() -> Column:
@@ -112,10 +113,11 @@ def order_category(items: DataFrame, products: DataFrame, unique_products: bool
     """Most frequent non-blank category per order, ties by name; orders without one are absent.
 
     `mode` combines on the map side into one small count map per order, so a single shuffle by order id
-    does and copies of a hot order or product collapse before it. `unique_products` skips the removal of
-    repeated product ids.
+    does and copies of a hot order or product collapse before it. Unless `unique_products`, repeated product
+    ids are removed first, and the lookup is written to the scratch folder: a join with a written table has
+    plain exchanges on both sides, so the items of a hot product are split.
     """
-    known = products if unique_products else unique_lookup(products, "product_id", "product_category_name")
+    known = products if unique_products else stored(unique_lookup(products, "product_id", "product_category_name"), "product-categories")
     known = known.where(~is_blank(F.col("product_category_name")))
     return (
         items.join(known, "product_id")
@@ -281,11 +283,12 @@ def draw_issue(orders: DataFrame, rules: config.Rules, salt: str = "i", type_sal
 
 
 def with_customer_state(orders: DataFrame, customers: DataFrame, unique_customers: bool = False) -> DataFrame:
-    """Add the state of the customer. The orders side of the join may be split where one customer is hot.
+    """Add the state of the customer. The orders side of the join is split where one customer is hot.
 
-    `unique_customers` skips the removal of repeated customer ids.
+    Unless `unique_customers`, repeated customer ids are removed first, and the lookup is written to the
+    scratch folder, as in `order_category`.
     """
-    states = customers if unique_customers else unique_lookup(customers, "customer_id", "customer_state")
+    states = customers if unique_customers else stored(unique_lookup(customers, "customer_id", "customer_state"), "customer-states")
     return orders.join(states.select("customer_id", "customer_state"), "customer_id", "left")
 
 
@@ -305,7 +308,7 @@ def enrich_orders(
 
     `months=None` keeps the whole history instead of the last complete months; orders without a purchase
     time are dropped in both cases. `unique_keys` states that customer and product ids are known to be
-    unique (`quality.duplicates` tells), which saves two aggregations. `windows` is a window table to join
+    unique (`quality.duplicates` tells); else two lookups without repeated ids are written first. `windows` is a window table to join
     in place of the short list in `rules`.
     """
     kept = in_recent_months(orders, months) if months else orders.where(F.col("order_purchase_timestamp").isNotNull())

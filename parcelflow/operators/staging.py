@@ -1,7 +1,7 @@
 """Staging models over the bronze tables, and the shipment fact.
 
-The join forms take the assignment tables one by one. `shipments_of` and `fact_of` give the same rows
-from the wide enriched orders without any join.
+The join forms take the assignment tables one by one. `orders_of`, `shipments_of` and `fact_of` give the
+same rows from the wide enriched orders, with one join by order id for the first and none for the others.
 """
 
 from __future__ import annotations
@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from parcelflow import config
 from parcelflow.functions.scalars import days_between
 
+ORDER_COLUMNS = (
+    "order_id", "customer_id", "customer_state", "order_status", "order_purchase_timestamp", "order_approved_at",
+    "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date", "warehouse_id",
+    "warehouse_name", "carrier_id", "carrier_name",
+)
 SHIPMENT_COLUMNS = (
     "shipment_id", "order_id", "warehouse_id", "carrier_id", "customer_state", "order_purchase_date",
     "delivered_customer_date", "estimated_delivery_date", "actual_delivery_days", "estimated_delivery_days",
@@ -31,11 +36,17 @@ def stg_orders(orders: DataFrame, customers: DataFrame, warehouse_assignments: D
         orders.join(customers.select("customer_id", "customer_state"), "customer_id", "left")
         .join(warehouse_assignments.select("order_id", "warehouse_id", "warehouse_name"), "order_id", "left")
         .join(carrier_assignments.select("order_id", "carrier_id", "carrier_name"), "order_id", "left")
-        .select(
-            "order_id", "customer_id", "customer_state", "order_status", "order_purchase_timestamp",
-            "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
-            "order_estimated_delivery_date", "warehouse_id", "warehouse_name", "carrier_id", "carrier_name",
-        )
+        .select(*ORDER_COLUMNS)
+    )
+
+
+def orders_of(orders: DataFrame, customers: DataFrame, enriched: DataFrame) -> DataFrame:
+    """`stg_orders` with the assignments of the wide enriched orders: one join by order id instead of two."""
+    assigned = enriched.select("order_id", "warehouse_id", "warehouse_name", "carrier_id", "carrier_name")
+    return (
+        orders.join(customers.select("customer_id", "customer_state"), "customer_id", "left")
+        .join(assigned, "order_id", "left")
+        .select(*ORDER_COLUMNS)
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow import config
+from parcelflow.functions.lookups import unique_lookup
 from parcelflow.operators import quality, scoring, staging
 from parcelflow.operators.enrich import ASSIGNMENT_COLUMNS, assignment_tables, enrich_orders, warehouse_routing
 from parcelflow.plans import exports, findings, marts
@@ -76,17 +77,19 @@ def build_marts(
         return materialize(df, f"{out_dir}/{name}")
 
     orders, customers = sources["raw_orders"], sources["raw_customers"]
+    # Lookups as written tables: the orders of a hot customer and the items of a hot product are then split.
+    states = write("customer_states", unique_lookup(customers, "customer_id", "customer_state"))
+    categories = write("product_categories", unique_lookup(sources["raw_products"], "product_id", "product_category_name"))
     enriched = write(
         "enriched_orders",
         enrich_orders(
-            orders, customers, sources["raw_order_items"], sources["raw_products"], sources["raw_reviews"], routing, rules, months, windows=windows
+            orders, states, sources["raw_order_items"], categories, sources["raw_reviews"], routing, rules, months, unique_keys=True, windows=windows
         ),
     )
     assigned = assignment_tables(enriched)
     tables = dict(assigned)
-    tables["stg_orders"] = staging.stg_orders(
-        orders, customers, assigned["raw_warehouse_assignments"], assigned["raw_carrier_assignments"]
-    )
+    # written, as three checks and every reader use it
+    tables["stg_orders"] = write("stg_orders", staging.orders_of(orders, customers, enriched))
     tables["stg_shipments"] = staging.shipments_of(enriched)
     tables["stg_issues"] = staging.stg_issues(assigned["raw_issue_flags"])
 

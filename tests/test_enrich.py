@@ -156,28 +156,49 @@ def test_window_join_equals_the_expression(spark):
     assert {r.anomaly_id for r in by_rule.collect()} == {"a", "b", "c", "d", "e", "f", None}
 
 
-def test_hot_customers_are_split(spark):
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.shuffle.partitions": "20",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
+SPLITTING = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.shuffle.partitions": "20",
+}
+
+
+@pytest.fixture
+def splitting(spark):
+    before = {key: spark.conf.get(key, None) for key in SPLITTING}
+    for key, value in SPLITTING.items():
         spark.conf.set(key, value)
-    try:
-        hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
-        frame = spark.range(0, 60_000, numPartitions=8).select(F.col("id").cast("string").alias("order_id"), hot.alias("customer_id"), F.md5(F.col("id").cast("string")).alias("payload"))
-        customers = spark.range(60_000).select(F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("customer_id"), F.lit("SP").alias("customer_state"))
-        joined = enrich.with_customer_state(frame, customers, unique_customers=True)
-        assert len(joined.collect()) == 60_000
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_frame(spark, key):
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    return spark.range(0, 60_000, numPartitions=8).select(F.col("id").cast("string").alias("order_id"), hot.alias(key), F.md5(F.col("id").cast("string")).alias("payload"))
+
+
+def lookup_frame(spark, key, name, value):
+    return spark.range(60_000).select(F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias(key), F.lit(value).alias(name))
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_hot_customers_are_split(spark, splitting, unique):
+    customers = lookup_frame(spark, "customer_id", "customer_state", "SP")
+    joined = enrich.with_customer_state(hot_frame(spark, "customer_id"), customers, unique_customers=unique)
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_hot_products_are_split(spark, splitting, unique):
+    products = lookup_frame(spark, "product_id", "product_category_name", "toys")
+    found = enrich.order_category(hot_frame(spark, "product_id"), products, unique_products=unique)
+    assert len(found.collect()) == 60_000
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_issue_source_is_the_last_signal(spark):

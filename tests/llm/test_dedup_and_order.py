@@ -111,6 +111,16 @@ def test_simhash_of_odd_rows(spark):
     assert kept.columns == DOCS_COLUMNS and kept.count() == len(set(grouped.values()))
 
 
+def test_simhash_keeps_unrelated_texts_of_one_id(spark):
+    """Groups without ids, or with one repeated id, are still different groups."""
+    texts = [hashlib.sha256(str(i).encode()).hexdigest()[:40].translate(str.maketrans("0123456789", "ghijk lmno")) + f" of row {i} alone" for i in range(8)]
+    rows = [(None, t, "en", None, 0) for t in texts[:4]] + [(7, t, "en", None, 0) for t in texts[4:]] + [(None, texts[0], "en", None, 0), (9, texts[1], "en", None, 0)]
+    prints = [plain_simhash(t) for t in texts]
+    assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[:i])
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs(spark, rows)).collect()]
+    assert Counter(kept) == Counter([(None, texts[0]), (9, texts[1]), (None, texts[2]), (None, texts[3]), *((7, t) for t in texts[4:])])
+
+
 DOCS_COLUMNS = [c.split()[0] for c in DOCS.split(", ")] + CLASHING
 
 

@@ -1,20 +1,22 @@
 """Personal data: patterns, and information-theoretic sanitisation of the terms that give it away.
 
 Emails, IP addresses, card and phone numbers are found by pattern and check (`KINDS`). They are the protected
-entities. A term is a word of letters; it is near an entity if it stands within `CONTEXT` characters of one
-of its mentions. Over all documents, the pointwise mutual information of term and entity,
-log(N n_et / (n_e n_t)), says how much of the entity's information log(N / n_e) the term discloses. Terms of a
-document that disclose at least the share `THRESHOLD` of an entity near them, with `SUPPORT` documents behind
-it, get spans of kind `term`. They are generalised to their first letters if those disclose less than the
-threshold, and removed otherwise.
+entities. A term is a word of letters outside of emails. Over whole documents, the pointwise mutual information of term and entity,
+log(N n_et / (n_e n_t)), says how much of the entity's information log(N / n_e) the term discloses. Where a
+document holds an entity, every occurrence of a term that discloses at least the share `THRESHOLD` of it gets a
+span of kind `term`, wherever it stands. At least `SUPPORT` documents must hold both. Terms are generalised to their first letters if those are fewer than all
+and disclose less than the threshold, and removed otherwise.
 
 All expressions are built-in functions. Java regular expressions with possessive loops find the same matches
 as the plain patterns, in time linear in the text and without recursion. Positions come from the lengths of
-the matches and of the text between them, summed in blocks. Only words that are near some entity, and counts,
-are shuffled, never texts; counts are combined first.
+the matches and of the text between them, summed in blocks. Words and counts are shuffled, never texts; counts
+are combined first. The threshold bounds n_t by n_e^THRESHOLD N^(1 - THRESHOLD) for any n_et, so commoner terms
+are left out before they are paired with entities, without change of the result. Entities of the same documents
+disclose alike and are paired as one, so a list of many entities has one pair a term. Texts that hold an entity
+are written once.
 
 Defined results: a NULL text counts as empty and has no spans. Repeated rows have the same spans, and each
-counts as a document. A term that is near several entities has one span. If every document holds an entity,
+counts as a document. A term that discloses several entities has one span. If every document holds an entity,
 it has no information to disclose. An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from parcelflow.functions.scratch import stored
 from parcelflow.llm import common
 
-CONTEXT, THRESHOLD, SUPPORT, PREFIX = 48, 0.8, 3, 3
+THRESHOLD, SUPPORT, PREFIX = 0.8, 3, 3
 #: Patterns by kind, in the order of the result. A start inside a run of its own characters cannot be leftmost
 #: unless a match ends there, so starts are tied to run beginnings and ends of matches.
 KINDS = {
@@ -41,7 +43,7 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 TERM = r"(?<!\S)\p{L}{3,}+(?=[.,;:!?)]?(?!\S))"
 #: Spans summed at once; a text of n matches costs n * BLOCK steps at most.
 BLOCK = 128
-SPANS = "array<struct<start:int,end:int,text:string,before:string,after:string,cut:boolean>>"
+SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
 def with_spans(df: DataFrame, name: str, text: str, pattern: str, needed: Column | None = None) -> DataFrame:
@@ -54,14 +56,9 @@ def with_spans(df: DataFrame, name: str, text: str, pattern: str, needed: Column
     between = F.split(F.col(text), pattern, -1)
     parts = F.struct(found.alias("found"), between.alias("between"))
     cut = df.withColumn("parts", parts if needed is None else F.when(needed, parts))
-    later = F.slice("parts.between", F.lit(2), F.greatest(F.size("parts.found"), F.lit(0)))
-    pairs = F.zip_with(F.slice("parts.between", F.lit(1), F.greatest(F.size("parts.found"), F.lit(0))), later, lambda b, a: F.struct(b.alias("before"), a.alias("after")))
     items = F.zip_with(
-        "parts.found", pairs,
-        lambda m, p: F.struct(
-            F.length(p["before"]).alias("gap"), F.length(m).alias("size"), m.alias("text"),
-            F.substring(p["before"], -CONTEXT, CONTEXT).alias("before"), F.substring(p["after"], 1, CONTEXT).alias("after"),
-        ),
+        "parts.found", F.slice("parts.between", F.lit(1), F.greatest(F.size("parts.found"), F.lit(0))),
+        lambda m, before: F.struct(F.length(before).alias("gap"), F.length(m).alias("size"), m.alias("text")),
     )
     summed = cut.withColumn("items", items).drop("parts")
     return summed.withColumn(name, F.coalesce(_located(F.col("items")), F.array().cast(SPANS))).drop("items")
@@ -71,7 +68,7 @@ def _located(items: Column) -> Column:
     """`items` (`gap`, `size`, ...) with `start` and `end`: running sums in blocks, then over the blocks' totals."""
     def add(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
-        here = F.struct(start.alias("start"), (start + x["size"]).alias("end"), x["text"], x["before"], x["after"], (x["gap"] > CONTEXT).alias("cut"))
+        here = F.struct(start.alias("start"), (start + x["size"]).alias("end"), x["text"])
         return F.struct((start + x["size"]).alias("at"), F.concat(state["done"], F.array(here)).cast(SPANS).alias("done"))
 
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("done"))
@@ -83,7 +80,7 @@ def _located(items: Column) -> Column:
     def join(state: Column, block: Column) -> Column:
         moved = F.transform(
             block["done"],
-            lambda s: F.struct((s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end"), s["text"], s["before"], s["after"], s["cut"]),
+            lambda s: F.struct((s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end"), s["text"]),
         )
         return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["done"], F.array(moved)).cast(f"array<{SPANS}>").alias("done"))
 
@@ -129,7 +126,7 @@ def entity(kind: str, text: Column) -> Column:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """`doc_id`, row key and one array of valid spans per kind, columns named by kind."""
+    """`doc_id`, row key, one array of valid spans per kind, columns named by kind, and `text` where there is any."""
     rows = docs.select("doc_id", *common.row_key(), common.whole_text().alias("text"))
     rows = rows.withColumn("has_digit", F.col("text").rlike("[0-9]"))
     for kind, pattern in KINDS.items():
@@ -137,7 +134,11 @@ def base_spans(docs: DataFrame) -> DataFrame:
         if kind != "email":
             needed &= F.col("has_digit")
         rows = with_spans(rows, kind, "text", pattern, needed).withColumn(kind, _checked(kind, F.col(kind)))
-    return rows.drop("text", "has_digit")
+    return rows.withColumn("text", F.when(_holds_any(), F.col("text"))).drop("has_digit")
+
+
+def _holds_any() -> Column:
+    return F.greatest(*(F.size(kind) for kind in KINDS)) > 0
 
 
 def _written(kind: str, found: Column) -> Column:
@@ -152,62 +153,75 @@ def _marks(kind: str) -> Column:
     return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{kind.upper()}]").alias("replacement")))
 
 
-def nearby(rows: DataFrame) -> DataFrame:
-    """Every term near an entity: row key, `entity`, `term`, `start`, `end`."""
-    each = None
-    for kind in KINDS:
-        mention = rows.where(F.size(kind) > 0).select(*common.KEY, F.explode(kind).alias("s")).withColumn("entity", entity(kind, F.col("s.text")))
-        # a context that is cut begins or ends inside a word: leave that word out
-        lead = F.when(F.col("s.cut"), F.regexp_extract("s.before", r"\A\S*", 0)).otherwise("")
-        before = F.substring(F.col("s.before"), F.length(lead) + 1, F.length("s.before"))
-        after = F.when(F.length("s.after") == CONTEXT, F.regexp_replace("s.after", r"\S*\z", "")).otherwise(F.col("s.after"))
-        sides = [(before, F.col("s.start") - F.length(before)), (after, F.col("s.end"))]
-        for side, at in sides:
-            context = mention.select(*common.KEY, "entity", at.alias("at"), side.alias("side"))
-            found = with_spans(context, "found", "side", TERM).select(*common.KEY, "entity", "at", F.explode("found").alias("t"))
-            terms = found.select(*common.KEY, "entity", F.lower("t.text").alias("term"), (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
-            each = terms if each is None else each.unionByName(terms)
-    return each
-
-
-def disclosing(docs: DataFrame, rows: DataFrame, near: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """`entity, term, disclosure, replacement` for the terms that disclose at least the threshold of the entity."""
-    total = rows.count()
-    mentions = None
-    for kind in KINDS:
-        found = rows.where(F.size(kind) > 0).select(F.explode(F.array_distinct(_entities(kind))).alias("entity"))
-        mentions = found if mentions is None else mentions.unionByName(found)
-    of_entity = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+def _general(term: Column) -> Column:
+    """What stands for all terms with the same first letters; no term has a star."""
+    return F.concat(F.substring(term, 1, PREFIX), F.lit("*"))
+
+
+def terms_of(text: Column) -> Column:
+    """The distinct terms of a text and their general forms."""
+    plain = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, KINDS["email"], "@")).otherwise(text)
+    words = F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(plain, F.lit(TERM), F.lit(0))), F.lower))
+    return F.concat(words, F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) > PREFIX), _general)))
+
+
+def occurrences(rows: DataFrame) -> DataFrame:
+    """Every term of the rows with an entity: row key, `term`, `start`, `end`."""
+    sides = F.split("text", KINDS["email"], -1)
+    starts = F.concat(F.array(F.lit(0)), F.transform("email", lambda s: s["end"]))
+    side = rows.where(F.col("text").isNotNull()).select(*common.KEY, F.explode(F.zip_with(sides, starts, lambda text, at: F.struct(text.alias("side"), at.alias("at")))).alias("s"))
+    found = with_spans(side.select(*common.KEY, "s.side", "s.at"), "found", "side", TERM).select(*common.KEY, "at", F.explode("found").alias("t"))
+    return found.select(*common.KEY, F.lower("t.text").alias("term"), (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
+
+
+def entity_sets(rows: DataFrame) -> DataFrame:
+    """Row key, `times` (the rows of that key), `n_e`, and `a`, `b`: entities of the same documents are one set."""
+    each = rows.where(_holds_any()).select(*common.KEY, F.explode(F.array_distinct(F.concat(*(_entities(kind) for kind in KINDS)))).alias("entity"))
     # a row that is repeated counts as often as it occurs
-    repeats = rows.groupBy(*common.KEY).agg(F.count(F.lit(1)).alias("times"))
-    general = F.substring("term", 1, PREFIX)
-    both = near.select(*common.KEY, "entity", "term").unionByName(near.select(*common.KEY, "entity", F.concat(general, F.lit("*")).alias("term")))
-    weighed = both.distinct().join(repeats, common.KEY)
-    together = weighed.groupBy("entity", "term").agg(F.sum("times").alias("n_et")).where(F.col("n_et") >= support)
-    together = stored(together.join(of_entity, "entity"), "pii-together")
-    word = F.array_distinct(F.regexp_extract_all(F.lower(common.whole_text()), F.lit(TERM), F.lit(0)))
-    in_text = docs.select(word.alias("w")).select(F.explode(F.concat("w", F.array_distinct(F.transform("w", lambda x: F.concat(F.substring(x, 1, PREFIX), F.lit("*")))))).alias("term"))
-    wanted = together.select("term").distinct()
-    of_term = in_text.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, "term", "left_semi")
-    information = F.log(F.lit(float(total)) / F.col("n_e"))
-    shared = F.log(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    rated = together.join(of_term, "term").select("entity", "term", F.when(information > 0, shared / information).otherwise(0.0).alias("disclosure"))
-    rated = stored(rated, "pii-disclosure")
-    general_form = rated.where(F.col("term").endswith("*")).select("entity", F.col("term").alias("general"), F.col("disclosure").alias("general_disclosure"))
-    words = rated.where(~F.col("term").endswith("*") & (F.col("disclosure") >= threshold)).withColumn("general", F.concat(general, F.lit("*")))
-    kept = words.join(general_form, ["entity", "general"], "left")
-    replacement = F.when(F.col("general_disclosure") < threshold, F.col("general")).otherwise("")
-    return kept.select("entity", "term", "disclosure", replacement.alias("replacement"))
+    held = stored(each.groupBy(*common.KEY, "entity").agg(F.count(F.lit(1)).alias("times")), "pii-held")
+    prints = [F.bit_xor(F.xxhash64(*common.KEY, F.lit(seed))).alias(name) for name, seed in (("a", 1), ("b", 2))]
+    of_entity = stored(held.groupBy("entity").agg(F.sum("times").alias("n_e"), *prints), "pii-entities")
+    return held.join(of_entity, "entity").select(*common.KEY, "times", "n_e", "a", "b").distinct()
+
+
+SET = ["n_e", "a", "b"]
+
+
+def disclosing(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
+    """Row key, `term` and `replacement` for the terms that disclose at least the threshold of an entity of the row."""
+    total = float(rows.count())
+    sets = stored(entity_sets(rows).where(F.col("n_e") < total), "pii-sets")
+    most = float(sets.agg(F.max("n_e")).first()[0] or 0)
+
+    def bound(n_e: Column) -> Column:
+        # n_et is n_e at most; the last factor is for rounding
+        return F.pow(n_e, F.lit(threshold)) * max(total, 1.0) ** (1 - threshold) * (1 + 1e-9)
+
+    in_text = docs.select(F.explode(terms_of(common.whole_text())).alias("term"))
+    of_term = stored(in_text.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t") <= bound(F.lit(most))), "pii-terms-rare")
+    each = rows.where(F.col("text").isNotNull()).select(*common.KEY, F.explode(terms_of(F.col("text"))).alias("term")).distinct()
+    rare = stored(each.join(of_term, "term"), "pii-rare")
+    pairs = stored(rare.join(sets, common.KEY).where(F.col("n_t") <= bound(F.col("n_e"))), "pii-pairs")
+    together = pairs.groupBy(*SET, "term", "n_t").agg(F.sum("times").alias("n_et"))
+    together = together.where(F.col("n_et") >= support)
+    information = F.log(F.lit(total) / F.col("n_e"))
+    shared = F.log(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    rated = stored(together.where(shared / information >= threshold).select(*SET, "term"), "pii-disclosure")
+    general_form = rated.where(F.col("term").endswith("*")).select(*SET, F.col("term").alias("general"), F.lit(True).alias("reveals"))
+    words = rated.where(~F.col("term").endswith("*")).withColumn("general", _general(F.col("term")))
+    kept = words.join(general_form, [*SET, "general"], "left")
+    safe = F.col("reveals").isNull() & (F.length("term") > PREFIX)
+    revealing = stored(kept.select(*SET, "term", F.when(safe, F.col("general")).otherwise("").alias("replacement")), "pii-revealing")
+    return pairs.join(revealing, [*SET, "term"]).groupBy(*common.KEY, "term").agg(F.min("replacement").alias("replacement"))
 
 
 def find(docs: DataFrame) -> DataFrame:
     """`doc_id`, row key, the arrays of `KINDS` and `terms` (`start`, `end`, `replacement`) for every row."""
     rows = stored(base_spans(docs), "pii-rows")
-    near = stored(nearby(rows), "pii-near")
-    revealing = stored(disclosing(docs, rows, near), "pii-revealing")
-    flagged = near.join(revealing, ["entity", "term"]).groupBy(*common.KEY, "start", "end").agg(F.min("replacement").alias("replacement"))
+    revealing = stored(disclosing(docs, rows), "pii-flagged")
+    flagged = occurrences(rows).join(revealing, [*common.KEY, "term"]).groupBy(*common.KEY, "start", "end").agg(F.min("replacement").alias("replacement"))
     terms = flagged.groupBy(*common.KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end", "replacement"))).alias("terms"))
-    return rows.join(stored(terms, "pii-terms"), common.KEY, "left")
+    return rows.drop("text").join(stored(terms, "pii-terms"), common.KEY, "left")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -181,6 +181,26 @@ def test_terms_that_disclose(spark):
     assert pii.sanitised(frame).columns == frame.columns and pii.report(docs(spark, [])).count() == 0
 
 
+def _term_words(rows, spans) -> set[tuple[int, str, int]]:
+    """Id, text and start of every term span."""
+    texts = {r[0]: r[1] for r in rows}
+    parts = [(i, *map(int, s.split(":")[1:])) for i, found in spans.items() for s in found.split(",") if s.startswith("term:")]
+    return {(i, texts[i][a:b], a) for i, a, b in parts}
+
+
+def test_terms_anywhere_in_the_document(spark):
+    """Far from the mention, repeated, and next to it in few of the documents only."""
+    far = " and so on" * 12
+    rows = [(i, f"mail gandalf@mail.example now{far} Gandalf{far} 10.0.0.1 Gandalf", "en", None, 0) for i in range(4)]
+    rows += [(10 + i, f"mail 7.7.7.{i} or zeus@mail.example{far} Thunder" if i else f"zeus@mail.example Thunder now{far}", "en", None, 0) for i in range(5)]
+    rows += [(20 + i, f"mail nobody now{far}", "en", None, 0) for i in range(40)]
+    found = {r.doc_id: r.spans for r in pii.report(docs(spark, rows)).collect()}
+    wanted = {(i, word, m.start()) for i, text, *_ in rows for word in ("Gandalf", "Thunder") for m in re.finditer(rf"\b{word}\b", text)}
+    assert len(wanted) == 13
+    assert {x for x in _term_words(rows, found) if x[1] in ("Gandalf", "Thunder")} == wanted
+    assert not any(i >= 20 for i, *_ in _term_words(rows, found))
+
+
 @pytest.mark.parametrize("block, queries_at_once", [(topk.BLOCK, topk.QUERIES), (24, 4)])
 def test_top_k_of_odd_vectors(spark, monkeypatch, block, queries_at_once):
     monkeypatch.setattr(topk, "BLOCK", block)  # small ones: many runs, some split into blocks

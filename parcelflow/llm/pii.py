@@ -1,10 +1,13 @@
 """Personal data: patterns, and information-theoretic sanitisation of the terms that give it away.
 
 Emails, IP addresses, card and phone numbers are found by pattern and check (`KINDS`). They are the protected
-entities. A term is a word of letters outside of emails. Over whole documents, the pointwise mutual information of term and entity,
+entities. A term is a run of letters and marks, with inner hyphens and apostrophes, anywhere outside of emails;
+a final 's is no part of it. Over whole documents, the pointwise mutual information of term and entity,
 log(N n_et / (n_e n_t)), says how much of the entity's information log(N / n_e) the term discloses. Where a
 document holds an entity, every occurrence of a term that discloses at least the share `THRESHOLD` of it gets a
-span of kind `term`, wherever it stands. At least `SUPPORT` documents must hold both. Terms are generalised to their first letters if those are fewer than all
+span of kind `term`, wherever it stands. An entity of `SUPPORT` documents or more needs as many that hold the term
+too. A rarer entity needs no more than one: the threshold then bounds the documents of the term,
+n_t <= n_et (N / n_e)^(1 - THRESHOLD). Terms are generalised to their first letters if those are fewer than all
 and disclose less than the threshold, and removed otherwise.
 
 All expressions are built-in functions. Java regular expressions with possessive loops find the same matches
@@ -17,7 +20,8 @@ are written once.
 
 Defined results: a NULL text counts as empty and has no spans. Repeated rows have the same spans, and each
 counts as a document. A term that discloses several entities has one span. If every document holds an entity,
-it has no information to disclose. An empty table gives an empty result. Extra columns are ignored.
+it has no information to disclose. In scripts without spaces a run of letters is one term, whatever words are in
+it. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +43,8 @@ KINDS = {
 }
 #: What a text must contain for a kind to be looked for at all.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
-#: Words of letters between white space, with closing punctuation left out.
-TERM = r"(?<!\S)\p{L}{3,}+(?=[.,;:!?)]?(?!\S))"
+#: Runs of letters and marks, also across a hyphen or apostrophe, without a final 's.
+TERM = r"(?<![\p{L}\p{M}]['\u2019](?=[sS](?![\p{L}\p{M}])))[\p{L}\p{M}]++(?:(?:-|['\u2019](?![sS](?![\p{L}\p{M}])))[\p{L}\p{M}]++)*+"
 #: Spans summed at once; a text of n matches costs n * BLOCK steps at most.
 BLOCK = 128
 SPANS = "array<struct<start:int,end:int,text:string>>"
@@ -203,7 +207,7 @@ def disclosing(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, s
     rare = stored(each.join(of_term, "term"), "pii-rare")
     pairs = stored(rare.join(sets, common.KEY).where(F.col("n_t") <= bound(F.col("n_e"))), "pii-pairs")
     together = pairs.groupBy(*SET, "term", "n_t").agg(F.sum("times").alias("n_et"))
-    together = together.where(F.col("n_et") >= support)
+    together = together.where((F.col("n_et") >= support) | (F.col("n_e") < support))
     information = F.log(F.lit(total) / F.col("n_e"))
     shared = F.log(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     rated = stored(together.where(shared / information >= threshold).select(*SET, "term"), "pii-disclosure")

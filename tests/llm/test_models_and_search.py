@@ -201,6 +201,26 @@ def test_terms_anywhere_in_the_document(spark):
     assert not any(i >= 20 for i, *_ in _term_words(rows, found))
 
 
+NAMES = ["Zorbinski", "Jean-Luc", "O\u2019Brien", "Li", "Jose\u0301", "\u738b\u5c0f\u660e", "Quux", "Vega"]
+
+
+def test_terms_of_any_form_and_of_rare_entities(spark):
+    """Names in brackets, quotes, genitives and before mentions, of entities in one and two documents."""
+    text = "(Zorbinski) \"Zorbinski\" Zorbinski's ZORBINSKI'S Jean-Luc, O\u2019Brien/Li Jose\u0301; \u738b\u5c0f\u660e\u3002 Quux<quux@x.org> and 9Vega9"
+    rows = [(1, text, "en", None, 0), (2, "Talos at talos@y.org and", "en", None, 0), (3, "and talos@y.org, (Talos) Minos", "en", None, 0)]
+    rows += [(20 + i, "and at x org y", "en", None, 0) for i in range(40)]
+    # an entity of many documents needs more than one document for a term
+    rows += [(70 + i, f"and 10.0.0.1 {'Hapax' if i == 0 else 'at'}", "en", None, 0) for i in range(5)]
+    spans = {r.doc_id: r.spans for r in pii.report(docs(spark, rows)).collect()}
+    found = _term_words(rows, spans)
+    wanted = {(1, name, m.start()) for name in NAMES for m in re.finditer(name, text)} | {(1, "ZORBINSKI", text.index("ZORBINSKI"))}
+    assert {x for x in found if x[0] == 1} == wanted and len(wanted) == 11
+    assert {x[:2] for x in found if x[0] in (2, 3)} == {(2, "Talos"), (3, "Talos"), (3, "Minos")}
+    assert not any(i >= 20 for i, *_ in found)
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs(spark, rows)).collect()}
+    assert not any(name.lower() in clean[1].lower() for name in NAMES) and "Talos" not in clean[2] + clean[3]
+
+
 @pytest.mark.parametrize("block, queries_at_once", [(topk.BLOCK, topk.QUERIES), (24, 4)])
 def test_top_k_of_odd_vectors(spark, monkeypatch, block, queries_at_once):
     monkeypatch.setattr(topk, "BLOCK", block)  # small ones: many runs, some split into blocks

@@ -53,6 +53,15 @@ def keep_only(docs: DataFrame, keepers: DataFrame) -> DataFrame:
     return rows.join(keepers.select(*KEY), KEY, "left_semi").select("doc.*")
 
 
+def one_per_document(rows: DataFrame, *document: str) -> DataFrame:
+    """One of the rows (`text` and others) for each value of the columns `document`: that of the least text hash.
+
+    Each task keeps one row per document before the shuffle, so an id of very many rows is no hot key.
+    """
+    best = F.min_by(F.struct(*(F.col(c) for c in rows.columns)), F.struct(F.col("text").isNull(), F.xxhash64("text")))
+    return rows.groupBy(*(F.col(c).alias(f"document_{i}") for i, c in enumerate(document))).agg(best.alias("best")).select("best.*")
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """`node, root` for every node of `edges` (`u`, `v`: longs): `root` is the least node that it reaches.
 

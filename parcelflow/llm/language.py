@@ -8,7 +8,7 @@ that the language's share of set bits makes likely.
 An n-gram belongs to a language if it occurs in at least `SUPPORT` of the language's training documents, so
 a language holds at most 1/SUPPORT times the mean number of distinct n-grams a document: the filter has a
 proven size and is sent to the tasks. Training reads about `PER_LANGUAGE` whole documents a language, chosen
-by a hash of their id; prediction reads every whole text.
+by a hash of id and text, each once whatever number of rows it has; prediction reads every whole text.
 
 Defined results: a text that is NULL or has no letter is `und` with score 0; if nothing could be learned,
 every document is. Equal counts go to the language with more training documents, then by name. Repeated
@@ -61,13 +61,17 @@ def positions_of(grams: np.ndarray, i: int, positions: int) -> np.ndarray:
 def learn(docs: DataFrame) -> Filter:
     """The filter of all languages of `docs` (`doc_id`, `text`, `lang`; NULL languages left out)."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # rows of equal id and text are one document; their number is estimated, as the sample's size is
+    document = F.xxhash64("doc_id", F.lit(7), "text")
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(document).alias("documents")).collect()
+    counts, documents = {r.lang: r.n for r in sizes}, {r.lang: max(r.documents, 1) for r in sizes}
     languages = sorted(counts, key=lambda lang: (-counts[lang], lang))
     if not languages:
         return Filter([], 1)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000))
-    share = F.element_at(F.create_map(*(F.lit(x) for lang in languages for x in (lang, min(1_000_000, -(-PER_LANGUAGE * 1_000_000 // counts[lang]))))), F.col("lang"))
-    sample = known.where(draw < share)
+    draw = F.pmod(document, F.lit(1_000_000))
+    share = F.element_at(F.create_map(*(F.lit(x) for lang in languages for x in (lang, min(1_000_000, -(-PER_LANGUAGE * 1_000_000 // documents[lang]))))), F.col("lang"))
+    drawn = known.where(draw < share).withColumn("document", document)
+    sample = common.one_per_document(drawn, "lang", "document")
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -67,7 +67,8 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame
     # about PER_DOMAIN ids a domain, whatever the size of the input
     chosen = F.broadcast(known.where(draw < share))
     # written first: else a filter on the features, made for explode, is pushed below the join to all documents
-    texts = stored(docs.select("doc_id", "text").join(chosen, "doc_id").select("domain", "text"), "mixing-sample")
+    drawn = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "domain", "text")
+    texts = stored(common.one_per_document(drawn, "doc_id").select("domain", "text"), "mixing-sample")
     sample = texts.select("domain", _features(words(common.whole_text())).alias("found"))
     counts = sample.select("domain", F.explode("found").alias("bucket")).groupBy("bucket").agg(*(F.sum((F.col("domain") == d).cast("double")).alias(f"n_{i}") for i, d in enumerate(domains)))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))

@@ -5,7 +5,7 @@ much more often toxic documents have them than others do. A logistic regression
 times their ratios, with the classes weighted to their real shares, and reads every whole text.
 
 Training uses about `PER_CLASS` labelled documents a class, chosen by a hash of their id (the one bound of
-this module); of their features the `FEATURES` with the largest ratios are kept.
+this module), and one text of each, whatever number of rows has the id; of their features the `FEATURES` with the largest ratios are kept.
 
 Defined results: a document with several labels counts as toxic if one is; NULL labels are left out. A text
 that is NULL or has no letter has no features and scores the intercept. Without labels of both classes the
@@ -56,7 +56,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict
     share = F.when(F.col("toxic") == 1, F.lit(_share(counts.get(1, 0)))).otherwise(F.lit(_share(counts.get(0, 0))))
     # about 2 * PER_CLASS ids of 12 bytes, whatever the size of the input
     chosen = F.broadcast(known.where(draw < share))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("toxic", "text"), counts
+    drawn = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "toxic", "text")
+    return common.one_per_document(drawn, "doc_id").select("toxic", "text"), counts
 
 
 def _share(count: int) -> int:

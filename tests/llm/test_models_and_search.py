@@ -71,6 +71,22 @@ def test_toxicity_of_odd_rows(spark):
     assert kept.columns == docs(spark).columns and kept.count() == sum(1 - r.predicted for r in rows)
 
 
+def test_training_takes_a_repeated_document_once(spark):
+    rows = [(i, f"plain text number {i} of many", "en", None, 0) for i in range(40)]
+    rows += [(3, f"copy {i % 2} of one id", "en", None, 0) for i in range(500)] + [(None, f"no id {i % 3}", "fr", None, 0) for i in range(300)]
+    frame = docs(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    sample, counts = toxicity.labelled_sample(frame, labels)
+    assert sample.count() == sum(counts.values()) == sum(not is_held_out(i) for i in range(40))
+    # the weights of the table without repeats: any one text of the id
+    labelled = spark.createDataFrame([(i, "en" if i % 2 else "de") for i in range(40)], "doc_id long, domain string")
+    trained = mixing.train(frame, labelled, ["en", "de"]).first().weights
+    assert trained in [mixing.train(docs(spark, [r for r in rows[:40] if r[0] != 3] + [one]), labelled, ["en", "de"]).first().weights for one in {r for r in rows if r[0] == 3}]
+    once = language.learn(docs(spark, sorted(set(rows), key=str)))
+    learned = language.learn(frame)
+    assert sorted(learned.languages) == ["en", "fr"] and all((learned.slices[:, 0] >> np.uint64(learned.languages.index(x)) & np.uint64(1)).tolist() == (once.slices[:, 0] >> np.uint64(once.languages.index(x)) & np.uint64(1)).tolist() for x in ("en", "fr"))
+
+
 def test_log_count_ratios():
     found = [np.array([1, 2]), np.array([1]), np.array([3])]
     ratio = toxicity.log_count_ratios(found, np.array([True, True, False]))

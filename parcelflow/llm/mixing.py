@@ -2,14 +2,16 @@
 
 A naive Bayes classifier, trained on a labelled table, gives every document a posterior over the domains.
 Nonnegative rates per document are then fitted so that the expected tokens of each domain meet its target:
-least squares over the domains' token shares by accelerated projected gradient, starting from rate 1, in the
-metric of the documents' tokens (so a step changes a rate by the posterior's product with the residual, and
-the fit stays near 1). A document is taken floor(rate) times, and once more with the rest as its chance.
+least squares over the domains' token shares, and of all such rates those nearest to 1 in the metric of the
+documents' tokens. These are max(0, 1 + posterior * pull) for one number, the pull, per domain, so the fit is a
+system with as many unknowns as domains. Newton's method solves it to `TOLERANCE` however rare a domain is; what is
+left where no rates can meet the targets is in `Fit.residual`, with a warning. A document is taken floor(rate)
+times, and once more with the rest as its chance.
 
-Posteriors are kept in units of 1/`UNITS`. Documents of equal posterior then have equal rates, so the fit
-runs over distinct posteriors with their token totals: one pass over the corpus whatever the number of
-steps, and a table bounded by the number of unit vectors. Every step is an aggregation in Spark; only one
-residual per domain comes back.
+Posteriors are kept in units of 1/`UNITS`. Documents of equal units have equal rates, so the fit
+runs over distinct units with their token totals: one pass over the corpus whatever the number of
+steps, and a table bounded by the number of unit vectors. Every step is two aggregations in Spark; only sums
+per pair of domains come back.
 
 All expressions are built-in functions. The model is one row of `BUCKETS` weight vectors, made by Spark and
 put into the plan as a constant of that fixed size. Scoring happens in place: texts are not shuffled, and each is read whole.
@@ -22,8 +24,10 @@ table gives an empty result. Extra columns are ignored, or kept by `mixed`.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +37,9 @@ from parcelflow.llm import common
 BUCKETS, UNITS = 1 << 13, 64
 #: The bound of the training sample: about so many labelled documents a domain.
 PER_DOMAIN = 3000
-STEPS, TOLERANCE = 60, 1e-4
+TOLERANCE = 1e-4
+#: Weights of the pulls in the fit, Newton steps for each at most, and step lengths tried at once.
+WEIGHTS, STEPS, HALVINGS = [10.0**-k for k in range(0, 11, 2)], 20, 6
 #: Target token shares of the registered query: languages, and documents labelled as of low quality.
 TARGETS = {"en": 0.45, "fr": 0.20, "de": 0.15, "es": 0.15, "low": 0.05}
 
@@ -104,49 +110,65 @@ def with_units(docs: DataFrame, model: DataFrame, domains: list[str]) -> DataFra
 
 
 class Fit:
-    """The steps of the fit; `rate` folds them over a posterior."""
+    """`pull`: how much a whole posterior of each domain adds to the rate 1. `residual`: expected shares less targets."""
 
     def __init__(self, domains: int):
-        self.domains, self.steps = domains, []
-
-    def _fold(self, units: str, field: str) -> Column:
-        if not self.steps:
-            return F.lit(1.0)
-        steps = ",".join(f"named_struct({','.join(f"'g{i}',{g!r}D" for i, g in enumerate(gradient))},'m',{momentum!r}D)" for gradient, momentum in self.steps)
-        product = "+".join(f"{units}[{i}]*h.g{i}" for i in range(self.domains))
-        moved = f"greatest(0D, s.ahead-({product})/{UNITS}D)"
-        return F.expr(f"aggregate(array({steps}), named_struct('rate',1D,'ahead',1D), (s,h) -> named_struct('rate',{moved},'ahead',{moved}+h.m*({moved}-s.rate)))")[field]
+        self.pull, self.residual = [0.0] * domains, [0.0] * domains
 
     def rate(self, units: str = "units") -> Column:
-        return self._fold(units, "rate")
+        return _rate(self.pull, units)
 
-    def ahead(self, units: str = "units") -> Column:
-        return self._fold(units, "ahead")
 
+def _rate(pull: Sequence[float], units: str) -> Column:
+    product = "+".join(f"{units}[{i}]*{float(x)!r}D" for i, x in enumerate(pull))
+    return F.expr(f"greatest(0D, 1D+({product})/{UNITS}D)")
 
-def fit(rows: DataFrame, targets: Mapping[str, float]) -> Fit:
-    """Rates for `rows` (`tokens`, `units`) whose expected token shares meet `targets`; total tokens stay the same."""
-    domains = list(targets)
-    goal = [targets[d] / sum(targets.values()) for d in domains]
-    posteriors = stored(rows.groupBy("units").agg(F.sum("tokens").alias("tokens")), "mixing-posteriors")
-    found = Fit(len(domains))
 
-    def totals(rate: Column) -> list[float]:
-        return [x or 0.0 for x in posteriors.agg(*(F.sum(rate * F.col("tokens") * F.col("units")[i] / UNITS) for i in range(len(domains)))).first()]
+def fit(rows: DataFrame, targets: Mapping[str, float]) -> Fit:
+    """Rates for `rows` (`tokens`, `units`) whose expected token shares meet `targets`; total tokens stay the same.
 
-    natural = totals(F.lit(1.0))
-    everything = sum(natural)
+    Solves shares - goal + weight * pull = 0 for ever smaller weights by Newton's method. A residual of
+    `TOLERANCE` or more is left only where no rates can meet the targets, and warned of.
+    """
+    domains = list(targets)
+    n = len(domains)
+    goal = np.array([targets[d] / sum(targets.values()) for d in domains])
+    mass = [F.sum(F.col("tokens") * F.col("units")[i] / UNITS).alias(f"m{i}") for i in range(n)]
+    posteriors = stored(rows.groupBy("units").agg(*mass), "mixing-posteriors")
+    found = Fit(n)
+    everything = sum(x or 0.0 for x in posteriors.agg(*(F.sum(f"m{i}") for i in range(n))).first())
     if not everything:
         return found
-    # the curvature is at most the largest row sum of the domains' overlap matrix, which is their share
-    size = everything / max(natural)
-    shares = [x / everything for x in natural]
-    for step in range(STEPS):
-        residual = [s - g for s, g in zip(shares, goal, strict=True)]
-        if max(map(abs, residual)) < TOLERANCE:
+
+    def shares(*pulls: np.ndarray) -> np.ndarray:
+        sums = [F.sum(_rate(pull, "units") * F.col(f"m{i}")) for pull in pulls for i in range(n)]
+        return np.array(posteriors.agg(*sums).first(), float).reshape(len(pulls), n) / everything
+
+    def slopes(pull: np.ndarray) -> np.ndarray:
+        moving = posteriors.where(_rate(pull, "units") > 0)
+        sums = [F.coalesce(F.sum(F.col(f"m{i}") * F.col("units")[j] / UNITS), F.lit(0.0)) for i in range(n) for j in range(n)]
+        return np.array(moving.agg(*sums).first(), float).reshape(n, n) / everything
+
+    pull = np.zeros(n)
+    residual = shares(pull)[0] - goal
+    for weight in WEIGHTS:
+        for _ in range(STEPS):
+            error = residual + weight * pull
+            if max(abs(residual)) < TOLERANCE or max(abs(error)) < TOLERANCE / 10:
+                break
+            step = np.linalg.solve(slopes(pull) + weight * np.eye(n), -error)
+            tried = [pull + step / 2**k for k in range(HALVINGS)]
+            residuals = shares(*tried) - goal
+            errors = [np.linalg.norm(r + weight * x) for r, x in zip(residuals, tried, strict=True)]
+            best = int(np.argmin(errors))
+            if errors[best] >= np.linalg.norm(error):
+                break
+            pull, residual = tried[best], residuals[best]
+        if max(abs(residual)) < TOLERANCE:
             break
-        found.steps.append(([size * r for r in residual], step / (step + 3)))
-        shares = [x / everything for x in totals(found.ahead())]
+    found.pull, found.residual = pull.tolist(), residual.tolist()
+    if max(abs(residual)) >= TOLERANCE:
+        warnings.warn(f"targets not met; shares less targets: {dict(zip(domains, found.residual, strict=True))}", stacklevel=2)
     return found
 
 

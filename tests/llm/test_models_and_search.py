@@ -118,6 +118,18 @@ def test_fit_is_projected_gradient(spark):
     assert np.abs(p.T @ (np.array(found) * t) - p.T @ (rate * t)).max() < 2e-3
 
 
+@pytest.mark.parametrize("tokens", [(45, 20, 15, 19.99, 0.01), (99.6, 0.1, 0.1, 0.1, 0.1), (30, 30, 20, 19.9, 0.1)])
+def test_fit_reaches_rare_domains(spark, tokens):
+    rows = [(int(100 * t), [64 * (i == d) for i in range(5)]) for d, t in enumerate(tokens)]
+    frame = spark.createDataFrame(rows, "tokens long, units array<int>")
+    fitted = mixing.fit(frame, mixing.TARGETS)
+    expected = [t * r / sum(t for t, _ in rows) for (t, _), r in zip(rows, [r[0] for r in frame.select(fitted.rate()).collect()], strict=True)]
+    assert np.abs(np.array(expected) - list(mixing.TARGETS.values())).max() < 2 * mixing.TOLERANCE
+    with pytest.warns(UserWarning, match="not met"):
+        missed = mixing.fit(frame.where("units[4] = 0"), mixing.TARGETS)
+    assert missed.residual[4] == pytest.approx(-0.05)
+
+
 def test_mixing_of_odd_rows(spark):
     labelled = spark.createDataFrame([(4, "en"), (6, "en"), (7, "de"), (None, "en"), (9, None), (10, "xx")], "doc_id long, domain string")
     targets = {"en": 1.0, "de": 1.0}

@@ -8,8 +8,9 @@ system with as many unknowns as domains. Newton's method solves it to `TOLERANCE
 left where no rates can meet the targets is in `Fit.residual`, with a warning. A document is taken floor(rate)
 times, and once more with the rest as its chance.
 
-Posteriors are kept in units of 1/`UNITS`. Documents of equal units have equal rates, so the fit
-runs over distinct units with their token totals: one pass over the corpus whatever the number of
+Rates follow posteriors in units of 1/`UNITS`, rounded by largest remainders; what they are fitted to does not:
+expected tokens are sums of unrounded posteriors. Documents of equal units have equal rates, so the fit
+runs over distinct units with those sums: one pass over the corpus whatever the number of
 steps, and a table bounded by the number of unit vectors. Every step is two aggregations in Spark; only sums
 per pair of domains come back.
 
@@ -88,7 +89,7 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame
 
 
 def with_units(docs: DataFrame, model: DataFrame, domains: list[str]) -> DataFrame:
-    """`docs` as struct `doc`, with the row key, `tokens` and the posterior `units` (an array that sums to `UNITS`)."""
+    """`docs` as struct `doc`, with the row key, `tokens`, the posterior `shares` and its `units` (an array that sums to `UNITS`)."""
     row = model.first()
     weights, prior = F.from_json(F.lit(row.weights), "array<array<double>>"), F.from_json(F.lit(row.prior), "array<double>")
     seen = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), *common.row_key(), words(common.whole_text()).alias("found"))
@@ -103,10 +104,13 @@ def with_units(docs: DataFrame, model: DataFrame, domains: list[str]) -> DataFra
     scored = seen.select("doc", *common.KEY, "tokens", F.array(*(evidence(i) for i in range(len(domains)))).alias("z"))
     scored = scored.withColumn("e", F.transform("z", lambda x: F.exp(x - F.array_max("z"))))
     scored = scored.withColumn("total", F.aggregate("e", F.lit(0.0), lambda s, x: s + x))
-    floors = scored.withColumn("low", F.transform("e", lambda x: F.floor(x / F.col("total") * UNITS).cast("int")))
+    scored = scored.withColumn("shares", F.transform("e", lambda x: x / F.col("total")))
+    floors = scored.withColumn("low", F.transform("shares", lambda x: F.floor(x * UNITS).cast("int")))
+    floors = floors.withColumn("over", F.zip_with("shares", "low", lambda x, n: x * UNITS - n))
     rest = F.lit(UNITS) - F.aggregate("low", F.lit(0), lambda s, x: s + x)
-    best = F.array_position("e", F.array_max("e"))
-    return floors.select("doc", *common.KEY, "tokens", F.transform("low", lambda x, i: x + F.when(i + 1 == best, rest).otherwise(0)).alias("units"))
+    # the units that are left go to the largest remainders
+    rank = F.transform("over", lambda x, i: F.size(F.filter("over", lambda y, j: (y > x) | ((y == x) & (j < i)))))
+    return floors.select("doc", *common.KEY, "tokens", "shares", F.zip_with("low", rank, lambda n, r: n + (r < rest).cast("int")).alias("units"))
 
 
 class Fit:
@@ -125,7 +129,7 @@ def _rate(pull: Sequence[float], units: str) -> Column:
 
 
 def fit(rows: DataFrame, targets: Mapping[str, float]) -> Fit:
-    """Rates for `rows` (`tokens`, `units`) whose expected token shares meet `targets`; total tokens stay the same.
+    """Rates for `rows` (`tokens`, `units`, and `shares` unless units are exact) whose expected token shares meet `targets`; total tokens stay the same.
 
     Solves shares - goal + weight * pull = 0 for ever smaller weights by Newton's method. A residual of
     `TOLERANCE` or more is left only where no rates can meet the targets, and warned of.
@@ -133,7 +137,8 @@ def fit(rows: DataFrame, targets: Mapping[str, float]) -> Fit:
     domains = list(targets)
     n = len(domains)
     goal = np.array([targets[d] / sum(targets.values()) for d in domains])
-    mass = [F.sum(F.col("tokens") * F.col("units")[i] / UNITS).alias(f"m{i}") for i in range(n)]
+    exact = [F.col("shares")[i] if "shares" in rows.columns else F.col("units")[i] / UNITS for i in range(n)]
+    mass = [F.sum(F.col("tokens") * x).alias(f"m{i}") for i, x in enumerate(exact)]
     posteriors = stored(rows.groupBy("units").agg(*mass), "mixing-posteriors")
     found = Fit(n)
     everything = sum(x or 0.0 for x in posteriors.agg(*(F.sum(f"m{i}") for i in range(n))).first())
@@ -182,13 +187,13 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = T
     """`doc_id, tokens, domain, posterior, posteriors, rate, copies` for every row."""
     domains = list(targets)
     model = stored(train(docs, labelled, domains), "mixing-model")
-    scored = with_units(docs.select("doc_id", "text"), model, domains).select("doc.doc_id", *common.KEY, "tokens", "units")
+    scored = with_units(docs.select("doc_id", "text"), model, domains).select("doc.doc_id", *common.KEY, "tokens", "shares", "units")
     rows = stored(scored, "mixing-rows")
     found = rows.withColumn("rate", fit(rows, targets).rate())
     names = F.array(*(F.lit(d) for d in domains))
     return found.select(
         "doc_id", "tokens",
-        F.get(names, F.array_position("units", F.array_max("units")).cast("int") - 1).alias("domain"),
+        F.get(names, F.array_position("shares", F.array_max("shares")).cast("int") - 1).alias("domain"),
         (F.array_max("units") / UNITS).alias("posterior"),
         F.array_join(F.zip_with(names, "units", lambda d, u: F.concat(d, F.lit(":"), u.cast("string"))), ",").alias("posteriors"),
         "rate", copies(F.col("rate"), *common.KEY).alias("copies"),

@@ -1,6 +1,7 @@
 """Language, toxicity, mixing, personal data, top-k, url filters and the pipeline."""
 
 import hashlib
+import json
 import math
 import re
 from collections import Counter, defaultdict
@@ -130,6 +131,20 @@ def test_fit_reaches_rare_domains(spark, tokens):
     assert missed.residual[4] == pytest.approx(-0.05)
 
 
+def test_mixing_counts_small_posteriors(spark):
+    """Every plain text is `low` with 0.7 % or 1.5 %: less than a unit, or not much more."""
+    for low in (0.007, 0.015):
+        bucket = spark.sql(f"SELECT pmod(xxhash64('rare'), {mixing.BUCKETS})").first()[0]
+        weights = [[0.0, 30.0 if i == bucket else 0.0] for i in range(mixing.BUCKETS)]
+        model = spark.createDataFrame([(json.dumps(weights), json.dumps([math.log(1 - low), math.log(low)]))], "weights string, prior string")
+        rows = [(i, f"plain text {'rare' if i < 3 else 'word'} {i}", "en", None, 0) for i in range(300)]
+        found = mixing.with_units(docs(spark, rows), model, ["good", "low"])
+        found = found.withColumn("rate", mixing.fit(found, {"good": 0.95, "low": 0.05}).rate()).collect()
+        assert {sum(r.units) for r in found} == {mixing.UNITS} and min(r.shares[1] for r in found) == pytest.approx(low)
+        expected = sum(r.tokens * r.rate * r.shares[1] for r in found) / sum(r.tokens for r in found)
+        assert expected == pytest.approx(0.05, abs=2 * mixing.TOLERANCE)
+
+
 def test_mixing_of_odd_rows(spark):
     labelled = spark.createDataFrame([(4, "en"), (6, "en"), (7, "de"), (None, "en"), (9, None), (10, "xx")], "doc_id long, domain string")
     targets = {"en": 1.0, "de": 1.0}

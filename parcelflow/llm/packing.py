@@ -1,9 +1,11 @@
 """Best-fit-decreasing packing of token sequences.
 
 Documents are tokenised where they are read; a document longer than a window is first cut into full windows
-and a rest. Each input partition packs its rests in order of decreasing length: a segment tree indexed by
-remaining capacity finds the tightest open window that still takes the piece, else a new window is opened.
-Nothing is shuffled, a retried task gives the same sequences, and a task holds 40 bytes a document.
+and a rest. Places and lengths of the pieces are written once; the rests, without tokens, are dealt by a hash of
+their number to as many tasks as their total length asks for, so every task holds a mixed set of lengths however
+the input is laid out. Each packs its rests in order of decreasing length: a segment tree indexed by remaining
+capacity finds the tightest open window that still takes the piece, else a new window is opened. A retried task
+gives the same sequences.
 
 Defined results: a NULL or empty text is the end id alone; pieces of one document may lie in several
 sequences; repeated rows are packed as often as they occur; a NULL `doc_id` stays NULL. An empty table gives
@@ -23,8 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from parcelflow.functions.scratch import stored
 
 WINDOW, END_ID = 1024, 0
+#: Windows and rests that one packing task is meant to hold.
+TASK_WINDOWS, TASK_RESTS = 1024, 200_000
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 RANKED_CHARS = 200_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -131,14 +138,13 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
 def pack(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = None, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """The pieces of all documents with their place: columns of `SCHEMA`."""
 
-    def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Full windows with their number, rests with -1 minus theirs."""
         encode = encoder(vocabulary, ranks)
         first_id = TaskContext.get().partitionId() << 40
-        windows, end = 0, end_id.to_bytes(4, "little")
-        doc_ids: list[pa.Array] = []
-        rests = [array("q") for _ in range(4)]
+        windows, rests, end = 0, 0, end_id.to_bytes(4, "little")
         for batch in batches:
-            full = [array("q") for _ in range(6)]
+            pieces = [array("q") for _ in range(6)]
             ids, texts = batch.column("doc_id"), batch.column("text")
             for row in range(batch.num_rows):
                 tokens = encode(texts[row].as_py() or "") + end
@@ -146,31 +152,32 @@ def pack(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = Non
                 for start in range(0, total, window):
                     piece = tokens[4 * start : 4 * (start + window)]
                     length = len(piece) // 4
-                    if length == window:
-                        for column, value in zip(full, (row, start, length, crc32(piece), total, first_id + windows), strict=True):
-                            column.append(value)
-                        windows += 1
-                    else:
-                        for column, value in zip(rests, (start, length, crc32(piece), total), strict=True):
-                            column.append(value)
-                if total % window == 0:  # no rest: keep the lists aligned with the rows
-                    for column, value in zip(rests, (0, 0, 0, 0), strict=True):
+                    number = first_id + windows if length == window else -1 - first_id - rests
+                    windows, rests = windows + (length == window), rests + (length < window)
+                    for column, value in zip(pieces, (row, start, length, crc32(piece), total, number), strict=True):
                         column.append(value)
-            doc_ids.append(ids)
-            if full[0]:
-                rows, *columns = (np.frombuffer(c, np.int64) for c in full)
-                yield _rows(ids.take(pa.array(rows)), columns, np.zeros(len(rows), np.int64))
-        if not doc_ids:
-            return
-        start, length, crc, total = (np.frombuffer(c, np.int64) for c in rests)
-        there = np.flatnonzero(length)
-        where, offset, _ = best_fit_decreasing(length[there], window)
-        ids = pa.concat_arrays(doc_ids).take(pa.array(there))
-        yield _rows(ids, [start[there], length[there], crc[there], total[there], first_id + windows + where], offset)
+            rows, *columns = (np.frombuffer(c, np.int64) for c in pieces)
+            yield _rows(ids.take(pa.array(rows)), columns, np.zeros(len(rows), np.int64))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # full windows have the numbers below
+        first_id = (1 << 62) + (TaskContext.get().partitionId() << 40)
+        rests = list(batches)
+        if rests:
+            held = pa.Table.from_batches(rests).sort_by([("sequence_id", "descending")])
+            columns = [held[c].combine_chunks() for c in held.column_names]
+            where, offset, _ = best_fit_decreasing(columns[2].to_numpy(), window)
+            yield pa.RecordBatch.from_arrays([*columns[:5], pa.array(first_id + where), pa.array(offset)], names=NAMES)
+
+    pieces = stored(docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(cut, SCHEMA), "packing-pieces")
+    rests = pieces.where("sequence_id < 0")
+    n, tokens = rests.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = max(1, -(-tokens // (window * TASK_WINDOWS)), -(-n // TASK_RESTS))
+    return pieces.where("sequence_id >= 0").unionByName(rests.repartition(tasks, "sequence_id").mapInArrow(fill, SCHEMA))
+
 
-    return docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(partition, SCHEMA)
+NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
 def _rows(doc_id: pa.Array, columns: list[np.ndarray], offset: np.ndarray) -> pa.RecordBatch:
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    return pa.RecordBatch.from_arrays([doc_id, *map(pa.array, columns), pa.array(offset)], names=names)
+    return pa.RecordBatch.from_arrays([doc_id, *map(pa.array, columns), pa.array(offset)], names=NAMES)

@@ -175,6 +175,16 @@ def test_packing_round_trip(spark):
         assert at <= 1024
 
 
+def test_padding_does_not_follow_the_layout(spark):
+    """Rests of two thirds of a window in some partitions, of a third in others."""
+    rows = [(i, " a" * (600 if i < 40 else 400), "en", None, 0) for i in range(80)]
+    frame = docs(spark, rows).repartitionByRange(8, "doc_id")
+    pieces = packing.pack(frame).collect()
+    assert sorted(p.doc_id for p in pieces) == list(range(80)) and {p.doc_tokens for p in pieces} == {601, 401}
+    assert len({p.sequence_id for p in pieces}) == 40
+    assert sorted(map(tuple, pieces)) == sorted(map(tuple, packing.pack(frame).collect()))
+
+
 def test_ranks_give_the_tokenizers_ids(spark):
     encode = packing.encoder()
     texts = [r.text for r in common.read(spark, SF, "documents").collect()] + ["", " ", "a  b\n c\t", "it's <|endoftext|> 12,3 é\xa0\x85", "日本 x"]

@@ -45,8 +45,8 @@ KINDS = {
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 #: Runs of letters and marks, also across a hyphen or apostrophe, without a final 's.
 TERM = r"(?<![\p{L}\p{M}]['\u2019](?=[sS](?![\p{L}\p{M}])))[\p{L}\p{M}]++(?:(?:-|['\u2019](?![sS](?![\p{L}\p{M}])))[\p{L}\p{M}]++)*+"
-#: Spans summed at once; a text of n matches costs n * BLOCK steps at most.
-BLOCK = 128
+#: Least number of spans summed at once; of n there are the root of n, so a text costs n * sqrt(n) steps.
+BLOCK = 8
 SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
@@ -76,9 +76,10 @@ def _located(items: Column) -> Column:
         return F.struct((start + x["size"]).alias("at"), F.concat(state["done"], F.array(here)).cast(SPANS).alias("done"))
 
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("done"))
+    block = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.greatest(F.size(items), F.lit(0)))).cast("int"))
     blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
-        lambda j: F.aggregate(F.slice(items, j * BLOCK + 1, F.lit(BLOCK)), empty, add),
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / block).cast("int")),
+        lambda j: F.aggregate(F.slice(items, j * block + 1, block), empty, add),
     )
 
     def join(state: Column, block: Column) -> Column:
@@ -162,11 +163,13 @@ def _general(term: Column) -> Column:
     return F.concat(F.substring(term, 1, PREFIX), F.lit("*"))
 
 
-def terms_of(text: Column) -> Column:
-    """The distinct terms of a text and their general forms."""
+def terms_of(rows: DataFrame, text: Column, *columns: str) -> DataFrame:
+    """`columns` and `term`: the distinct terms of each text and their general forms."""
     plain = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, KINDS["email"], "@")).otherwise(text)
     words = F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(plain, F.lit(TERM), F.lit(0))), F.lower))
-    return F.concat(words, F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) > PREFIX), _general)))
+    # a column first: it is used twice
+    found = rows.select(*columns, words.alias("w"))
+    return found.select(*columns, F.explode(F.concat("w", F.array_distinct(F.transform(F.filter("w", lambda w: F.length(w) > PREFIX), _general)))).alias("term"))
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
@@ -201,9 +204,9 @@ def disclosing(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, s
         # n_et is n_e at most; the last factor is for rounding
         return F.pow(n_e, F.lit(threshold)) * max(total, 1.0) ** (1 - threshold) * (1 + 1e-9)
 
-    in_text = docs.select(F.explode(terms_of(common.whole_text())).alias("term"))
+    in_text = terms_of(docs, common.whole_text())
     of_term = stored(in_text.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t") <= bound(F.lit(most))), "pii-terms-rare")
-    each = rows.where(F.col("text").isNotNull()).select(*common.KEY, F.explode(terms_of(F.col("text"))).alias("term")).distinct()
+    each = terms_of(rows.where(F.col("text").isNotNull()), F.col("text"), *common.KEY).distinct()
     rare = stored(each.join(of_term, "term"), "pii-rare")
     pairs = stored(rare.join(sets, common.KEY).where(F.col("n_t") <= bound(F.col("n_e"))), "pii-pairs")
     together = pairs.groupBy(*SET, "term", "n_t").agg(F.sum("times").alias("n_et"))

@@ -78,15 +78,15 @@ class PieceEncoder:
         self.is_byte = [self.model.is_byte(i) for i in range(size)]
         self.bytes = [bytes([int(p[1:-1], 16)]) if b else p.replace("▁", " ").encode() for p, b in zip(pieces, self.is_byte, strict=True)]
         self.by_word = not any(re.search("[^▁]▁", p) for p, b in zip(pieces, self.is_byte, strict=True) if not b)
-        self.words: dict[str, list[int]] = {" ": [self.model.piece_to_id("▁")]}
+        self.words: dict[str, list[int]] = dict.fromkeys(" ▁", [self.model.piece_to_id("▁")])
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. A word is a run of spaces and what follows up to the next space."""
+        """Ids of each text. A word is a run of spaces (U+2581 is one for the model) and what follows up to the next."""
         if not self.by_word:
             return [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
-        split = [re.findall(" *[^ ]+| +", " " + text) for text in texts]
+        split = [re.findall("[ ▁]*[^ ▁]+|[ ▁]+", " " + text) for text in texts]
         if len(self.words) > WORDS_KEPT:
-            self.words = {" ": self.words[" "]}
+            self.words = {space: self.words[space] for space in " ▁"}
         fresh = list({word for words in split for word in words} - self.words.keys())
         self.words.update(zip(fresh, self.model.encode([word[1:] for word in fresh], num_threads=1), strict=True))
         return [np.array([i for word in words for i in self.words[word]], np.int64) for words in split]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import alignment, exact_dedup, language, mixing, packing, pii, sharding, simhash, topk, toxicity, url_filter
+from parcelflow.llm import alignment, exact_dedup, language, mixing, packing, pii, repair, sharding, simhash, topk, toxicity, url_filter
 from parcelflow.llm.common import read
 
 
@@ -60,11 +60,15 @@ def op12_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_soft_mixing, op2_pivot_topk, op3_language_id, op4_feistel_sharding, op5_simhash_groups,
         op6_pii_spans, op7_exact_dedup, op8_packing, op9_toxicity, op10_url_verdicts,
-        op12_identity_alignment,
+        op12_identity_alignment, op13_conversation_repair,
     )
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import alignment, exact_dedup, language, mixing, packing, pii, repair, sharding, simhash, topk, toxicity, url_filter
+from parcelflow.llm import alignment, curves, exact_dedup, language, mixing, packing, pii, repair, sharding, simhash, topk, toxicity, url_filter
 from parcelflow.llm.common import read
 
 
@@ -56,6 +56,10 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), rules, hosts)
 
 
+def op11_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op12_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"))
 
@@ -69,6 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_soft_mixing, op2_pivot_topk, op3_language_id, op4_feistel_sharding, op5_simhash_groups,
         op6_pii_spans, op7_exact_dedup, op8_packing, op9_toxicity, op10_url_verdicts,
-        op12_identity_alignment, op13_conversation_repair,
+        op11_hilbert_neighbours, op12_identity_alignment, op13_conversation_repair,
     )
 }

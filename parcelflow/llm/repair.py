@@ -27,6 +27,7 @@ result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -91,6 +92,7 @@ def _insertions() -> Cells:
 INSERTED = _insertions()
 
 
+@functools.lru_cache(maxsize=4096)
 def entry_cells(initial: str, live: bool, opened: bool, deletes: int) -> Cells:
     """Cells of one entry: a row that may stay, if it is `live`, and `deletes` rows after it that must not."""
     found: Cells = {(p, p): (0, "", []) for p in STATES}
@@ -238,6 +240,9 @@ def spans(ordered: DataFrame) -> DataFrame:
         def closed(part: bool) -> dict:
             whole = parsed(Span.of_entry(e) for e in held)
             whole.spans = [{"pid": pid, "chunk": chunk}]
+            if not part:
+                # nothing will be joined to it
+                whole.cells = dict([min(((key, whole.cells[key]) for key in ((0, q) for q in ENDS) if key in whole.cells), key=lambda x: x[1])])
             return whole.row(conv, pid, chunk) | {"part": part} | {c: [e[c] for e in held] for c in ENTRIES}
 
         for entry in _each(batches):

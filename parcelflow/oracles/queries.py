@@ -8,6 +8,13 @@ FACT_COLUMNS = """shipment_id, order_id, warehouse_id, carrier_id, category_name
   delivered_customer_date, estimated_delivery_date, actual_delivery_days, estimated_delivery_days, sla_target_days, delay_days,
   sla_breach_flag, real_late_delivery_flag, issue_type, quality_issue_flag, anomaly_flag"""
 
+EARLIER = """
+  SELECT * REPLACE (
+    CASE WHEN order_delivered_carrier_date < DATE '1998-07-01' THEN order_delivered_carrier_date END AS order_delivered_carrier_date,
+    CASE WHEN order_delivered_customer_date < DATE '1998-07-01' THEN order_delivered_customer_date END AS order_delivered_customer_date)
+  FROM raw_orders WHERE order_purchase_timestamp < DATE '1998-07-01'"""
+KEPT = "SELECT * FROM raw_orders WHERE order_status IS DISTINCT FROM 'canceled'"
+
 ORACLES: dict[str, str] = {
     # sources
     "src_csv_scan": on_sources("SELECT * FROM raw_orders"),
@@ -335,4 +342,40 @@ ORACLES: dict[str, str] = {
     "enrich_order_count": on_orders("""
         SELECT unnest(['raw_warehouse_assignments', 'raw_carrier_assignments', 'raw_sla_targets', 'raw_issue_flags']) AS table_name,
           (SELECT count(*) FROM enriched) AS row_count"""),
+    # time joins and changes
+    "asof_join": """
+        SELECT e.event_id, e.user_id, p.event_id AS prior_event_id, p.event_type AS prior_event_type,
+          epoch_us(e.ts) - epoch_us(p.ts) AS micros_apart
+        FROM events e LEFT JOIN (
+          SELECT a.event_id AS id, b.event_id, b.event_type, b.ts
+          FROM events a ASOF JOIN (
+            SELECT user_id, ts, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id, ts
+          ) b ON a.user_id = b.user_id AND a.ts > b.ts
+          WHERE a.ts - b.ts <= INTERVAL 1 DAY
+        ) p ON e.event_id = p.id""",
+    "asof_purchase": """
+        SELECT e.event_id, e.user_id, p.event_id AS purchase_id, p.value AS purchase_value
+        FROM (SELECT * FROM events WHERE event_type = 'error') e ASOF LEFT JOIN (
+          SELECT user_id, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value
+          FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts
+        ) p ON e.user_id = p.user_id AND e.ts >= p.ts""",
+    "overlap_join": """
+        WITH spans AS (
+          SELECT event_id, event_type, epoch_us(ts) AS starts, epoch_us(ts) + floor(value
+            * (CASE WHEN event_type = 'click' OR value > 150 THEN 60 ELSE 1 END) * 1000000)::BIGINT AS ends
+          FROM events
+        )
+        SELECT v.event_id AS visit_id, o.event_id AS outage_id
+        FROM spans v JOIN spans o ON v.event_type = 'click' AND o.event_type = 'error'
+          AND (v.starts BETWEEN o.starts AND o.ends OR o.starts BETWEEN v.starts AND v.ends)""",
+    "dq_table_diff": on_sources(f"""
+        SELECT coalesce(a.order_id, b.order_id) AS order_id,
+          CASE WHEN a.order_id IS NULL THEN 'added' WHEN b.order_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
+          (a.order_id IS NOT NULL)::BIGINT AS old_rows, (b.order_id IS NOT NULL)::BIGINT AS new_rows
+        FROM ({EARLIER}) a FULL JOIN ({KEPT}) b ON a.order_id IS NOT DISTINCT FROM b.order_id
+        WHERE a.order_id IS NULL OR b.order_id IS NULL
+          OR a.order_delivered_carrier_date IS DISTINCT FROM b.order_delivered_carrier_date
+          OR a.order_delivered_customer_date IS DISTINCT FROM b.order_delivered_customer_date"""),
+    "table_diff_applied": on_sources(KEPT),
 }
+ORACLES["incremental_weekly_quality"] = ORACLES["agg_weekly_quality"]

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from parcelflow import config
 from parcelflow.functions.scalars import round_scaled
 from parcelflow.functions.scratch import scratch_path, stored
-from parcelflow.operators import enrich, quality, scoring, staging
-from parcelflow.plans import build, exports, findings, kpis, marts
+from parcelflow.operators import changes, enrich, quality, scoring, staging, timejoins
+from parcelflow.plans import build, exports, findings, incremental, kpis, marts
 from parcelflow.sources import schemas, star
 from parcelflow.sources.tables import materialize, read_csv, row_counts, write_csv
 
 MIN_SHIPMENTS = 3
 SPIKE = "ANOM_SPIKE_001"
+#: The day of the earlier of two loads in the queries on changes.
+LOAD_DAY = "1998-07-01"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -39,6 +41,17 @@ class Lazy:
     def source(self) -> dict[str, DataFrame]:
         return star.source_tables(self.spark, self.sf_dir)
 
+    @cached_property
+    def events(self) -> DataFrame:
+        return star.read_star(self.spark, self.sf_dir, "events")["events"]
+
+    @cached_property
+    def earlier_orders(self) -> DataFrame:
+        """The orders as a load of `LOAD_DAY` would hold them: none bought later, no delivery known that is later."""
+        day, orders = F.lit(LOAD_DAY).cast("timestamp"), self.source["raw_orders"]
+        later = ("order_delivered_carrier_date", "order_delivered_customer_date")
+        return orders.where(F.col("order_purchase_timestamp") < day).withColumns({c: F.when(F.col(c) < day, F.col(c)) for c in later})
+
     @cached_property
     def routing(self) -> DataFrame:
         # Written, so that Spark knows its size and its own threshold decides on a broadcast.
@@ -653,3 +666,63 @@ def enrich_issue_type(t):
 @query
 def enrich_order_count(t):
     return row_counts(t.assigned)
+
+
+# --- time joins and changes ------------------------------------------------------------------------
+
+
+@query
+def asof_join(t):
+    """Each event with the user's event before it, if that lies within a day."""
+    joined = timejoins.asof_join(t.events, t.events, "ts", ["user_id"], ["event_id", "event_type"], strict=True, tolerance_seconds=86_400)
+    apart = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("latest.ts").cast("timestamp"))
+    return joined.select(
+        "event_id", "user_id", F.col("latest.event_id").alias("prior_event_id"), F.col("latest.event_type").alias("prior_event_type"), apart.alias("micros_apart")
+    )
+
+
+@query
+def asof_purchase(t):
+    """Each error with the user's last purchase at or before it."""
+    errors, bought = (t.events.where(F.col("event_type") == kind) for kind in ("error", "purchase"))
+    joined = timejoins.asof_join(errors, bought, "ts", ["user_id"], ["event_id", "value"], order=["event_id"])
+    return joined.select("event_id", "user_id", F.col("latest.event_id").alias("purchase_id"), F.col("latest.value").alias("purchase_value"))
+
+
+@query
+def overlap_join(t):
+    """Visits (a click, for as many minutes as its value) that were open while an outage (an error, for its value in seconds, the large ones in minutes) lasted."""
+    start = F.unix_micros(F.col("ts").cast("timestamp"))
+    seconds = F.when(F.col("event_type") == "click", 60).when(F.col("value") > 150, 60).otherwise(1)
+    spans = t.events.select(
+        "event_id", "event_type", F.timestamp_micros(start).alias("starts"), F.timestamp_micros(start + F.floor(F.col("value") * seconds * 1_000_000)).alias("ends")
+    )
+    kinds = (spans.where(F.col("event_type") == kind).drop("event_type") for kind in ("click", "error"))
+    pairs = timejoins.overlap_join(*kinds, ("starts", "ends"), ("starts", "ends"))
+    return pairs.select(F.col("l.event_id").alias("visit_id"), F.col("r.event_id").alias("outage_id"))
+
+
+def _kept_orders(t) -> DataFrame:
+    """The later load: all orders but the canceled ones, which are purged."""
+    return t.source["raw_orders"].where(~F.col("order_status").eqNullSafe("canceled"))
+
+
+@query
+def dq_table_diff(t):
+    return changes.table_diff(t.earlier_orders, _kept_orders(t), ["order_id"])
+
+
+@query
+def table_diff_applied(t):
+    old, new = t.earlier_orders, _kept_orders(t)
+    return changes.apply_changes(old, stored(changes.change_set(old, new, ["order_id"]), "change-set"), ["order_id"])
+
+
+@query
+def incremental_weekly_quality(t):
+    """The weekly mart of the earlier load, refreshed to the whole one."""
+    out = scratch_path(t.spark, "weeks")
+    old = {**t.source, "raw_orders": t.earlier_orders}
+    incremental.build_weeks(old, t.routing, out, t.rules)
+    incremental.refresh_weeks(old, t.source, t.routing, out, t.rules, changed=["raw_orders"])
+    return incremental.read_weeks(t.spark, out, "agg_weekly_quality_by_segment").select(*marts.agg_weekly_quality(marts.weekly_flag_counts(t.fact)).columns)

@@ -1,0 +1,95 @@
+"""As-of and overlap joins against plain loops."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from parcelflow.operators import timejoins
+
+START = datetime(2024, 1, 1)
+LEFT, RIGHT = "id int, key string, ts timestamp", "key string, ts timestamp, n int, text string"
+
+
+def at(seconds):
+    return None if seconds is None else START + timedelta(seconds=seconds)
+
+
+def brute(left, right, strict=False, tolerance=None):
+    found = []
+    for i, key, ts in left:
+        fits = [r for r in right if None not in (key, ts, r[0], r[1]) and r[0] == key and (r[1] < ts if strict else r[1] <= ts)]
+        best = max(fits, key=lambda r: (r[1], r[2], r[3]), default=None)
+        if best and tolerance is not None and (ts - best[1]).total_seconds() > tolerance:
+            best = None
+        found.append((i, best and (best[1], best[2], best[3])))
+    return sorted(found, key=str)
+
+
+def answers(spark, left, right, **options):
+    joined = timejoins.asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), "ts", ["key"], ["n", "text"], order=["n", "text"], **options)
+    return sorted([(r.id, r.latest and (r.latest.ts, r.latest.n, r.latest.text)) for r in joined.collect()], key=str)
+
+
+def rows(n, seed):
+    draw = random.Random(seed)
+    times = [None, *range(0, 4000, 7)]
+    left = [(i, "hot" if i % 3 == 0 else draw.choice(["a", "b", None]), at(draw.choice(times))) for i in range(n)]
+    right = [("hot" if i % 3 == 1 else draw.choice(["a", "c", None]), at(draw.choice(times)), i % 9, draw.choice("xyz")) for i in range(n)]
+    return left, right
+
+
+@pytest.mark.parametrize(("strict", "tolerance", "points_each"), [(False, None, 1_000_000), (True, None, 20), (False, 60, 5), (True, 0.5, 3)])
+def test_asof_against_brute_force(spark, strict, tolerance, points_each):
+    left, right = rows(600, points_each)
+    found = answers(spark, left, right, strict=strict, tolerance_seconds=tolerance, points_each=points_each)
+    assert found == brute(left, right, strict, tolerance)
+
+
+def test_asof_ties_and_missing_sides(spark):
+    left = [(1, "a", at(10)), (2, "a", at(9)), (3, "b", at(10)), (4, None, at(10)), (5, "a", None), (1, "a", at(10))]
+    right = [("a", at(10), 1, "x"), ("a", at(10), 2, "a"), ("a", at(10), 2, "b"), (None, at(1), 9, "z"), ("b", None, 9, "z")]
+    assert answers(spark, left, right) == brute(left, right) and brute(left, right)[0][1][1:] == (2, "b")
+    assert answers(spark, left, right, how="inner") == [x for x in brute(left, right) if x[1]]
+    assert answers(spark, left, []) == brute(left, []) and answers(spark, [], right) == []
+
+
+def test_a_hot_key_is_spread_over_chunks(spark):
+    left, right = rows(900, 1)
+    points = spark.createDataFrame([(k, ts) for _, k, ts in left if k and ts], "key string, ts timestamp").selectExpr("key", "unix_micros(ts) AS at")
+    width = timejoins.chunk_micros(points, ["key"], 20)
+    most = points.where("key = 'hot'").groupBy((points.at / width).cast("long")).count().agg({"count": "max"}).first()[0]
+    assert most <= 60 and timejoins.chunk_micros(points, ["key"], 10**6) == 2**62
+
+
+def spans(n, seed, longest):
+    draw = random.Random(seed)
+    starts = [None, *range(0, 3000)]
+    made = []
+    for i in range(n):
+        start = draw.choice(starts)
+        length = draw.choice([0, 1, 5, 20, -3, longest if i % 25 == 0 else 10])
+        made.append((i, draw.choice(["a", "b", None]), at(start), None if start is None or i % 40 == 7 else at(start + length)))
+    return made
+
+
+@pytest.mark.parametrize(("by", "longest"), [((), 2500), (("key",), 2500), (("key",), 8)])
+def test_overlap_against_brute_force(spark, by, longest):
+    schema = "id int, key string, begins timestamp, ends timestamp"
+    left, right = spans(250, 1, longest), spans(300, 2, longest)
+    names = ("begins", "ends")
+    pairs = timejoins.overlap_join(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), names, names, by)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    wanted = [
+        (a[0], b[0]) for a in left for b in right
+        if None not in (a[2], a[3], b[2], b[3]) and a[2] <= a[3] and b[2] <= b[3] and a[2] <= b[3] and b[2] <= a[3] and (not by or (a[1] and a[1] == b[1]))
+    ]
+    assert sorted((r.l.id, r.r.id) for r in pairs.collect()) == sorted(wanted) and wanted
+
+
+def test_overlap_of_empty_sides(spark):
+    schema = "id int, key string, begins timestamp, ends timestamp"
+    some, none = spark.createDataFrame(spans(20, 3, 5), schema), spark.createDataFrame([], schema)
+    names = ("begins", "ends")
+    assert timejoins.overlap_join(some, none, names, names).count() == timejoins.overlap_join(none, none, names, names).count() == 0

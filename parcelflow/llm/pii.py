@@ -5,16 +5,17 @@ entities. A term is a run of letters and marks, with inner hyphens and apostroph
 a final 's is no part of it. Over whole documents, the pointwise mutual information of term and entity,
 log(N n_et / (n_e n_t)), says how much of the entity's information log(N / n_e) the term discloses. Where a
 document holds an entity, every occurrence of a term that discloses at least the share `THRESHOLD` of it gets a
-span of kind `term`, wherever it stands. An entity of `SUPPORT` documents or more needs as many that hold the term
-too. A rarer entity needs no more than one: the threshold then bounds the documents of the term,
-n_t <= n_et (N / n_e)^(1 - THRESHOLD). Terms are generalised to their first letters if those are fewer than all
-and disclose less than the threshold, and removed otherwise.
+span of kind `term`, wherever it stands. Of n_et, `SHRINK` (1 - 1 / n_e) is taken off: a meeting in a single document says
+all about an entity of that document alone, and the less the more documents the entity has without the term. Terms
+are generalised to their first letters if those are fewer than all and disclose less than the threshold, and removed
+otherwise.
 
 All expressions are built-in functions. Java regular expressions with possessive loops find the same matches
 as the plain patterns, in time linear in the text and without recursion. Positions come from the lengths of
-the matches and of the text between them, summed in blocks. Words and counts are shuffled, never texts; counts
-are combined first. The threshold bounds n_t by n_e^THRESHOLD N^(1 - THRESHOLD) for any n_et, so commoner terms
-are left out before they are paired with entities, without change of the result. Entities of the same documents
+the matches and of the text between them: one row each, summed by a window over the matches of a text, which sorts and
+spills, so a text of millions of words costs no more than its words. Words and counts are shuffled; texts only where they hold
+an entity, once. Counts are combined first. The threshold bounds n_t by n_e^THRESHOLD N^(1 - THRESHOLD) for any n_et,
+so commoner terms are left out before they are paired with entities, without change of the result. Entities of the same documents
 disclose alike and are paired as one, so a list of many entities has one pair a term. Texts that hold an entity
 are written once.
 
@@ -28,11 +29,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parcelflow.functions.scratch import stored
 from parcelflow.llm import common
 
-THRESHOLD, SUPPORT, PREFIX = 0.8, 3, 3
+THRESHOLD, SHRINK, PREFIX = 0.8, 0.9, 3
 #: Patterns by kind, in the order of the result. A start inside a run of its own characters cannot be leftmost
 #: unless a match ends there, so starts are tied to run beginnings and ends of matches.
 KINDS = {
@@ -45,53 +47,22 @@ KINDS = {
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 #: Runs of letters and marks, also across a hyphen or apostrophe, without a final 's.
 TERM = r"(?<![\p{L}\p{M}]['\u2019](?=[sS](?![\p{L}\p{M}])))[\p{L}\p{M}]++(?:(?:-|['\u2019](?![sS](?![\p{L}\p{M}])))[\p{L}\p{M}]++)*+"
-#: Least number of spans summed at once; of n there are the root of n, so a text costs n * sqrt(n) steps.
-BLOCK = 8
 SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
-def with_spans(df: DataFrame, name: str, text: str, pattern: str, needed: Column | None = None) -> DataFrame:
-    """`df` with all matches of `pattern` in the column `text` as an array `name` (type `SPANS`).
-
-    Matches and the text between them become columns before the sums refer to them: a lambda would work them
-    out again for every element.
-    """
-    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    between = F.split(F.col(text), pattern, -1)
-    parts = F.struct(found.alias("found"), between.alias("between"))
-    cut = df.withColumn("parts", parts if needed is None else F.when(needed, parts))
-    items = F.zip_with(
-        "parts.found", F.slice("parts.between", F.lit(1), F.greatest(F.size("parts.found"), F.lit(0))),
+def matches(text: Column, pattern: str) -> Column:
+    """All matches of `pattern` as `gap` (the characters since the match before), `size` and `text`; NULL text gives NULL."""
+    return F.zip_with(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
+        # there is one part of text more than there are matches
         lambda m, before: F.struct(F.length(before).alias("gap"), F.length(m).alias("size"), m.alias("text")),
     )
-    summed = cut.withColumn("items", items).drop("parts")
-    return summed.withColumn(name, F.coalesce(_located(F.col("items")), F.array().cast(SPANS))).drop("items")
-
-
-def _located(items: Column) -> Column:
-    """`items` (`gap`, `size`, ...) with `start` and `end`: running sums in blocks, then over the blocks' totals."""
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        here = F.struct(start.alias("start"), (start + x["size"]).alias("end"), x["text"])
-        return F.struct((start + x["size"]).alias("at"), F.concat(state["done"], F.array(here)).cast(SPANS).alias("done"))
-
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("done"))
-    block = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.greatest(F.size(items), F.lit(0)))).cast("int"))
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / block).cast("int")),
-        lambda j: F.aggregate(F.slice(items, j * block + 1, block), empty, add),
-    )
 
-    def join(state: Column, block: Column) -> Column:
-        moved = F.transform(
-            block["done"],
-            lambda s: F.struct((s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end"), s["text"]),
-        )
-        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["done"], F.array(moved)).cast(f"array<{SPANS}>").alias("done"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("done"))
-    whole = F.flatten(F.aggregate(blocks, start, join)["done"])
-    return F.when(F.size(items) > 0, whole).otherwise(F.array().cast(SPANS))
+def located(rows: DataFrame, *text: str) -> DataFrame:
+    """`start` and `end` of matches, given one row each with `pos`, `gap` and `size`, and the columns `text` that tell texts apart."""
+    so_far = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy(*text).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn("end", so_far.cast("int")).withColumn("start", F.col("end") - F.col("size"))
 
 
 def digits(text: Column) -> Column:
@@ -121,29 +92,40 @@ def valid(kind: str, text: Column) -> Column:
     return size.between(8, 15) if kind == "phone" else F.lit(True)
 
 
-def _checked(kind: str, found: Column) -> Column:
-    return F.filter(found, lambda s: valid(kind, s["text"]))
-
-
 def entity(kind: str, text: Column) -> Column:
     """The name under which mentions count as one entity."""
     return F.concat(F.lit(f"{kind}:"), F.lower(text) if kind in ("email", "ip") else digits(text))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """`doc_id`, row key, one array of valid spans per kind, columns named by kind, and `text` where there is any."""
+def _checked(kind: str):
+    """A match with its kind and place, and its text if it passes the check of its kind."""
+    return lambda m, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), m["gap"], m["size"], F.when(valid(kind, m["text"]), m["text"]).alias("text"))
+
+
+def base_matches(docs: DataFrame) -> DataFrame:
+    """`doc_id`, row key, `items`: the matches of all kinds, those that fail their check without their text; and `text` where any passes."""
     rows = docs.select("doc_id", *common.row_key(), common.whole_text().alias("text"))
     rows = rows.withColumn("has_digit", F.col("text").rlike("[0-9]"))
     for kind, pattern in KINDS.items():
         needed = F.contains("text", F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True)
         if kind != "email":
             needed &= F.col("has_digit")
-        rows = with_spans(rows, kind, "text", pattern, needed).withColumn(kind, _checked(kind, F.col(kind)))
-    return rows.withColumn("text", F.when(_holds_any(), F.col("text"))).drop("has_digit")
+        # a column first: the check would work the matches out again
+        rows = rows.withColumn(f"{kind}_found", F.when(needed, matches(F.col("text"), pattern)))
+    checked = [F.transform(F.slice(f"{kind}_found", F.lit(1), F.greatest(F.size(f"{kind}_found") - 1, F.lit(0))), _checked(kind)) for kind in KINDS]
+    none = F.array().cast("array<struct<kind:string,pos:int,gap:int,size:int,text:string>>")
+    rows = rows.select("doc_id", *common.KEY, "text", F.concat(*(F.coalesce(c, none) for c in checked)).alias("items"))
+    any_valid = F.exists("items", lambda m: m["text"].isNotNull())
+    return rows.select("doc_id", *common.KEY, F.when(any_valid, F.col("items")).alias("items"), F.when(any_valid, F.col("text")).alias("text"))
 
 
-def _holds_any() -> Column:
-    return F.greatest(*(F.size(kind) for kind in KINDS)) > 0
+def base_spans(rows: DataFrame) -> DataFrame:
+    """Row key and one array of valid spans per kind (columns named by kind) for the rows of `base_matches` that have any; one row a key."""
+    each = rows.where(F.col("items").isNotNull()).select(*common.KEY, F.explode("items").alias("m")).select(*common.KEY, "m.*")
+    # rows that are equal have the same matches; a task sends them once
+    found = located(each.distinct(), *common.KEY, "kind").where(F.col("text").isNotNull())
+    spans = [F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("start", "end", "text")))).alias(kind) for kind in KINDS]
+    return found.groupBy(*common.KEY).agg(*spans)
 
 
 def _written(kind: str, found: Column) -> Column:
@@ -172,32 +154,35 @@ def terms_of(rows: DataFrame, text: Column, *columns: str) -> DataFrame:
     return found.select(*columns, F.explode(F.concat("w", F.array_distinct(F.transform(F.filter("w", lambda w: F.length(w) > PREFIX), _general)))).alias("term"))
 
 
-def occurrences(rows: DataFrame) -> DataFrame:
-    """Every term of the rows with an entity: row key, `term`, `start`, `end`."""
-    sides = F.split("text", KINDS["email"], -1)
+def occurrences(held: DataFrame) -> DataFrame:
+    """Every term of the texts in `held`: row key, `term`, `start`, `end`."""
+    # texts go to their keys once; the window below needs no further shuffle of their words
+    once = held.groupBy(*common.KEY).agg(F.first("text").alias("text"), F.first("email").alias("email"))
     starts = F.concat(F.array(F.lit(0)), F.transform("email", lambda s: s["end"]))
-    side = rows.where(F.col("text").isNotNull()).select(*common.KEY, F.explode(F.zip_with(sides, starts, lambda text, at: F.struct(text.alias("side"), at.alias("at")))).alias("s"))
-    found = with_spans(side.select(*common.KEY, "s.side", "s.at"), "found", "side", TERM).select(*common.KEY, "at", F.explode("found").alias("t"))
-    return found.select(*common.KEY, F.lower("t.text").alias("term"), (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
+    sides = F.zip_with(F.split("text", KINDS["email"], -1), starts, lambda text, at: F.struct(text.alias("side"), at.alias("at")))
+    side = once.select(*common.KEY, F.explode(sides).alias("s")).select(*common.KEY, "s.at", matches(F.col("s.side"), TERM).alias("found"))
+    each = side.select(*common.KEY, "at", F.posexplode("found").alias("pos", "m")).where(F.col("m.text").isNotNull())
+    terms = located(each.select(*common.KEY, "at", "pos", "m.gap", "m.size", F.lower("m.text").alias("term")), *common.KEY, "at")
+    return terms.select(*common.KEY, "term", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end"))
 
 
-def entity_sets(rows: DataFrame) -> DataFrame:
+def entity_sets(held: DataFrame) -> DataFrame:
     """Row key, `times` (the rows of that key), `n_e`, and `a`, `b`: entities of the same documents are one set."""
-    each = rows.where(_holds_any()).select(*common.KEY, F.explode(F.array_distinct(F.concat(*(_entities(kind) for kind in KINDS)))).alias("entity"))
+    each = held.select(*common.KEY, F.explode(F.array_distinct(F.concat(*(_entities(kind) for kind in KINDS)))).alias("entity"))
     # a row that is repeated counts as often as it occurs
-    held = stored(each.groupBy(*common.KEY, "entity").agg(F.count(F.lit(1)).alias("times")), "pii-held")
+    entities = stored(each.groupBy(*common.KEY, "entity").agg(F.count(F.lit(1)).alias("times")), "pii-entities-held")
     prints = [F.bit_xor(F.xxhash64(*common.KEY, F.lit(seed))).alias(name) for name, seed in (("a", 1), ("b", 2))]
-    of_entity = stored(held.groupBy("entity").agg(F.sum("times").alias("n_e"), *prints), "pii-entities")
-    return held.join(of_entity, "entity").select(*common.KEY, "times", "n_e", "a", "b").distinct()
+    of_entity = stored(entities.groupBy("entity").agg(F.sum("times").alias("n_e"), *prints), "pii-entities")
+    return entities.join(of_entity, "entity").select(*common.KEY, "times", "n_e", "a", "b").distinct()
 
 
 SET = ["n_e", "a", "b"]
 
 
-def disclosing(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """Row key, `term` and `replacement` for the terms that disclose at least the threshold of an entity of the row."""
-    total = float(rows.count())
-    sets = stored(entity_sets(rows).where(F.col("n_e") < total), "pii-sets")
+def disclosing(docs: DataFrame, held: DataFrame, threshold: float = THRESHOLD, shrink: float = SHRINK) -> DataFrame:
+    """Row key, `term` and `replacement` for the terms that disclose at least the threshold of an entity of the rows in `held`."""
+    total = float(docs.count())
+    sets = stored(entity_sets(held).where(F.col("n_e") < total), "pii-sets")
     most = float(sets.agg(F.max("n_e")).first()[0] or 0)
 
     def bound(n_e: Column) -> Column:
@@ -206,13 +191,13 @@ def disclosing(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, s
 
     in_text = terms_of(docs, common.whole_text())
     of_term = stored(in_text.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t") <= bound(F.lit(most))), "pii-terms-rare")
-    each = terms_of(rows.where(F.col("text").isNotNull()), F.col("text"), *common.KEY).distinct()
+    each = terms_of(held, F.col("text"), *common.KEY).distinct()
     rare = stored(each.join(of_term, "term"), "pii-rare")
     pairs = stored(rare.join(sets, common.KEY).where(F.col("n_t") <= bound(F.col("n_e"))), "pii-pairs")
     together = pairs.groupBy(*SET, "term", "n_t").agg(F.sum("times").alias("n_et"))
-    together = together.where((F.col("n_et") >= support) | (F.col("n_e") < support))
     information = F.log(F.lit(total) / F.col("n_e"))
-    shared = F.log(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    shrunk = F.col("n_et") - shrink * (1 - 1 / F.col("n_e"))
+    shared = F.log(F.lit(total) * shrunk / (F.col("n_e") * F.col("n_t")))
     rated = stored(together.where(shared / information >= threshold).select(*SET, "term"), "pii-disclosure")
     general_form = rated.where(F.col("term").endswith("*")).select(*SET, F.col("term").alias("general"), F.lit(True).alias("reveals"))
     words = rated.where(~F.col("term").endswith("*")).withColumn("general", _general(F.col("term")))
@@ -224,11 +209,14 @@ def disclosing(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, s
 
 def find(docs: DataFrame) -> DataFrame:
     """`doc_id`, row key, the arrays of `KINDS` and `terms` (`start`, `end`, `replacement`) for every row."""
-    rows = stored(base_spans(docs), "pii-rows")
-    revealing = stored(disclosing(docs, rows), "pii-flagged")
-    flagged = occurrences(rows).join(revealing, [*common.KEY, "term"]).groupBy(*common.KEY, "start", "end").agg(F.min("replacement").alias("replacement"))
+    rows = stored(base_matches(docs), "pii-rows")
+    spans = stored(base_spans(rows), "pii-base")
+    held = stored(rows.where(F.col("text").isNotNull()).select(*common.KEY, "text").join(spans, common.KEY), "pii-held")
+    revealing = stored(disclosing(docs, held), "pii-flagged")
+    flagged = occurrences(held).join(revealing, [*common.KEY, "term"]).groupBy(*common.KEY, "start", "end").agg(F.min("replacement").alias("replacement"))
     terms = flagged.groupBy(*common.KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end", "replacement"))).alias("terms"))
-    return rows.drop("text").join(stored(terms, "pii-terms"), common.KEY, "left")
+    found = rows.select("doc_id", *common.KEY).join(spans, common.KEY, "left").join(stored(terms, "pii-terms"), common.KEY, "left")
+    return found.withColumns({kind: F.coalesce(kind, F.array().cast(SPANS)) for kind in KINDS})
 
 
 def report(docs: DataFrame) -> DataFrame:

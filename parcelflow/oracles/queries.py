@@ -378,4 +378,49 @@ ORACLES: dict[str, str] = {
           OR a.order_delivered_customer_date IS DISTINCT FROM b.order_delivered_customer_date"""),
     "table_diff_applied": on_sources(KEPT),
 }
+ORACLES |= {
+    # streams, subtotals, sketches, calendars, islands
+    "stream_daily_flag_counts": on_fact("""
+        SELECT order_purchase_date, warehouse_id, carrier_id, anomaly_flag, count(*) AS shipments,
+          count(*) FILTER (sla_breach_flag) AS breaches, count(*) FILTER (issue_type = 'damaged') AS damages
+        FROM fact GROUP BY ALL"""),
+    "sla_subtotals": on_fact("""
+        SELECT warehouse_id, carrier_id, sla_tier, GROUPING(warehouse_id, carrier_id, sla_tier)::INTEGER AS grouping_id, count(*) AS shipment_count,
+          count(*) FILTER (sla_breach_flag) AS sla_breach_count,
+          round(100.0::DOUBLE * count(*) FILTER (NOT sla_breach_flag) / count(*), 2) AS sla_attainment_pct
+        FROM fact GROUP BY CUBE (warehouse_id, carrier_id, sla_tier)"""),
+    "sketch_weekly_delay": on_fact("""
+        SELECT date_trunc('week', order_purchase_date)::DATE AS week_start_date, warehouse_id, count(*) AS rows,
+          TRUE AS distinct_near, TRUE AS quantiles_near
+        FROM fact GROUP BY ALL"""),
+    "kpi_shipments_by_segment_approx": on_fact("""
+        SELECT DISTINCT warehouse_name, carrier_name, sla_breach_flag, TRUE AS shipments_near FROM named_fact"""),
+    "calendar_baseline": on_results("""
+        SELECT s.week_start_date, s.warehouse_id, s.carrier_id, s.shipment_count, s.sla_breach_count, baseline_shipments, baseline_breaches,
+          greatest(0, least(4, (s.week_start_date - first_week) // 7) - weeks)::BIGINT AS empty_weeks,
+          round(100.0::DOUBLE * baseline_breaches / nullif(baseline_shipments, 0), 4) AS baseline_breach_pct
+        FROM (
+          SELECT *, min(week_start_date) OVER (PARTITION BY warehouse_id, carrier_id) AS first_week,
+            coalesce(sum(shipment_count) OVER month, 0)::BIGINT AS baseline_shipments,
+            coalesce(sum(sla_breach_count) OVER month, 0)::BIGINT AS baseline_breaches, count(*) OVER month AS weeks
+          FROM segment
+          WINDOW month AS (PARTITION BY warehouse_id, carrier_id ORDER BY week_start_date
+            RANGE BETWEEN INTERVAL 28 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING)
+        ) s"""),
+    "event_sessions": """
+        SELECT user_id, session, count(*) AS event_count, count(*) FILTER (event_type = 'purchase') AS purchases,
+          max(epoch_us(ts)) - min(epoch_us(ts)) AS length_micros
+        FROM (
+          SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts)::BIGINT AS session
+          FROM (SELECT *, ((ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOURS) IS NOT TRUE)::INTEGER AS fresh FROM events)
+        )
+        GROUP BY user_id, session""",
+    "flagged_streaks": on_results("""
+        SELECT detection_metric, warehouse_id, carrier_id, min(week_start_date) AS first_week, max(week_start_date) AS last_week, count(*) AS weeks
+        FROM (
+          SELECT *, week_start_date - 7 * row_number() OVER (PARTITION BY detection_metric, warehouse_id, carrier_id ORDER BY week_start_date)::INTEGER AS island
+          FROM result WHERE anomaly_detected
+        )
+        GROUP BY detection_metric, warehouse_id, carrier_id, island"""),
+}
 ORACLES["incremental_weekly_quality"] = ORACLES["agg_weekly_quality"]

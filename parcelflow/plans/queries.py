@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from parcelflow import config
 from parcelflow.functions.scalars import round_scaled
 from parcelflow.functions.scratch import scratch_path, stored
-from parcelflow.operators import changes, enrich, quality, scoring, staging, timejoins
+from parcelflow.operators import changes, enrich, quality, rollups, scoring, staging, timejoins
 from parcelflow.plans import build, exports, findings, incremental, kpis, marts
 from parcelflow.sources import schemas, star
 from parcelflow.sources.tables import materialize, read_csv, row_counts, write_csv
+from parcelflow.streaming import daily
 
 MIN_SHIPMENTS = 3
 SPIKE = "ANOM_SPIKE_001"
@@ -726,3 +727,63 @@ def incremental_weekly_quality(t):
     incremental.build_weeks(old, t.routing, out, t.rules)
     incremental.refresh_weeks(old, t.source, t.routing, out, t.rules, changed=["raw_orders"])
     return incremental.read_weeks(t.spark, out, "agg_weekly_quality_by_segment").select(*marts.agg_weekly_quality(marts.weekly_flag_counts(t.fact)).columns)
+
+
+# --- streams, subtotals, sketches, calendars, islands ----------------------------------------------
+
+
+@query
+def stream_daily_flag_counts(t):
+    """The daily counts of the fact, arriving as a stream of files."""
+    arrivals, root = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "daily-stream")
+    schema = materialize(t.fact, arrivals).schema
+    daily.accept(t.spark, arrivals, schema, root)
+    daily.close_days(t.spark, schema, root)
+    return daily.current_counts(t.spark, schema, root)
+
+
+@query
+def sla_subtotals(t):
+    return rollups.sla_subtotals(t.fact)
+
+
+@query
+def sketch_weekly_delay(t):
+    """Weekly distinct shipments and delay quantiles per warehouse, merged from daily sketches, held against the exact figures."""
+    fact, keys = stored(t.fact, "sketch-fact"), ["week_start_date", "warehouse_id"]
+    days = stored(rollups.daily_sketches(fact, "shipment_id", "delay_days", ["order_purchase_date", "warehouse_id", "carrier_id"]), "sketch-days")
+    weeks = rollups.estimated(rollups.merged(days, [F.trunc("order_purchase_date", "week").alias(keys[0]), keys[1]]), keys)
+    rows = fact.withColumn(keys[0], F.trunc("order_purchase_date", "week")).join(weeks, keys)
+    below = [f(F.col("delay_days"), F.col(p)).cast("int") for p in ("p50", "p90") for f in (lambda a, b: a < b, lambda a, b: a <= b)]
+    exact = rows.groupBy(*keys, "rows", "distinct_ids").agg(F.count_distinct("shipment_id").alias("exact_ids"), *(F.avg(b).alias(f"b{i}") for i, b in enumerate(below)))
+    near = F.abs(F.col("distinct_ids") - F.col("exact_ids")) <= F.greatest(F.lit(1), F.col("exact_ids") * 0.06)
+    # a quantile's own value has a share of the rows: its ranks must enclose the wanted one
+    ranks = [(F.col(f"b{2 * i}") <= share + 0.03) & (F.col(f"b{2 * i + 1}") >= share - 0.03) for i, share in enumerate((0.5, 0.9))]
+    return exact.select(*keys, "rows", near.alias("distinct_near"), (ranks[0] & ranks[1]).alias("quantiles_near"))
+
+
+@query
+def kpi_shipments_by_segment_approx(t):
+    """The approximate count of distinct shipments, held against the exact one."""
+    exact = kpis.shipments_by_segment(t.named_fact).withColumnRenamed("shipments", "exact")
+    both = kpis.shipments_by_segment(t.named_fact, error=0.01).join(exact, ["warehouse_name", "carrier_name", "sla_breach_flag"])
+    near = F.abs(F.col("shipments") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.05)
+    return both.select("warehouse_name", "carrier_name", "sla_breach_flag", near.alias("shipments_near"))
+
+
+@query
+def calendar_baseline(t):
+    return rollups.calendar_baseline(scoring.weekly_segment(t.daily_counts))
+
+
+@query
+def event_sessions(t):
+    """Runs of a user's events at most six hours apart."""
+    found = rollups.sessions(t.events, ["user_id"], "ts", 6 * 3600, [F.count_if(F.col("event_type") == "purchase").alias("purchases")])
+    length = F.unix_micros(F.col("ends").cast("timestamp")) - F.unix_micros(F.col("starts").cast("timestamp"))
+    return found.select("user_id", "session", "event_count", "purchases", length.alias("length_micros"))
+
+
+@query
+def flagged_streaks(t):
+    return rollups.flagged_streaks(t.results, ["detection_metric", "warehouse_id", "carrier_id"], flag="anomaly_detected")

@@ -1,4 +1,4 @@
-"""The difference of two loads of a table, as a change set that turns the one into the other."""
+"""The difference of two loads of a table: by key, as a change set that turns the one into the other, or row by row with multiplicities."""
 
 from __future__ import annotations
 
@@ -74,3 +74,26 @@ def apply_changes(old: DataFrame, changes: DataFrame, key: Sequence[str]) -> Dat
     """`old` after a change set."""
     kept = _at(old, changes.select(*key).distinct(), key, "left_anti")
     return kept.unionByName(changes.where(F.col("op") == ADD).drop("op"))
+
+
+def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row of both tables with `left_count`, `right_count`, `common` (INTERSECT ALL), `left_surplus` and `right_surplus` (EXCEPT ALL either way).
+
+    One union and one aggregation, combined before the shuffle, so a row that is repeated any number of times is no hot key; NULLs are
+    equal to each other, as in set operations.
+    """
+    columns = _same_columns(left, right)
+    sides = [df.select(*columns, F.lit(int(i == 0)).alias("in_left"), F.lit(int(i == 1)).alias("in_right")) for i, df in enumerate((left, right))]
+    counted = sides[0].unionByName(sides[1]).groupBy(*columns).agg(F.sum("in_left").alias("left_count"), F.sum("in_right").alias("right_count"))
+    more = F.col("left_count") - F.col("right_count")
+    return counted.select(
+        "*", F.least("left_count", "right_count").alias("common"), F.greatest(more, F.lit(0)).alias("left_surplus"), F.greatest(-more, F.lit(0)).alias("right_surplus")
+    )
+
+
+def repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as the column `times` says, in two steps, so that no row becomes one array of all its copies."""
+    run = 1_000_000
+    runs = rows.where(F.col(times) > 0).withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / run))))
+    size = F.least(F.lit(run), F.col(times) - F.col("_run") * run)
+    return runs.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).drop("_run", "_copy", times)

@@ -423,4 +423,26 @@ ORACLES |= {
         )
         GROUP BY detection_metric, warehouse_id, carrier_id, island"""),
 }
+ORACLES |= {
+    # payloads, quarantine, multisets
+    "event_payloads": """
+        SELECT event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+          array_to_string(list_sort(list_filter(json_keys(props), lambda x: x <> 'k')), ',') AS further_keys,
+          CASE WHEN props IS NULL OR trim(props) = '' THEN 'missing' WHEN NOT json_valid(props) THEN 'malformed'
+            WHEN json_type(props) <> 'OBJECT' THEN 'no object' WHEN json_extract_string(props, '$.k') IS NULL THEN 'absent field'
+            WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL THEN 'wrong type' END AS payload_fault
+        FROM events""",
+    "src_csv_quarantine": on_sources("""
+        SELECT CASE order_status WHEN 'shipped' THEN 'wrong number of values' WHEN 'canceled' THEN 'no timestamp_ntz in order_purchase_timestamp'
+            ELSE 'good' END AS outcome, coalesce(order_status, '') AS order_status, count(*) AS lines
+        FROM raw_orders GROUP BY ALL"""),
+    "dq_multiset_diff": on_sources(f"""
+        SELECT customer_id, order_status, order_estimated_delivery_date, sum(l)::BIGINT AS left_count, sum(r)::BIGINT AS right_count,
+          least(left_count, right_count) AS common, greatest(left_count - right_count, 0) AS left_surplus, greatest(right_count - left_count, 0) AS right_surplus
+        FROM (
+          SELECT customer_id, order_status, order_estimated_delivery_date, 1 AS l, 0 AS r FROM ({EARLIER})
+          UNION ALL SELECT customer_id, order_status, order_estimated_delivery_date, 0, 1 FROM ({KEPT})
+        )
+        GROUP BY customer_id, order_status, order_estimated_delivery_date HAVING sum(l) <> sum(r)"""),
+}
 ORACLES["incremental_weekly_quality"] = ORACLES["agg_weekly_quality"]

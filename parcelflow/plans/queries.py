@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from parcelflow import config
 from parcelflow.functions.scalars import round_scaled
 from parcelflow.functions.scratch import scratch_path, stored
-from parcelflow.operators import changes, enrich, quality, rollups, scoring, staging, timejoins
+from parcelflow.operators import changes, enrich, payloads, quality, rollups, scoring, staging, timejoins
 from parcelflow.plans import build, exports, findings, incremental, kpis, marts
 from parcelflow.sources import schemas, star
-from parcelflow.sources.tables import materialize, read_csv, row_counts, write_csv
+from parcelflow.sources.tables import materialize, read_csv, read_csv_quarantined, row_counts, write_csv
 from parcelflow.streaming import daily
 
 MIN_SHIPMENTS = 3
@@ -787,3 +787,35 @@ def event_sessions(t):
 @query
 def flagged_streaks(t):
     return rollups.flagged_streaks(t.results, ["detection_metric", "warehouse_id", "carrier_id"], flag="anomaly_detected")
+
+
+# --- payloads, quarantine, multisets ---------------------------------------------------------------
+
+
+@query
+def event_payloads(t):
+    typed = payloads.with_payload(t.events, "props", {"k": "int"})
+    return typed.select("event_id", "event_type", "k", F.array_join("further_keys", ",").alias("further_keys"), "payload_fault")
+
+
+@query
+def src_csv_quarantine(t):
+    """Lines of orders of which those in work lack their last values and canceled ones have no day: good rows, and bad lines by reason."""
+    path, orders = scratch_path(t.spark, "orders-lines"), t.source["raw_orders"]
+    bought = F.when(F.col("order_status") == "canceled", "unknown").otherwise(F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss"))
+    values = [F.col("order_id"), F.col("customer_id"), F.col("order_status"), bought]
+    rest = [F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("")) for c in schemas.RAW_ORDERS.names[4:]]
+    line = F.when(F.col("order_status") == "shipped", F.concat_ws(",", *values)).otherwise(F.concat_ws(",", *values, *rest))
+    orders.select(line.alias("line")).write.text(path)
+    good, bad = read_csv_quarantined(t.spark, path, schemas.RAW_ORDERS, names=schemas.RAW_ORDERS.names)
+    kept = good.select(F.lit("good").alias("outcome"), F.coalesce("order_status", F.lit("")).alias("order_status"))
+    set_aside = bad.select(F.col("reason").alias("outcome"), F.split("line", ",")[2].alias("order_status"))
+    return kept.unionByName(set_aside).groupBy("outcome", "order_status").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def dq_multiset_diff(t):
+    """Combinations of customer, status and promised day whose numbers of orders differ between the earlier load and the later one."""
+    columns = ["customer_id", "order_status", "order_estimated_delivery_date"]
+    both = changes.multiset_diff(t.earlier_orders.select(*columns), _kept_orders(t).select(*columns))
+    return both.where(F.col("left_count") != F.col("right_count"))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from parcelflow.config import local_table
 from parcelflow.functions.scalars import blank_to_null
+from parcelflow.functions.scratch import stored
 from parcelflow.sources import schemas
 
 
@@ -41,6 +43,36 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, m
     )
 
 
+def read_csv_quarantined(
+    spark: SparkSession, path: str, schema: StructType, max_bad_share: float = 1.0, names: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Scan headed CSV files without line breaks in values: the good rows typed by `schema`, and the bad lines as `file, line, reason`.
+
+    A line is bad if it has too few or too many values, a quote that is not closed, or a value that does not cast to its type (blank text is NULL, not bad). Columns of
+    the header that the schema lacks are kept as text; all its own must be there. Lines equal to the header are headers; with `names` of the columns there are none. Every other line is in exactly
+    one of both results. Lines are parsed once, into a scratch table; a share of bad lines above `max_bad_share` fails the load.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    header = None if names else lines.first()
+    names = names or next(csv.reader([header.line]), []) if header or names else []
+    types = {f.name: f.dataType for f in schema.fields}
+    if absent := sorted(set(types) - set(names)):
+        raise ValueError(f"{path} has no columns {', '.join(absent)}")
+    text = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))] + [StructField("corrupt", StringType())])
+    body = lines.where(F.col("line") != header.line) if header else lines
+    cells = body.withColumn("cells", F.from_csv("line", text.simpleString()[7:-1].replace(":", " "), {"escape": '"', "columnNameOfCorruptRecord": "corrupt", "mode": "PERMISSIVE"}))
+    value = {n: blank_to_null(F.trim(f"cells.c{i}") if types.get(n, StringType()) != StringType() else F.col(f"cells.c{i}")) for i, n in enumerate(names)}
+    typed = {n: v.try_cast(types[n]) if n in types else v for n, v in value.items()}
+    reason = F.when(F.col("cells.corrupt").isNotNull() | F.col("cells").isNull(), "wrong number of values")
+    for n in types:
+        reason = reason.when(value[n].isNotNull() & typed[n].isNull(), f"no {types[n].simpleString()} in {n}")
+    parsed = stored(cells.select("file", "line", reason.alias("reason"), F.struct(*(typed[n].alias(n) for n in names)).alias("row")), "csv-lines")
+    bad, every = parsed.agg(F.count("reason"), F.count(F.lit(1))).first()
+    if bad > max_bad_share * every:
+        raise ValueError(f"{path}: {bad} of {every} lines are bad")
+    return parsed.where("reason IS NULL").select("row.*"), parsed.where("reason IS NOT NULL").select("file", "line", "reason")
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
     """Write headed CSV and return the number of rows, counted while writing.
 

@@ -1,0 +1,77 @@
+"""JSON payloads, quarantined CSV lines and multisets."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import values
+from parcelflow.operators import changes, payloads
+from parcelflow.sources import schemas
+from parcelflow.sources.tables import read_csv_quarantined
+
+PAYLOADS = {
+    '{"k": 69, "b": "x"}': (69, "x", [], None),
+    ' {"k": 7 , "b":"", "z":[1], "a": {"k": 2}} ': (7, "", ["a", "z"], None),
+    '{"k": "12", "b": 3}': (12, "3", [], None),
+    '{"k": "many", "b": "x"}': (None, "x", [], "wrong type"),
+    '{"k": {}, "b": "x"}': (None, "x", [], "wrong type"),
+    '{"k": 12345678901, "b": "x"}': (None, "x", [], "wrong type"),
+    '{"b": "x"}': (None, "x", [], "absent field"),
+    '{"k": null, "b": "x", "K": 1}': (None, "x", ["K"], "absent field"),
+    '{"k": 1, "k": 2, "b": "x"}': (None, None, [], "duplicate key"),
+    '{"k": 1, "b": ': (None, None, None, "malformed"),
+    '{"a": {"x": 1, "x": 2}, "k": 1}': (None, None, ["a"], "malformed"),
+    "[1]": (None, None, None, "no object"),
+    "null": (None, None, None, "no object"),
+    "": (None, None, None, "missing"),
+    " \t": (None, None, None, "malformed"),
+    None: (None, None, None, "missing"),
+}
+
+
+def test_payloads_and_their_faults(spark):
+    frame = spark.createDataFrame([(p,) for p in PAYLOADS], "props string")
+    typed = payloads.with_payload(frame, "props", {"k": "int", "b": "string"})
+    assert {r.props: (r.k, r.b, r.further_keys, r.payload_fault) for r in typed.collect()} == PAYLOADS
+    wanted = Counter(x[3] or "none" for x in PAYLOADS.values())
+    assert {r.fault: r.rows for r in payloads.fault_counts(typed).collect()} == wanted
+
+
+def lines_of(df):
+    return sorted((r.line, r.reason) for r in df.collect())
+
+
+def test_bad_lines_are_set_aside_and_no_line_is_lost(spark, tmp_path):
+    bad = ["r2,many,z", "r3", "r4,4,5,6", 'r5,"4', 'r6",x', ",,,"]
+    good = ['"a,b",3,x', "r8, 4 ,", 'r9,,"say ""x"""', ",,", "r1,1,y"]
+    for i, part in enumerate((bad[:3] + good[:2], good[2:] + bad[3:])):
+        (tmp_path / f"{i}.csv").write_text("\n".join(["order_id,review_score,note", *part]) + "\n")
+    kept, aside = read_csv_quarantined(spark, str(tmp_path), schemas.RAW_REVIEWS)
+    assert values(kept) == [(None, None, None), ("a,b", 3, "x"), ("r1", 1, "y"), ("r8", 4, None), ("r9", None, 'say "x"')] and kept.columns == ["order_id", "review_score", "note"]
+    found = lines_of(aside)
+    assert sorted(x for x, _ in found) == sorted(bad) and kept.count() + len(found) == len(bad) + len(good)
+    assert dict(found)["r2,many,z"] == "no int in review_score" and dict(found)["r4,4,5,6"] == "wrong number of values"
+    assert {r.file.rsplit("/", 1)[1] for r in aside.where("line IN ('r3', ',,,')").collect()} == {"0.csv", "1.csv"}
+
+
+def test_too_many_bad_lines_fail_the_load(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("order_id,review_score\n1,3\n2,x\n3,4\n4,5\n")
+    assert read_csv_quarantined(spark, str(tmp_path), schemas.RAW_REVIEWS, max_bad_share=0.25)[1].count() == 1
+    with pytest.raises(ValueError, match="1 of 4 lines"):
+        read_csv_quarantined(spark, str(tmp_path), schemas.RAW_REVIEWS, max_bad_share=0.2)
+    with pytest.raises(ValueError, match="no columns review_score"):
+        read_csv_quarantined(spark, str(tmp_path), schemas.RAW_REVIEWS, names=["order_id", "stars"])
+
+
+def test_multisets_are_except_all_and_intersect_all(spark):
+    left = spark.createDataFrame([(1, "a")] * 3 + [(None, "b")] * 2 + [(2, None), (3, "c")], "x int, y string")
+    right = spark.createDataFrame([("a", 1)] + [("b", None)] * 4 + [(None, 2), ("d", 4)], "y string, x int")
+    both = changes.multiset_diff(left, right)
+    for times, wanted in (("left_surplus", left.exceptAll(right.select("x", "y"))), ("right_surplus", right.select("x", "y").exceptAll(left)), ("common", left.intersectAll(right.select("x", "y")))):
+        assert values(changes.repeated(both.select("x", "y", times), times)) == values(wanted)
+
+
+def test_a_row_of_very_many_copies_is_spread(spark):
+    rows = spark.createDataFrame([("a", 2_500_003), ("b", 1), ("c", 0)], "x string, n long")
+    assert values(changes.repeated(rows, "n").groupBy("x").agg(F.count(F.lit(1)))) == [("a", 2_500_003), ("b", 1)]

@@ -88,6 +88,11 @@ def empty_tables(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("row_count") <= 0)
 
 
+def row_count_status(counts: DataFrame) -> DataFrame:
+    """`table_name, row_count, status`: a table without rows fails."""
+    return counts.select("table_name", "row_count", F.when(F.col("row_count") > 0, "pass").otherwise("fail").alias("status"))
+
+
 def unexpected_counts(counts: DataFrame, expected: DataFrame, exact: Iterable[str], larger: Iterable[str]) -> DataFrame:
     """Tables whose row count is not the expected one, or not above it.
 
@@ -184,10 +189,19 @@ def suite_report(tables: Mapping[str, DataFrame], checks: Mapping[str, TableChec
         for column, parent, parent_column in spec.relationships:
             found = orphans(df, column, tables[parent], parent_column)
             parts.append(_counted("relationships", name, column, found, F.coalesce(F.sum("row_count"), F.lit(0))))
+    return _with_status(_union(parts))
+
+
+def reported(check: str, table: str, column: str | None, found: DataFrame) -> DataFrame:
+    """A check whose violations are the rows of `found`, as a row of the report."""
+    return _with_status(_counted(check, table, column, found))
+
+
+def _with_status(parts: DataFrame) -> DataFrame:
     status = F.when(F.col("violations") == 0, "pass").otherwise("fail")
-    return _union(parts).select("check_name", "table_name", "column_name", "violations", status.alias("status"))
+    return parts.select("check_name", "table_name", "column_name", "violations", status.alias("status"))
 
 
-def _counted(check: str, table: str, column: str, found: DataFrame, measure: Column | None = None) -> DataFrame:
+def _counted(check: str, table: str, column: str | None, found: DataFrame, measure: Column | None = None) -> DataFrame:
     counted = found.agg((F.count(F.lit(1)) if measure is None else measure).alias("violations"))
-    return counted.select(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "violations")
+    return counted.select(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), F.lit(column).cast("string").alias("column_name"), "violations")

@@ -1,17 +1,20 @@
 """Staging models over the bronze tables, and the shipment fact.
 
-The join forms take the assignment tables one by one. `orders_of`, `shipments_of` and `fact_of` give the
+The join forms take the assignment tables one by one, `assigned_orders` merges them first. `orders_of`, `shipments_of` and `fact_of` give the
 same rows from the wide enriched orders, with one join by order id for the first and none for the others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow import config
 from parcelflow.functions.scalars import days_between
 
+# Names and order of the columns of the three tables.
 ORDER_COLUMNS = (
     "order_id", "customer_id", "customer_state", "order_status", "order_purchase_timestamp", "order_approved_at",
     "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date", "warehouse_id",
@@ -50,6 +53,39 @@ def orders_of(orders: DataFrame, customers: DataFrame, enriched: DataFrame) -> D
     )
 
 
+#: Columns that each assignment table gives to an order.
+ASSIGNED = {
+    "raw_warehouse_assignments": ("warehouse_id", "warehouse_name"),
+    "raw_carrier_assignments": ("carrier_id", "carrier_name"),
+    "raw_sla_targets": ("category_name", "sla_tier", "sla_target_days"),
+    "raw_issue_flags": ("issue_type", "issue_source", "synthetic_issue_probability", "anomaly_flag"),
+}
+
+
+def merged_assignments(assignments: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per order id of the given assignment tables: `order_id`, all their columns, and per table `has_<table>`.
+
+    One union and one shuffle for any number of tables instead of a join for each; rows are combined before it. An order that
+    a table lists more than once counts once, with its greatest row (the `unique` check tells of it).
+    """
+    united = None
+    for name, df in assignments.items():
+        row = df.where(F.col("order_id").isNotNull()).select("order_id", F.struct(*(F.col(c) for c in ASSIGNED[name])).alias(name))
+        united = row if united is None else united.unionByName(row, allowMissingColumns=True)
+    rows = united.groupBy("order_id").agg(*(F.max(name).alias(name) for name in assignments))
+    columns = [F.col(f"{name}.{c}").alias(c) for name in assignments for c in ASSIGNED[name]]
+    return rows.select("order_id", *columns, *(F.col(name).isNotNull().alias(f"has_{name}") for name in assignments))
+
+
+def assigned_orders(orders: DataFrame, customers: DataFrame, assignments: Mapping[str, DataFrame], needed: Iterable[str] = tuple(ASSIGNED)) -> DataFrame:
+    """The wide orders from given assignments: those that all tables in `needed` list, with the customer's state. One join by order id."""
+    merged = merged_assignments(assignments)
+    for name in needed:
+        merged = merged.where(f"has_{name}")
+    kept = merged.drop(*(f"has_{name}" for name in assignments))
+    return orders.join(customers.select("customer_id", "customer_state"), "customer_id", "left").join(kept, "order_id")
+
+
 def _is_delivered() -> Column:
     return (
         F.col("order_purchase_timestamp").isNotNull()

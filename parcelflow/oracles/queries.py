@@ -15,20 +15,23 @@ EARLIER = """
   FROM raw_orders WHERE order_purchase_timestamp < DATE '1998-07-01'"""
 KEPT = "SELECT * FROM raw_orders WHERE order_status IS DISTINCT FROM 'canceled'"
 
+TABLE_COUNTS = """
+  SELECT 'raw_orders' AS table_name, count(*) AS row_count FROM raw_orders
+  UNION ALL SELECT 'raw_order_items', count(*) FROM lineitem
+  UNION ALL SELECT 'raw_products', count(*) FROM part
+  UNION ALL SELECT 'raw_customers', count(*) FROM customer
+  UNION ALL SELECT 'raw_reviews', count(*) FROM lineitem
+  UNION ALL SELECT 'raw_payments', count(*) FROM orders
+  UNION ALL SELECT 'raw_sellers', count(*) FROM supplier
+  UNION ALL SELECT 'raw_geolocation', count(*) FROM nation
+  UNION ALL SELECT unnest(['raw_warehouse_assignments', 'raw_carrier_assignments', 'raw_sla_targets', 'raw_issue_flags']),
+    (SELECT count(*) FROM enriched)"""
+
 ORACLES: dict[str, str] = {
     # sources
     "src_csv_scan": on_sources("SELECT * FROM raw_orders"),
-    "bronze_row_counts": on_orders("""
-        SELECT 'raw_orders' AS table_name, count(*) AS row_count FROM raw_orders
-        UNION ALL SELECT 'raw_order_items', count(*) FROM lineitem
-        UNION ALL SELECT 'raw_products', count(*) FROM part
-        UNION ALL SELECT 'raw_customers', count(*) FROM customer
-        UNION ALL SELECT 'raw_reviews', count(*) FROM lineitem
-        UNION ALL SELECT 'raw_payments', count(*) FROM orders
-        UNION ALL SELECT 'raw_sellers', count(*) FROM supplier
-        UNION ALL SELECT 'raw_geolocation', count(*) FROM nation
-        UNION ALL SELECT unnest(['raw_warehouse_assignments', 'raw_carrier_assignments', 'raw_sla_targets', 'raw_issue_flags']),
-          (SELECT count(*) FROM enriched)"""),
+    "bronze_row_counts": on_orders(TABLE_COUNTS),
+    "dq_row_counts": on_orders(f"SELECT *, CASE WHEN row_count > 0 THEN 'pass' ELSE 'fail' END AS status FROM ({TABLE_COUNTS})"),
     "scalar_casts": on_sources("""
         SELECT order_id, TRY_CAST(order_id AS INTEGER) AS order_number, order_purchase_timestamp::DATE AS purchase_date,
           CAST(order_purchase_timestamp AS VARCHAR) AS purchase_text,
@@ -190,7 +193,6 @@ ORACLES: dict[str, str] = {
             if(l_linenumber = 1, NULL, l_shipdate::DATE) AS delivered_customer_date, l_shipdate::DATE + 400 AS estimated_delivery_date
           FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
         WHERE coalesce(delivered_customer_date < order_purchase_date, false) OR estimated_delivery_date < order_purchase_date""",
-    "dq_row_counts": on_sources("SELECT 'raw_orders' AS table_name, count(*) AS row_count FROM raw_orders HAVING count(*) = 0"),
     "dq_expected_counts": on_orders(
         """
         SELECT 'raw_order_items' AS table_name, (SELECT count(*) FROM lineitem) AS row_count, count(*) AS expected_rows FROM enriched""",

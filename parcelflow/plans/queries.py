@@ -73,6 +73,20 @@ class Lazy:
     def assigned(self) -> dict[str, DataFrame]:
         return enrich.assignment_tables(self.enriched)
 
+    @cached_property
+    def given(self) -> dict[str, DataFrame]:
+        """The assignment tables as a user has them: stored, one pass of the enrichment for all."""
+        return enrich.assignment_tables(stored(self._assignment_columns(self.enriched), "assigned"))
+
+    @cached_property
+    def recent(self) -> dict[str, DataFrame]:
+        """Likewise over the last six complete months."""
+        return enrich.assignment_tables(stored(self._assignment_columns(self.enriched_over(config.WINDOW_MONTHS)), "assigned-recent"))
+
+    @staticmethod
+    def _assignment_columns(enriched: DataFrame) -> DataFrame:
+        return enriched.select(*dict.fromkeys(c for columns in enrich.ASSIGNMENT_COLUMNS.values() for c in columns))
+
     @cached_property
     def fact(self) -> DataFrame:
         return staging.fact_of(self.enriched)
@@ -152,7 +166,7 @@ def src_csv_scan(t):
 
 @query
 def bronze_row_counts(t):
-    return row_counts({**t.source, **t.assigned})
+    return row_counts({**t.source, **t.given})
 
 
 @query
@@ -178,18 +192,14 @@ def scalar_casts(t):
 @query
 def stg_orders(t):
     # Assignments cover the last six complete months, so older orders stay unassigned.
-    recent = enrich.assignment_tables(t.enriched_over(config.WINDOW_MONTHS))
-    return staging.stg_orders(
-        t.source["raw_orders"], t.source["raw_customers"], recent["raw_warehouse_assignments"], recent["raw_carrier_assignments"]
-    )
+    tables = {name: t.recent[name] for name in ("raw_warehouse_assignments", "raw_carrier_assignments")}
+    return staging.orders_of(t.source["raw_orders"], t.source["raw_customers"], staging.merged_assignments(tables))
 
 
 @query
 def stg_shipments(t):
-    return staging.stg_shipments(
-        t.source["raw_orders"], t.source["raw_customers"], t.assigned["raw_warehouse_assignments"],
-        t.assigned["raw_carrier_assignments"], t.assigned["raw_sla_targets"],
-    )
+    tables = {name: t.given[name] for name in ("raw_warehouse_assignments", "raw_carrier_assignments", "raw_sla_targets")}
+    return staging.shipments_of(staging.assigned_orders(t.source["raw_orders"], t.source["raw_customers"], tables, needed=tables))
 
 
 @query
@@ -204,9 +214,7 @@ def fct_shipments(t):
 
 @query
 def fct_shipments_joined(t):
-    return staging.fct_shipments(
-        staging.shipments_of(t.enriched), t.assigned["raw_sla_targets"], staging.stg_issues(t.assigned["raw_issue_flags"])
-    )
+    return staging.fact_of(staging.assigned_orders(t.source["raw_orders"], t.source["raw_customers"], t.given))
 
 
 @query
@@ -409,19 +417,18 @@ def dq_date_order(t):
 
 @query
 def dq_row_counts(t):
-    return quality.empty_tables(row_counts(t.source))
+    return quality.row_count_status(row_counts({**t.source, **t.given}))
 
 
 @query
 def dq_expected_counts(t):
     # The expected number is that of the orders in the window; assignments over all orders exceed it.
     expected = enrich.in_recent_months(t.source["raw_orders"]).agg(F.count(F.lit(1)).alias("expected_rows"))
-    recent = enrich.assignment_tables(t.enriched_over(config.WINDOW_MONTHS))
     counts = row_counts(
         {
             "raw_orders": t.source["raw_orders"],
-            "raw_issue_flags": recent["raw_issue_flags"],
-            "raw_warehouse_assignments": recent["raw_warehouse_assignments"],
+            "raw_issue_flags": t.recent["raw_issue_flags"],
+            "raw_warehouse_assignments": t.recent["raw_warehouse_assignments"],
             "raw_order_items": t.source["raw_order_items"],
         }
     )
@@ -666,7 +673,7 @@ def enrich_issue_type(t):
 
 @query
 def enrich_order_count(t):
-    return row_counts(t.assigned)
+    return row_counts(t.given)
 
 
 # --- time joins and changes ------------------------------------------------------------------------

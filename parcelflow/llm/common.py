@@ -62,6 +62,23 @@ def one_per_document(rows: DataFrame, *document: str) -> DataFrame:
     return rows.groupBy(*(F.col(c).alias(f"document_{i}") for i, c in enumerate(document))).agg(best.alias("best")).select("best.*")
 
 
+#: Copies of a row that one array holds at most: 8 MB of numbers.
+RUN = 1_000_000
+
+
+def spread(rows: DataFrame, times: str, nth: str) -> DataFrame:
+    """Every row as often as its column `times` says, numbered from 0 in `nth`; `rows` should be cheap to read twice.
+
+    A row of more than `RUN` copies is first cut into runs of so many, which are dealt to all tasks, so neither an array nor a task grows
+    with the number of copies.
+    """
+    n, run = F.col(times), F.lit(RUN).cast("long")
+    few = rows.where((n > 0) & (n <= run)).withColumn(nth, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    runs = rows.where(n > run).withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / run))))
+    runs = runs.repartition(F.xxhash64("_run")).withColumn(nth, F.explode(F.sequence(F.col("_run") * run, F.least((F.col("_run") + 1) * run, n) - 1)))
+    return few.unionByName(runs.drop("_run"))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """`node, root` for every node of `edges` (`u`, `v`: longs): `root` is the least node that it reaches.
 

@@ -206,5 +206,5 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = T
     model = stored(train(docs, labelled, domains), "mixing-model")
     rows = stored(with_units(docs, model, domains), "mixing-docs")
     taken = rows.withColumn("rate", fit(rows, targets).rate())
-    times = taken.select("doc", copies(F.col("rate"), *common.KEY).alias("times")).where("times > 0")
-    return times.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("doc.*")
+    times = taken.select("doc", copies(F.col("rate"), *common.KEY).alias("times"))
+    return common.spread(times, "times", "nth").select("doc.*")

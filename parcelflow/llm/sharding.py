@@ -68,13 +68,13 @@ def shard(docs: DataFrame, shards: int = 40, key: int = SEED) -> DataFrame:
     """`doc_id, size, text_crc32, row_number, shard, slot` for every row.
 
     Only 20 bytes a document are shuffled. Equal rows are counted, numbered together and spread again after
-    the numbering, so repeated rows are no hot key.
+    the numbering, in runs of bounded length, so repeated rows are no hot key.
     """
     text = common.whole_text()
     rows = docs.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     counted = stored(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n")), "shard-rows")
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     numbers = common.numbered(counted, BUCKETS, ["doc_id", "text_crc32", "size"], "first")
-    each = numbers.select("doc_id", "size", "text_crc32", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("row_number"))
+    each = common.spread(numbers.select("doc_id", "size", "text_crc32", "n", "first"), "n", "nth").withColumn("row_number", F.col("first") + F.col("nth"))
     of_shard, of_slot = place(F.col("row_number"), total, shards, key)
     return each.select("doc_id", "size", "text_crc32", "row_number", of_shard.alias("shard"), of_slot.alias("slot"))

@@ -28,6 +28,15 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def draw(*of: Column | str) -> Column:
+    """A hash from 0 to 2^63 - 1: rows whose draw is at most `share_of(wanted, size)` are about `wanted` of `size`, whatever the size."""
+    return F.xxhash64(*of).bitwiseAND(F.lit(2**63 - 1))
+
+
+def share_of(wanted: int, size: int) -> int:
+    return min(2**63 - 1, (wanted << 63) // max(size, 1))
+
+
 def row_key(columns: tuple[str, str, str] = ("key_id", "key_no_id", "key_text")) -> list[Column]:
     """Columns without NULLs that tell documents apart: the id, whether it is NULL, and a hash of the text."""
     of_id, of_none, of_text = columns

@@ -68,9 +68,8 @@ def learn(docs: DataFrame) -> Filter:
     languages = sorted(counts, key=lambda lang: (-counts[lang], lang))
     if not languages:
         return Filter([], 1)
-    draw = F.pmod(document, F.lit(1_000_000))
-    share = F.element_at(F.create_map(*(F.lit(x) for lang in languages for x in (lang, min(1_000_000, -(-PER_LANGUAGE * 1_000_000 // documents[lang]))))), F.col("lang"))
-    drawn = known.where(draw < share).withColumn("document", document)
+    share = F.element_at(F.create_map(*(F.lit(x) for lang in languages for x in (lang, common.share_of(PER_LANGUAGE, documents[lang])))), F.col("lang"))
+    drawn = known.where(document.bitwiseAND(F.lit(2**63 - 1)) <= share).withColumn("document", document)
     sample = common.one_per_document(drawn, "lang", "document")
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

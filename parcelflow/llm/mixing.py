@@ -1,18 +1,20 @@
 """Mixing domains to target weights by soft membership.
 
 A naive Bayes classifier, trained on a labelled table, gives every document a posterior over the domains.
-Nonnegative rates per document are then fitted so that the expected tokens of each domain meet its target:
-least squares over the domains' token shares, and of all such rates those nearest to 1 in the metric of the
-documents' tokens. These are max(0, 1 + posterior * pull) for one number, the pull, per domain, so the fit is a
-system with as many unknowns as domains. Newton's method solves it to `TOLERANCE` however rare a domain is; what is
-left where no rates can meet the targets is in `Fit.residual`, with a warning. A document is taken floor(rate)
-times, and once more with the rest as its chance.
+Nonnegative rates per document are then fitted so that the expected tokens of each domain meet its target, by
+projected gradient descent on the least squares of the domains' token shares: from rates of 1, every step takes from a
+document's rate its posterior times one number, the pull, per domain, and sets what falls below 0 to 0. Pulls are the
+errors of the shares over the bound of the curvature, a step that never ascends, or, where that descends further, the errors
+times a metric: the inverse of the posteriors' products summed over the rates that can move, in several step lengths. It
+brings rare domains to their targets in a few steps. Steps go on until each share is within `TOLERANCE` of its target,
+or none descends any more, or after `STEPS`, which only targets that no rates can meet were seen to need; what is left of such
+targets is in `Fit.residual`, with a warning. A document is taken floor(rate) times, and once more with the rest as its chance.
 
 Rates follow posteriors in units of 1/`UNITS`, rounded by largest remainders; what they are fitted to does not:
 expected tokens are sums of unrounded posteriors. Documents of equal units have equal rates, so the fit
 runs over distinct units with those sums: one pass over the corpus whatever the number of
-steps, and a table bounded by the number of unit vectors. Every step is two aggregations in Spark; only sums
-per pair of domains come back.
+steps, and a table of rates bounded by the number of unit vectors, written anew by every step. A step is two aggregations in
+Spark; only sums per pair of domains come back. Rates of documents are worked out in place from the pulls of all steps.
 
 All expressions are built-in functions. The model is one row of `BUCKETS` weight vectors, made by Spark and
 put into the plan as a constant of that fixed size. Scoring happens in place: texts are not shuffled, and each is read whole.
@@ -39,8 +41,8 @@ BUCKETS, UNITS = 1 << 13, 64
 #: The bound of the training sample: about so many labelled documents a domain.
 PER_DOMAIN = 3000
 TOLERANCE = 1e-4
-#: Weights of the pulls in the fit, Newton steps for each at most, and step lengths tried at once.
-WEIGHTS, STEPS, HALVINGS = [10.0**-k for k in range(0, 11, 2)], 20, 6
+#: Steps of the fit at most, step lengths tried at once, and the least share of the squares that a step must take away.
+STEPS, HALVINGS, DESCENT = 100, 8, 1e-4
 #: Target token shares of the registered query: languages, and documents labelled as of low quality.
 TARGETS = {"en": 0.45, "fr": 0.20, "de": 0.15, "es": 0.15, "low": 0.05}
 
@@ -67,12 +69,11 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame
     """One row of JSON: `prior` (log share per domain) and `weights` (per bucket: log share of documents per domain)."""
     known = labelled.where(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
     sizes = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000))
-    share = F.lit(0)
+    share = F.lit(-1)
     for domain, size in sizes.items():
-        share = F.when(F.col("domain") == domain, F.lit(min(1_000_000, -(-PER_DOMAIN * 1_000_000 // size)))).otherwise(share)
+        share = F.when(F.col("domain") == domain, F.lit(common.share_of(PER_DOMAIN, size))).otherwise(share)
     # about PER_DOMAIN ids a domain, whatever the size of the input
-    chosen = F.broadcast(known.where(draw < share))
+    chosen = F.broadcast(known.where(common.draw("doc_id", F.lit(11)) <= share))
     # written first: else a filter on the features, made for explode, is pushed below the join to all documents
     drawn = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "domain", "text")
     texts = stored(common.one_per_document(drawn, "doc_id").select("domain", "text"), "mixing-sample")
@@ -114,69 +115,83 @@ def with_units(docs: DataFrame, model: DataFrame, domains: list[str]) -> DataFra
 
 
 class Fit:
-    """`pull`: how much a whole posterior of each domain adds to the rate 1. `residual`: expected shares less targets."""
+    """`pulls`: per step, how much a whole posterior of each domain takes from a rate. `residual`: expected shares less targets."""
 
     def __init__(self, domains: int):
-        self.pull, self.residual = [0.0] * domains, [0.0] * domains
+        self.pulls: list[list[float]] = []
+        self.residual = [0.0] * domains
 
     def rate(self, units: str = "units") -> Column:
-        return _rate(self.pull, units)
+        rate = F.lit(1.0)
+        for pull in self.pulls:
+            rate = _moved(rate, pull, units)
+        return rate
 
 
-def _rate(pull: Sequence[float], units: str) -> Column:
-    product = "+".join(f"{units}[{i}]*{float(x)!r}D" for i, x in enumerate(pull))
-    return F.expr(f"greatest(0D, 1D+({product})/{UNITS}D)")
+def _dot(pull: Sequence[float], units: str = "units") -> Column:
+    return F.expr("(" + "+".join(f"{units}[{i}]*{float(x)!r}D" for i, x in enumerate(pull)) + f")/{UNITS}D")
+
+
+def _moved(rate: Column, pull: Sequence[float], units: str = "units") -> Column:
+    """The projected step."""
+    return F.greatest(F.lit(0.0), rate - _dot(pull, units))
 
 
 def fit(rows: DataFrame, targets: Mapping[str, float]) -> Fit:
     """Rates for `rows` (`tokens`, `units`, and `shares` unless units are exact) whose expected token shares meet `targets`; total tokens stay the same.
 
-    Solves shares - goal + weight * pull = 0 for ever smaller weights by Newton's method. A residual of
-    `TOLERANCE` or more is left only where no rates can meet the targets, and warned of.
+    A residual of `TOLERANCE` or more is warned of: it is left where no rates can meet the targets, or after `STEPS` steps.
     """
     domains = list(targets)
     n = len(domains)
     goal = np.array([targets[d] / sum(targets.values()) for d in domains])
     exact = [F.col("shares")[i] if "shares" in rows.columns else F.col("units")[i] / UNITS for i in range(n)]
     mass = [F.sum(F.col("tokens") * x).alias(f"m{i}") for i, x in enumerate(exact)]
-    posteriors = stored(rows.groupBy("units").agg(*mass), "mixing-posteriors")
+    state = stored(rows.groupBy("units").agg(*mass).withColumn("rate", F.lit(1.0)), "mixing-posteriors")
     found = Fit(n)
-    everything = sum(x or 0.0 for x in posteriors.agg(*(F.sum(f"m{i}") for i in range(n))).first())
+    everything = sum(x or 0.0 for x in state.agg(*(F.sum(f"m{i}") for i in range(n))).first())
     if not everything:
         return found
 
     def shares(*pulls: np.ndarray) -> np.ndarray:
-        sums = [F.sum(_rate(pull, "units") * F.col(f"m{i}")) for pull in pulls for i in range(n)]
-        return np.array(posteriors.agg(*sums).first(), float).reshape(len(pulls), n) / everything
+        sums = [F.sum(F.col(f"r{k}") * F.col(f"m{i}")) for k in range(len(pulls)) for i in range(n)]
+        moved = state.select(*(f"m{i}" for i in range(n)), *(_moved(F.col("rate"), pull).alias(f"r{k}") for k, pull in enumerate(pulls)))
+        return np.array(moved.agg(*sums).first(), float).reshape(len(pulls), n) / everything
 
-    def slopes(pull: np.ndarray) -> np.ndarray:
-        moving = posteriors.where(_rate(pull, "units") > 0)
+    def products(of: DataFrame) -> np.ndarray:
         sums = [F.coalesce(F.sum(F.col(f"m{i}") * F.col("units")[j] / UNITS), F.lit(0.0)) for i in range(n) for j in range(n)]
-        return np.array(moving.agg(*sums).first(), float).reshape(n, n) / everything
-
-    pull = np.zeros(n)
-    residual = shares(pull)[0] - goal
-    for weight in WEIGHTS:
-        for _ in range(STEPS):
-            error = residual + weight * pull
-            if max(abs(residual)) < TOLERANCE or max(abs(error)) < TOLERANCE / 10:
-                break
-            step = np.linalg.solve(slopes(pull) + weight * np.eye(n), -error)
-            tried = [pull + step / 2**k for k in range(HALVINGS)]
-            residuals = shares(*tried) - goal
-            errors = [np.linalg.norm(r + weight * x) for r, x in zip(residuals, tried, strict=True)]
-            best = int(np.argmin(errors))
-            if errors[best] >= np.linalg.norm(error):
-                break
-            pull, residual = tried[best], residuals[best]
-        if max(abs(residual)) < TOLERANCE:
+        return np.array(of.agg(*sums).first(), float).reshape(n, n) / everything
+
+    whole = products(state)
+    # no rate depends on a domain without reach
+    weight = np.divide(1.0, np.diag(whole), out=np.zeros(n), where=np.diag(whole) > 0)
+    residual = shares(np.zeros(n))[0] - goal
+    while max(abs(residual)) >= TOLERANCE and len(found.pulls) < STEPS:
+        movable = state.where((F.col("rate") > 0) | (_dot(residual) < 0))
+        quick = _inverse(products(movable)) @ residual
+        # the last is plain projected gradient: the trace bounds the curvature
+        tried = [quick / 2**k for k in range(HALVINGS)] + [weight * residual / n, residual / max(np.trace(whole), 1e-300)]
+        residuals = shares(*tried) - goal
+        squares = [r @ r for r in residuals]
+        best = int(np.argmin(squares))
+        if squares[best] >= (1 - DESCENT) * (residual @ residual):
             break
-    found.pull, found.residual = pull.tolist(), residual.tolist()
+        state = stored(state.withColumn("rate", _moved(F.col("rate"), tried[best])), "mixing-rates")
+        found.pulls.append(tried[best].tolist())
+        residual = residuals[best]
+    found.residual = residual.tolist()
     if max(abs(residual)) >= TOLERANCE:
         warnings.warn(f"targets not met; shares less targets: {dict(zip(domains, found.residual, strict=True))}", stacklevel=2)
     return found
 
 
+def _inverse(products: np.ndarray) -> np.ndarray:
+    """Pseudo-inverse, with domains of very different mass brought to one scale first."""
+    diagonal = np.diag(products)
+    scale = np.divide(1.0, np.sqrt(diagonal), out=np.zeros(len(diagonal)), where=diagonal > 0)
+    return scale[:, None] * np.linalg.pinv(scale[:, None] * products * scale, rcond=1e-10) * scale
+
+
 def copies(rate: Column, *of: str) -> Column:
     """floor(rate), and one more with the rest as its chance: a hash of the row key."""
     chance = F.pmod(F.xxhash64(*of, F.lit(13)), F.lit(1 << 40)) / F.lit(float(1 << 40))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from parcelflow.functions.scratch import stored
+from parcelflow.llm import common
 
 SCALE, K = 64, 20
 SAMPLE, PIVOTS, RINGS = 2000, 16, 8
@@ -107,8 +108,7 @@ def build(vectors: DataFrame, k: int = K, pivots: int = PIVOTS, rings: int = RIN
     size = entries.agg(F.count(F.lit(1)).alias("n"), F.max(squares).alias("largest")).first()
     if not size.n:
         return entries, None
-    share = -(-SAMPLE * 1_000_000 // size.n)
-    drawn = entries.where(F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1_000_000)) < share).select("vector").toPandas()
+    drawn = entries.where(common.draw("rep", F.lit(3)) <= common.share_of(SAMPLE, size.n)).select("vector").toPandas()
     sample = np.stack(drawn["vector"]) if len(drawn) else np.array([entries.select("vector").first()[0]])
     found = Pivots(sample, size.largest, pivots, rings)
 

@@ -52,18 +52,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~common.held_out())
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000))
-    share = F.when(F.col("toxic") == 1, F.lit(_share(counts.get(1, 0)))).otherwise(F.lit(_share(counts.get(0, 0))))
+    share = F.when(F.col("toxic") == 1, F.lit(common.share_of(PER_CLASS, counts.get(1, 0)))).otherwise(F.lit(common.share_of(PER_CLASS, counts.get(0, 0))))
     # about 2 * PER_CLASS ids of 12 bytes, whatever the size of the input
-    chosen = F.broadcast(known.where(draw < share))
+    chosen = F.broadcast(known.where(common.draw("doc_id", F.lit(9)) <= share))
     drawn = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "toxic", "text")
     return common.one_per_document(drawn, "doc_id").select("toxic", "text"), counts
 
 
-def _share(count: int) -> int:
-    return min(1_000_000, -(-PER_CLASS * 1_000_000 // max(count, 1)))
-
-
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     sample, counts = labelled_sample(docs, labels)
 

@@ -1,5 +1,6 @@
 """Language, toxicity, mixing, personal data, top-k, url filters and the pipeline."""
 
+import contextlib
 import hashlib
 import json
 import math
@@ -131,6 +132,44 @@ def test_fit_reaches_rare_domains(spark, tokens):
     assert missed.residual[4] == pytest.approx(-0.05)
 
 
+def test_fit_of_a_domain_of_ten_tokens(spark):
+    """Ten tokens beside 10^13: rates of 5 * 10^10 meet a target of 5 %."""
+    frame = spark.createDataFrame([(10**13, [64, 0]), (10, [0, 64])], "tokens long, units array<int>")
+    fitted = mixing.fit(frame, {"a": 0.95, "b": 0.05})
+    assert max(map(abs, fitted.residual)) < mixing.TOLERANCE
+    assert frame.where("tokens = 10").select(fitted.rate()).first()[0] == pytest.approx(5e10, rel=2e-3)
+
+
+@pytest.mark.parametrize("seed, spread, can_meet", [(1, [0.5, 0.4, 0.3], True), (3, [0.5, 0.4, 0.3], True), (4, [3, 2, 0.8], False)])
+def test_fit_of_clipped_mixtures(spark, seed, spread, can_meet):
+    """Mixed posteriors and targets far from their shares: many rates end at 0, and the squares are those of plain descent."""
+    rng = np.random.default_rng(seed)
+    units = np.array([rng.multinomial(64, rng.dirichlet(spread)) for _ in range(40)])
+    tokens = rng.integers(1, 50, 40)
+    frame = spark.createDataFrame([(i, int(t), u.tolist()) for i, (t, u) in enumerate(zip(tokens, units, strict=True))], "i int, tokens long, units array<int>")
+    p, t, goal, rate = units / 64, tokens / tokens.sum(), np.array([0.1, 0.15, 0.75]), np.ones(40)
+    for _ in range(50_000):
+        rate = np.maximum(0, rate - p @ (p.T @ (rate * t) - goal))
+    least = p.T @ (rate * t) - goal
+    with contextlib.nullcontext() if can_meet else pytest.warns(UserWarning, match="not met"):
+        fitted = mixing.fit(frame, {"a": 0.1, "b": 0.15, "c": 0.75})
+    found = np.array([r.r for r in frame.select("i", fitted.rate().alias("r")).orderBy("i").collect()])
+    error = p.T @ (found * t) - goal
+    assert (found == 0).any() and np.abs(error - fitted.residual).max() < 1e-9
+    assert (np.abs(least).max() < 1e-6) == can_meet
+    assert np.abs(error).max() < mixing.TOLERANCE if can_meet else error @ error < 1.01 * least @ least
+
+
+def test_draws_have_no_least_share(spark):
+    """About 1,000 of rows whose number is taken for 10^13: in steps of a millionth, 10^7 would be drawn."""
+    from pyspark.sql import functions as F
+
+    assert common.share_of(1000, 10**13) / 2**63 == pytest.approx(1e-10)
+    assert common.share_of(5, 3) == common.share_of(5, 0) == 2**63 - 1
+    drawn = spark.range(200_000).where(common.draw("id", F.lit(3)) <= common.share_of(1000, 200_000)).count()
+    assert 850 < drawn < 1150
+
+
 def test_mixing_counts_small_posteriors(spark):
     """Every plain text is `low` with 0.7 % or 1.5 %: less than a unit, or not much more."""
     for low in (0.007, 0.015):

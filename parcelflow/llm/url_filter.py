@@ -7,8 +7,10 @@ that level 1 wrongly holds, and so on until no false positive is left. For every
 first level that lacks it then tells exactly whether it is listed, so urls are judged in place: no join, no
 shuffle, only the url and id columns are read.
 
-Cascades go into the plan as literals. Their size is checked: up to `MAX_LISTED` listed keys (some 200 kB)
-are held that way; for a longer list `matches` uses joins on the exploded keys, with the same results.
+Cascades go into the plan as constants. Their size is bounded: a cascade holds about `MAX_LISTED` listed keys (some 1.5 MB of
+filter words). A longer list is cut into parts by a hash of its keys, with a cascade over each part's own share of the
+universe, and the pages are judged part after part, each pass written before the next. So a list of any length is
+answered by cascades, without joins of pages; passes grow with the list.
 
 Defined results: a NULL url or one without `://` has empty host and path and is allowed. Of several listed
 keys that fit, the longest decides, then the greatest. Repeated rows are judged alike. An empty table gives
@@ -22,12 +24,13 @@ import string
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.scratch import stored
 
-MAX_LISTED = 100_000
+MAX_LISTED = 1_000_000
 #: Bits per key of the first and of all other levels.
 BITS = (10, 4)
 
@@ -67,9 +70,9 @@ def keys_of(host_: Column, path_: Column, labels: int, lengths: Sequence[int]) -
 
 @dataclass
 class Cascade:
-    """Levels as (bits, hashes, 64-bit words); empty if nothing is listed."""
+    """Levels as (bits, hashes, bytes); empty if nothing is listed."""
 
-    levels: list[tuple[int, int, list[int]]]
+    levels: list[tuple[int, int, bytes]]
 
     def holds(self, key: Column) -> Column:
         """Whether `key`, if it is of the universe, is listed."""
@@ -79,12 +82,11 @@ class Cascade:
         return listed
 
     def _has(self, key: Column, number: int) -> Column:
-        bits, hashes, words = self.levels[number]
-        table = F.expr("array(" + ",".join(f"{w}L" if w > -(2**63) else "shiftleft(1L, 63)" for w in words) + ")")
+        bits, hashes, table = self.levels[number]
         found = F.lit(True)
         for position in _positions(key, number, bits, hashes):
-            word = F.get(table, F.floor(position / 64).cast("int"))
-            found &= F.getbit(word, F.pmod(position, F.lit(64)).cast("int")) == 1
+            byte = F.substring(F.lit(table), (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))
+            found &= F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (position % 8).cast("int")) == 1
         return found
 
 
@@ -93,7 +95,7 @@ def _positions(key: Column, number: int, bits: int, hashes: int) -> list[Column]
 
 
 def fit(listed: DataFrame, universe: DataFrame) -> Cascade:
-    """The cascade of `listed` over `universe` (both: distinct `key`). Only filter words reach the driver."""
+    """The cascade of `listed` over `universe` (both: distinct `key`). Only filter words reach the driver: ten bits a listed key, 12 bytes a word of 64."""
     cascade, remaining = Cascade([]), listed
     others = universe.join(listed, "key", "left_anti")
     while n := remaining.count():
@@ -102,11 +104,10 @@ def fit(listed: DataFrame, universe: DataFrame) -> Cascade:
         bits, hashes = 64 * max(1, math.ceil(per_key * n / 64)), max(1, round(per_key * math.log(2)))
         position = remaining.select(F.explode(F.array(*_positions(F.col("key"), number, bits, hashes))).alias("p"))
         word = F.floor(F.col("p") / 64).cast("int")
-        ored = position.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(p % 64 AS INT))")).alias("mask")).collect()
-        words = [0] * (bits // 64)
-        for row in ored:
-            words[row.word] = row.mask
-        cascade.levels.append((bits, hashes, words))
+        ored = position.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(p % 64 AS INT))")).alias("mask")).toArrow()
+        words = np.zeros(bits // 64, np.int64)
+        words[ored["word"].to_numpy()] = ored["mask"].to_numpy()
+        cascade.levels.append((bits, hashes, words.astype("<i8").tobytes()))
         if number > 60:
             raise ValueError("a key of the universe collides at every level")
         # the set that the next level encodes: keys of the other kind that pass all levels so far
@@ -130,34 +131,36 @@ def judge(pages: DataFrame, rules: DataFrame, blocked_hosts: DataFrame) -> DataF
     lengths = sorted({0} | {r.n for r in shape.select("n").distinct().collect()})
     parsed = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     keys = keys_of(F.col("host"), F.col("path"), labels, lengths)
-    if sum(x.count() for x in (allow, block, hosts)) > MAX_LISTED:
-        return _judge_by_joins(parsed.withColumn("keys", keys), allow, block, hosts)
     universe = stored(parsed.select(F.explode(keys).alias("key")).distinct(), "url-universe")
-    allowed, blocked, bad = (fit(x, universe) for x in (allow, block, hosts))
+    nothing = F.lit(None).cast("struct<n:int,key:string>")
+    found = parsed.select("page_id", "host", "path", nothing.alias("allow"), nothing.alias("block"), F.lit(False).alias("bad"))
+    for kind, listed in (("allow", allow), ("block", block), ("bad", hosts)):
+        listed = stored(listed, "url-listed")
+        parts = -(-listed.count() // MAX_LISTED)
+        for number in range(parts):
+            cascade = fit(listed.where(_part(F.col("key"), parts) == number), universe.where(_part(F.col("key"), parts) == number))
+            holds = _holder(cascade, number, parts)
+            if kind == "bad":
+                seen = F.col("bad") | F.exists(keys, holds)
+            else:
+                longest = F.array_max(F.transform(F.filter(keys, holds), lambda k: F.struct(F.length(k).alias("n"), k.alias("key"))))
+                seen = F.greatest(kind, longest)
+            found = found.withColumn(kind, seen)
+            if parts > 1:
+                found = stored(found, "url-judged")
+    return _verdict(found)
 
-    def longest(cascade: Cascade) -> Column:
-        return F.array_max(F.transform(F.filter("keys", cascade.holds), lambda k: F.struct(F.length(k).alias("n"), k.alias("key"))))
 
-    found = parsed.withColumn("keys", keys).select(
-        "page_id", "host", "path", longest(allowed).alias("allow"), longest(blocked).alias("block"), F.exists("keys", bad.holds).alias("bad")
-    )
-    return _verdict(found)
+def _holder(cascade: Cascade, number: int, parts: int):
+    """Whether a key is of the part `number` and listed there."""
+    return lambda key: (_part(key, parts) == number) & cascade.holds(key)
+
+
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
 
 
 def _verdict(found: DataFrame) -> DataFrame:
     rule = F.greatest("allow", "block")
     verdict = F.when(rule.isNull(), F.when(F.col("bad"), "block").otherwise("allow")).otherwise(F.when(rule == F.col("block"), "block").otherwise("allow"))
     return found.select("page_id", "host", "path", rule["key"].alias("rule"), verdict.alias("verdict"))
-
-
-def _judge_by_joins(parsed: DataFrame, allow: DataFrame, block: DataFrame, hosts: DataFrame) -> DataFrame:
-    """The same for lists beyond `MAX_LISTED`: distinct (host, path) pairs are joined key by key."""
-    pairs = stored(parsed.groupBy("host", "path").agg(F.first("keys").alias("keys")), "url-pairs")
-    each = pairs.select("host", "path", F.explode("keys").alias("key"))
-    listed = allow.withColumn("kind", F.lit("allow")).unionByName(block.withColumn("kind", F.lit("block"))).unionByName(hosts.withColumn("kind", F.lit("bad")))
-    key = F.struct(F.length("key").alias("n"), "key")
-    decided = each.join(stored(listed, "url-listed"), "key").groupBy("host", "path").agg(
-        F.max(F.when(F.col("kind") == "allow", key)).alias("allow"), F.max(F.when(F.col("kind") == "block", key)).alias("block"), F.max(F.col("kind") == "bad").alias("bad")
-    )
-    found = parsed.join(stored(decided, "url-decided"), ["host", "path"], "left")
-    return _verdict(found.withColumn("bad", F.coalesce("bad", F.lit(False))))

@@ -370,6 +370,25 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert wrong.count() == 0
 
 
+def test_a_long_list_in_parts(spark, monkeypatch):
+    """30,000 blocked hosts, half of them in the pages' universe, in one cascade of several levels and in three: as a join says."""
+    from pyspark.sql import functions as F
+
+    host = F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".net"))
+    pages = spark.range(0, 60_000, 2).select(F.col("id").alias("page_id"), F.concat(F.when(F.col("id") % 3 == 0, "http://www.").otherwise("http://"), host, F.lit("/x")).alias("url"))
+    hosts = spark.range(30_000).select(host.alias("host"))
+    rules = spark.createDataFrame([("h4.net", "/x", "allow"), ("net", "/x", "allow"), ("h8.net", "/", "block")], "host string, path string, verdict string").where("host <> 'net'")
+    wanted = {(i, "allow" if i == 4 or i >= 30_000 else "block") for i in range(0, 60_000, 2)}
+    for most, parts in ((1_000_000, 1), (10_000, 3)):
+        monkeypatch.setattr(url_filter, "MAX_LISTED", most)
+        made, fit = [], url_filter.fit
+        monkeypatch.setattr(url_filter, "fit", lambda *a, made=made, fit=fit: made.append(fit(*a)) or made[-1])
+        found = url_filter.judge(pages, rules, hosts).select("page_id", "verdict").toArrow()
+        monkeypatch.setattr(url_filter, "fit", fit)
+        assert set(zip(found["page_id"].to_pylist(), found["verdict"].to_pylist(), strict=True)) == wanted
+        assert sum(len(c.levels) >= 3 for c in made) == parts and found.num_rows == 30_000
+
+
 def test_pipeline_against_a_plain_version(spark):
     source = common.read(spark, SF, "documents")
     rows = {r.doc_id: r for r in source.collect()}

@@ -179,16 +179,22 @@ def delay_bins(fact: DataFrame) -> DataFrame:
     return fact.groupBy(fixed_bin(F.col("delay_days"), 5).alias("delay_days_bin")).agg(F.count("shipment_id").alias("shipments"))
 
 
-def _known_carriers(df: DataFrame, carrier_names) -> DataFrame:
-    """`df`, whose job fails on a carrier outside `carrier_names`: a pivot would drop it without a word."""
+def _known_carriers(df: DataFrame, carrier_names, others: str | None = None) -> DataFrame:
+    """`df` with every carrier outside `carrier_names`, or NULL, as `others`; without that name the job fails: a pivot would drop it without a word."""
     name = F.col("carrier_name")
+    if others is not None:
+        return df.withColumn("carrier_name", F.when(name.isin(list(carrier_names)), name).otherwise(F.lit(others)))
     unknown = F.raise_error(F.concat(F.lit("carrier outside the dimension: "), F.coalesce(name, F.lit("NULL")))).cast("string")
     return df.withColumn("carrier_name", F.when(name.isin(list(carrier_names)), name).otherwise(unknown))
 
 
-def breach_pivot(fact: DataFrame, carrier_names) -> DataFrame:
-    """Breach rate, warehouses by the carriers of the run's dimension."""
-    return _known_carriers(fact, carrier_names).groupBy("warehouse_name").pivot("carrier_name", list(carrier_names)).agg(
+def _columns(carrier_names, others: str | None) -> list[str]:
+    return list(carrier_names) + ([others] if others is not None and others not in carrier_names else [])
+
+
+def breach_pivot(fact: DataFrame, carrier_names, others: str | None = None) -> DataFrame:
+    """Breach rate, warehouses by the carriers of the run's dimension, and a column `others` for shipments of none of them."""
+    return _known_carriers(fact, carrier_names, others).groupBy("warehouse_name").pivot("carrier_name", _columns(carrier_names, others)).agg(
         _ratio(F.count_if("sla_breach_flag"), F.count("sla_breach_flag"))
     )
 
@@ -210,9 +216,9 @@ def weekly_issue_rate(weekly: DataFrame) -> DataFrame:
     return weekly.groupBy("week_start_date", "issue_type").agg(_issue_rate().alias("quality_issue_rate"))
 
 
-def quality_heatmap(weekly: DataFrame, carrier_names) -> DataFrame:
-    """Issue rate, warehouses by the carriers of the run's dimension."""
-    return _known_carriers(weekly, carrier_names).groupBy("warehouse_name").pivot("carrier_name", list(carrier_names)).agg(_issue_rate())
+def quality_heatmap(weekly: DataFrame, carrier_names, others: str | None = None) -> DataFrame:
+    """Issue rate, warehouses by the carriers of the run's dimension, and a column `others` for rows of none of them."""
+    return _known_carriers(weekly, carrier_names, others).groupBy("warehouse_name").pivot("carrier_name", _columns(carrier_names, others)).agg(_issue_rate())
 
 
 def category_issues(weekly: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from frames import fact, names, shipment, values
 from parcelflow.plans import exports, kpis, marts
@@ -45,6 +46,14 @@ def test_pivots(frames):
     assert values(kpis.quality_heatmap(frames["weekly"], ["Carrier"])) == [("Warehouse", 0.4)]
 
 
+def test_pivots_with_unknown_carriers(frames):
+    """A NULL name (no such carrier in the dimension) and one outside the list share a column; the others are as before."""
+    nameless = frames["fact"].withColumn("carrier_name", F.when(F.col("sla_breach_flag"), F.lit(None)).otherwise(F.col("carrier_name")))
+    assert values(kpis.breach_pivot(nameless, ["Carrier"], others="unknown")) == [("Warehouse", 0.0, 1.0)]
+    assert values(kpis.breach_pivot(frames["fact"], ["Nobody"], others="unknown")) == [("Warehouse", None, 0.6)]
+    assert values(kpis.quality_heatmap(frames["weekly"], ["Carrier"], others="unknown")) == [("Warehouse", 0.4, None)]
+
+
 def test_labels_and_detail(frames):
     assert values(kpis.shipment_detail(frames["fact"]), "anomaly_label") == [("A",)] + [("No injected anomaly",)] * 4
 

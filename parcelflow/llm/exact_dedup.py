@@ -1,13 +1,18 @@
 """Exact dedup by a tree merge of sorted digest runs.
 
-Each input partition is a run of digests. In every round, `fan_in` neighbouring runs are merged into one:
-an exchange by (digest, merged run) followed by a sort-and-combine that keeps one row per digest with the
-number of copies and the best identifier so far. After log(runs) rounds one run is left, spread over all
-tasks by digest. A round's rows are combined before they are exchanged, so copies of one text cost one row
-per task and round however many there are.
+Each partition of the input is a run: its digests, sorted, one row per digest with the number of copies and the best
+identifier. Runs merge in binomial rounds. After t rounds of two, 2^t neighbouring runs have become one, which 2^t
+tasks hold together, each a range of the digests: in a round, partner tasks exchange the ranges that the other one
+goes on with, so every round has the same number of tasks and each task hands rows to its partners only. `ROUND` rounds
+are taken at once, as a merge of 2^ROUND sorted runs: the blocks that reach a task are sorted, so its sort is a merge,
+and neighbours that are equal in digest, second hash and length combine. After the last round one run is left, spread
+over all tasks by digest. Copies of one text cost one row per run and round however many there are.
 
 Texts are equal when they are identical without the white space `[\\x20\\x09-\\x0D]`. The digest is
-SHA-256; a second hash and the length go with it, and only rows equal in all three are merged.
+SHA-256; a second hash and the length go with it, and only rows equal in all three are merged. Runs are sorted
+by the second hash first, whose leading bits name the range.
+
+Beyond `MOST_RUNS` partitions, neighbouring ones share a run, as an exchange among more tasks would cost more than it spreads.
 
 Defined results: a NULL text counts as empty, empty texts equal each other; among equal texts the longest
 original stays, then the least `doc_id` (a NULL one last), then the least hash of the original text; of
@@ -22,10 +27,10 @@ from pyspark.sql import functions as F
 from parcelflow.functions.scratch import stored
 from parcelflow.llm import common
 
-#: Runs before the first round, and runs merged into one in a round.
-RUNS, FAN_IN = 64, 8
+#: Rounds of two that one exchange takes together, and runs before the first of them.
+ROUND, MOST_RUNS = 3, 1 << 14
 WHITE_SPACE = "\t\n\x0b\x0c\r "
-SAME = ["digest", "check", "n_bytes"]
+SAME = ["check", "digest", "n_bytes"]
 
 
 def normalised(text: Column) -> Column:
@@ -43,24 +48,33 @@ def digests(docs: DataFrame) -> DataFrame:
         F.xxhash64("plain").alias("check"),
         F.octet_length("plain").alias("n_bytes"),
         F.monotonically_increasing_id().alias("row_id"),
-        F.pmod(F.spark_partition_id(), F.lit(RUNS)).alias("run"),
+        F.spark_partition_id().alias("run"),
     )
 
 
-def merge_runs(rows: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
-    """One row per distinct text: `best` identifier and number of copies `n`."""
+def merge_runs(rows: DataFrame, at_once: int = ROUND, most_runs: int = MOST_RUNS) -> DataFrame:
+    """One row per distinct text: `best` identifier and number of copies `n`. `rows` is read twice, so it should be stored."""
+    last = rows.agg(F.max("run")).first()[0] or 0
+    folded = max(0, last.bit_length() - (most_runs - 1).bit_length())
+    bits = last.bit_length() - folded
     best = F.struct((-F.col("n_chars")).alias("longest"), "key_no_id", "key_id", "key_text", "row_id")
-    merged = rows.select(*SAME, "run", best.alias("best"), F.lit(1).cast("long").alias("n"))
-    while runs > 1:
-        runs = -(-runs // fan_in)
-        merged = (
-            merged.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy(*SAME, "run")
-            .agg(F.min("best").alias("best"), F.sum("n").alias("n"))
-        )
+    leaves = rows.select(F.shiftright("run", folded).alias("run"), *SAME, best.alias("best"), F.lit(1).cast("long").alias("n"))
+    merged = _combined(leaves, "run")
+    for done in range(0, bits, at_once):
+        taken = min(done + at_once, bits)
+        piece = F.shiftrightunsigned("check", 64 - taken).cast("int")
+        runs = merged.withColumn("run", F.shiftright("run", taken - done))
+        # task: the run, then its range of digests
+        sent = runs.withColumn("task", F.shiftleft("run", taken).bitwiseOR(piece))
+        merged = _combined(sent.repartitionById(1 << bits, "task"), "task", "run").drop("task")
     return merged.drop("run")
 
 
+def _combined(rows: DataFrame, *run: str) -> DataFrame:
+    """One row per run and text. The minimum of a struct makes Spark sort by the keys and combine neighbours."""
+    return rows.groupBy(*run, *SAME).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """`doc_id, keep_id, group_size, kept, text_sha256` for every row.
 
@@ -80,5 +94,5 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    groups = stored(merge_runs(digests(docs)).select("best.*"), "exact-kept")
+    groups = stored(merge_runs(stored(digests(docs), "exact-digests")).select("best.*"), "exact-kept")
     return common.keep_only(docs, groups)

@@ -31,10 +31,25 @@ def test_exact_dedup_of_odd_rows(spark):
     assert Counter(map(tuple, found)) == wanted
 
 
-def test_runs_merge_alike_for_any_fan_in(spark):
-    rows = exact_dedup.digests(docs(spark))
-    first = {(r.digest, r.n, r.best.key_id) for r in map(lambda r: r, exact_dedup.merge_runs(rows, 64, 8).collect())}
-    assert first == {(r.digest, r.n, r.best.key_id) for r in exact_dedup.merge_runs(rows, 16, 2).collect()}
+@pytest.mark.parametrize(("at_once", "most_runs"), [(1, 1 << 14), (2, 1 << 14), (3, 1 << 14), (5, 1 << 14), (2, 4), (3, 1)])
+def test_runs_merge_alike_in_any_rounds(spark, at_once, most_runs):
+    """13 runs, of which one text is in all; rounds of two, several at once, neighbouring runs folded."""
+    rows = [(i, f"text {i % 97}" if i % 3 else "copied  everywhere", "en", None, 0) for i in range(1300)]
+    found = exact_dedup.digests(docs(spark, rows).repartitionByRange(13, "doc_id"))
+    merged = [(r.best.key_id, r.n) for r in exact_dedup.merge_runs(found, at_once, most_runs).collect()]
+    wanted = defaultdict(list)
+    for doc_id, text, *_ in rows:
+        wanted[text].append(doc_id)
+    assert Counter(merged) == Counter((min(ids), len(ids)) for ids in wanted.values())
+
+
+def test_rounds_exchange_between_partners_only(spark):
+    """No hash exchange after the runs are made: each round is one exchange by task, sorted and combined."""
+    rows = [(i, f"text {i % 97}", "en", None, 0) for i in range(1300)]
+    found = exact_dedup.merge_runs(exact_dedup.digests(docs(spark, rows).repartitionByRange(13, "doc_id")), 2)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("SortAggregate")
+    exchanges = [part for step in plan for part in step.splitlines() if "Exchange" in part]
+    assert [("hashpartitioning(run" in e, "task" in e and "16" in e) for e in exchanges[:3]] == [(False, True), (False, True), (True, False)]
 
 
 def test_kept_rows_keep_their_columns(spark):

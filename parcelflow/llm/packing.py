@@ -33,7 +33,8 @@ WINDOW, END_ID = 1024, 0
 #: Windows and rests that one packing task is meant to hold.
 TASK_WINDOWS, TASK_RESTS = 1024, 200_000
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
-RANKED_CHARS = 200_000
+#: The matcher behind the ranks gives up on some million characters of white space in a row: blocks of so many go to the tokenizer.
+SPACE_BLOCK = 100_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -41,8 +42,8 @@ class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     `vocabulary` names the tokenizer file; `ranks` the same vocabulary as merge ranks, which give the same ids
-    some three times faster. Ranks are used for texts of Latin-1 characters, whose classes no version of
-    Unicode changes, and of ordinary length, as their matcher has a limit; other texts go to the tokenizer.
+    some three times faster, for texts of any length. Texts beyond Latin-1, where the two could know different versions of
+    Unicode, and texts with `SPACE_BLOCK` to twice as many characters of white space in a row go to the tokenizer.
     """
 
     def __init__(self, vocabulary: str, ranks: str):
@@ -58,7 +59,7 @@ class Encoder:
         self.by_ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        if len(text) <= RANKED_CHARS and is_latin(text):
+        if is_latin(text) and not holds_space_block(text):
             ids = self.by_ranks.encode_ordinary(text)
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -73,6 +74,12 @@ def is_latin(text: str) -> bool:
     return True
 
 
+def holds_space_block(text: str, size: int = 0) -> bool:
+    """Whether one of the blocks of `size` that `text` falls into is white space; then no other run is longer than two blocks."""
+    size = size or SPACE_BLOCK
+    return any(text[at : at + size].isspace() for at in range(0, len(text) - size + 1, size))
+
+
 @functools.cache
 def encoder(vocabulary: str | None = None, ranks: str | None = None) -> Encoder:
     """One encoder per Python worker; the files are the public ones unless named."""

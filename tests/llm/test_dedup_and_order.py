@@ -207,6 +207,25 @@ def test_ranks_give_the_tokenizers_ids(spark):
         assert encode(text) == np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_ranks_give_the_tokenizers_ids_of_random_texts():
+    encode, rng = packing.encoder(), np.random.default_rng(11)
+    latin = np.array([chr(c) for c in range(256)])
+    usual = np.array(list("abcdeABC 019  '\n\t.,!sd") + ["'s", "'ll", "\xa0", "\x85", "é"])
+    for nth in range(6000):
+        text = "".join(rng.choice(usual if nth % 2 else latin, rng.integers(0, 80)))
+        assert encode.by_ranks.encode_ordinary(text) == encode.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("text", ["x" * 300_000, "ab " * 200_000, "é1" * 200_000, " " * 199_999 + "a", "a" + "\n " * 2_000_000, "a b" * 10 + " " * 3_000_000 + "c"], ids=lambda t: f"{t[:2]!r}-{len(t)}")
+def test_long_texts_and_long_white_space(text):
+    encode = packing.encoder()
+    assert encode(text) == np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_blocks_of_white_space():
+    assert [packing.holds_space_block(t, 3) for t in ("", "  ", "   ", "a   b", "a     b", "ab   c", "abc   ")] == [False, False, True, False, True, False, True]
+
+
 def test_best_fit_decreasing_is_the_plain_one():
     rng = np.random.default_rng(3)
     for window in (8, 64, 100):

@@ -1,11 +1,13 @@
 """Exact top-k search by inner product over a pivot-distance index.
 
-One component more gives all vectors the same length; then the order by inner product is the order by
-distance, and the triangle inequality holds. The index keys every vector by its nearest pivot and its
-distance from it; the vectors of a pivot fall into annuli of neighbouring distances. For a query at distance
-d from a pivot, nothing in the annulus [lo, hi] is nearer than max(d - hi, lo - d). A query first expands
-its annuli in the order of that bound until they hold k vectors, which gives a k-th best score, and then
-only those annuli whose bound does not exclude a better one. So results are exact whatever the pivots are.
+One component more gives all vectors the same length; then the order by inner product is the order by angle,
+wherever the query lies, and angles are a distance: the triangle inequality holds. The index keys every vector by its
+nearest pivot and its distance from it; the vectors of a pivot fall into annuli of neighbouring distances. An annulus
+knows the range [lo, hi] of its vectors' distances from every pivot. For a query at distance d from a pivot, nothing in
+the annulus is nearer than max(d - hi, lo - d); the greatest of these over all pivots is its bound. A query first
+expands its annuli in the order of that bound, from its own distance outwards, until they hold k vectors, which gives
+a k-th best score, and then only those annuli whose bound does not exclude a better one. So results are exact whatever
+the pivots are. Pivots and annuli grow with the root of the number of vectors, up to `MOST`.
 
 Queries and annuli meet in blocks: neighbouring annuli of up to `BLOCK` vectors together are a run, which is
 sent to its queries once; a larger annulus is a run of its own, split into blocks of about `BLOCK` vectors.
@@ -13,7 +15,8 @@ A run's queries are split into blocks of about `QUERIES`, so a task's memory doe
 Inside a run a query is compared with those annuli only that it has to open. Equal vectors are one entry
 with their k + 1 least ids, which is all that any query can return, so copies make no hot block.
 
-Only pivots (from a bounded sample), and one row per annulus (`PIVOTS` x `RINGS` at most), reach the driver.
+Only pivots (from a bounded sample), and one row per annulus with two numbers a pivot reach the driver: at most 128 x 64
+rows, 17 MB.
 
 Defined results: vectors that are NULL, empty, or hold a NULL, NaN or infinite component, NULL ids, and
 vectors whose length is not the most common one (ties: the longer) take no part; rows equal in id and vector
@@ -35,10 +38,12 @@ from parcelflow.functions.scratch import stored
 from parcelflow.llm import common
 
 SCALE, K = 64, 20
-SAMPLE, PIVOTS, RINGS = 2000, 16, 8
+SAMPLE = 2000
+#: Least and most pivots, and annuli of a pivot.
+LEAST, MOST = (16, 4), (128, 64)
 BLOCK, QUERIES = 4096, 1024
-#: Rows of query and run that are handed to Spark at once.
-ROWS_AT_ONCE = 10_000
+#: Rows of query and run that are handed to Spark at once, and queries that are held against all annuli at once.
+ROWS_AT_ONCE, QUERIES_AT_ONCE = 10_000, 128
 WANTED = "rep long, vector array<long>, least double, run long, annulus array<long>"
 FOUND = "rep long, score long, ids array<long>"
 
@@ -81,10 +86,15 @@ class Pivots:
 
     @staticmethod
     def _between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.clip((a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * a @ b.T, 0, None))
+        """Angles; a zero vector is at angle 0 from all."""
+        lengths = np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
+        return np.arccos(np.clip(np.where(lengths > 0, a @ b.T / np.where(lengths > 0, lengths, 1), 1), -1, 1))
+
+    def distances(self, vectors: np.ndarray) -> np.ndarray:
+        return self._between(self.lifted(vectors), self.points)
 
     def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        distance = self._between(self.lifted(vectors), self.points)
+        distance = self.distances(vectors)
         pivot = distance.argmin(axis=1)
         return pivot, distance[np.arange(len(pivot)), pivot]
 
@@ -96,12 +106,19 @@ class Pivots:
     def ring(self, pivot: np.ndarray, distance: np.ndarray) -> np.ndarray:
         return np.array([np.searchsorted(self.edges[p], d) for p, d in zip(pivot, distance, strict=True)], np.int64)
 
-    def slack(self) -> float:
-        """More than what rounding can do to a distance: roots of differences near zero are the worst."""
-        return 1e-6 * (1 + np.sqrt(self.largest))
+    def best_score(self, vectors: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """No vector at least at angle `bound` has a greater score, whatever rounding does to angles."""
+        lengths = np.linalg.norm(vectors.astype(np.float64), axis=1) * np.sqrt(self.largest)
+        return lengths[:, None] * np.cos(bound) + 1e-6 * (1 + lengths[:, None])
+
 
+def extent(n: int) -> tuple[int, int]:
+    """Pivots, and annuli of a pivot, for `n` vectors."""
+    pivots = min(max(LEAST[0], int(n**0.5)), MOST[0])
+    return pivots, min(max(LEAST[1], n // (32 * pivots)), MOST[1])
 
-def build(vectors: DataFrame, k: int = K, pivots: int = PIVOTS, rings: int = RINGS) -> tuple[DataFrame, Pivots | None]:
+
+def build(vectors: DataFrame, k: int = K) -> tuple[DataFrame, Pivots | None]:
     """The index: distinct vectors with `annulus` (pivot * rings + ring) and `distance`, written as a table."""
     entries = stored(grouped(vectors, k), "topk-entries")
     squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
@@ -110,6 +127,7 @@ def build(vectors: DataFrame, k: int = K, pivots: int = PIVOTS, rings: int = RIN
         return entries, None
     drawn = entries.where(common.draw("rep", F.lit(3)) <= common.share_of(SAMPLE, size.n)).select("vector").toPandas()
     sample = np.stack(drawn["vector"]) if len(drawn) else np.array([entries.select("vector").first()[0]])
+    pivots, rings = extent(size.n)
     found = Pivots(sample, size.largest, pivots, rings)
 
     def key(batches):
@@ -124,10 +142,27 @@ def build(vectors: DataFrame, k: int = K, pivots: int = PIVOTS, rings: int = RIN
 class Directory:
     """The annuli in order with their sizes and distance ranges, and the run that each belongs to."""
 
-    def __init__(self, index: DataFrame, rings: int):
-        found = index.groupBy("annulus").agg(F.count(F.lit(1)).alias("size"), F.min("distance").alias("lo"), F.max("distance").alias("hi")).orderBy("annulus").toPandas()
+    def __init__(self, index: DataFrame, pivots: Pivots):
+        def ranges(batches):
+            """Per annulus of a task: vectors, and least and greatest distance from every pivot."""
+            sizes, least, greatest = {}, {}, {}
+            for batch in batches:
+                distance, annulus = pivots.distances(np.stack(batch["vector"])), batch["annulus"].to_numpy()
+                order = np.argsort(annulus, kind="stable")
+                keys, starts = np.unique(annulus[order], return_index=True)
+                lows, highs = np.minimum.reduceat(distance[order], starts), np.maximum.reduceat(distance[order], starts)
+                for key, size, low, high in zip(keys.tolist(), np.diff([*starts, len(order)]).tolist(), lows, highs, strict=True):
+                    sizes[key] = sizes.get(key, 0) + size
+                    least[key], greatest[key] = np.minimum(least.get(key, low), low), np.maximum(greatest.get(key, high), high)
+            if sizes:
+                yield pd.DataFrame({"annulus": list(sizes), "size": list(sizes.values()), "lo": pd.Series(list(least.values()), dtype=object), "hi": pd.Series(list(greatest.values()), dtype=object)})
+
+        each = index.select("annulus", "vector").mapInPandas(ranges, "annulus long, size long, lo array<double>, hi array<double>")
+        every = range(len(pivots.points))
+        low, high = ([of(F.col(c)[p]) for p in every] for of, c in ((F.min, "lo"), (F.max, "hi")))
+        found = each.groupBy("annulus").agg(F.sum("size").alias("size"), F.array(*low).alias("lo"), F.array(*high).alias("hi")).orderBy("annulus").toPandas()
         self.annuli, self.sizes = found["annulus"].to_numpy(), found["size"].to_numpy()
-        self.lo, self.hi, self.of_pivot = found["lo"].to_numpy(), found["hi"].to_numpy(), self.annuli // rings
+        self.lo, self.hi = np.stack(found["lo"]), np.stack(found["hi"])
         #: First annulus of each run, by position.
         self.starts, held = [0], 0
         for i, size in enumerate(self.sizes.tolist()):
@@ -145,8 +180,11 @@ class Directory:
 
     def bounds(self, distances: np.ndarray) -> np.ndarray:
         """Least distance that anything in each annulus can have from queries at `distances` from the pivots."""
-        d = distances[:, self.of_pivot]
-        return np.clip(np.maximum(d - self.hi, self.lo - d), 0, None)
+        bound = np.zeros((len(distances), len(self.annuli)))
+        for p, d in enumerate(distances.T):
+            np.maximum(bound, d[:, None] - self.hi[None, :, p], out=bound)
+            np.maximum(bound, self.lo[None, :, p] - d[:, None], out=bound)
+        return bound
 
     def first(self, bound: np.ndarray, k: int) -> np.ndarray:
         """Which annuli are those of least bound that together hold k vectors."""
@@ -162,27 +200,32 @@ class Directory:
         for at in range(0, len(query), ROWS_AT_ONCE):
             q, r = query[at : at + ROWS_AT_ONCE], run[at : at + ROWS_AT_ONCE]
             lists = [self.annuli[self.starts[j] : self.ends[j]][chosen[i, self.starts[j] : self.ends[j]]] for i, j in zip(q, r, strict=True)]
-            yield batch.iloc[q][["rep", "vector", "least"]].assign(run=r, annulus=lists)
+            found = batch.iloc[q][["rep", "vector", "least"]]
+            yield found.assign(run=r, annulus=pd.Series(lists, found.index, object))
 
 
-def search(queries: DataFrame, index: DataFrame, pivots: Pivots, k: int = K, rings: int = RINGS) -> DataFrame:
+def search(queries: DataFrame, index: DataFrame, pivots: Pivots, k: int = K) -> DataFrame:
     """`rep, vec_id, score`: for each query vector the k best entries, by score and then id. Queries have `rep` and `vector`."""
-    directory = Directory(index, rings)
+    directory = Directory(index, pivots)
+
+    def parts(batches):
+        for batch in batches:
+            for at in range(0, len(batch), QUERIES_AT_ONCE):
+                part = batch.iloc[at : at + QUERIES_AT_ONCE]
+                vectors = np.stack(part["vector"])
+                yield part, vectors, directory.bounds(pivots.of_query(vectors))
 
     def nearest(batches):
         """The annuli of least bound that together hold k vectors."""
-        for batch in batches:
-            bound = directory.bounds(pivots.of_query(np.stack(batch["vector"])))
+        for batch, _, bound in parts(batches):
             yield from directory.by_run(batch.assign(least=np.nan), directory.first(bound, k))
 
     def others(batches):
         """The other annuli that can hold a vector at least as good as the k-th so far."""
-        for batch in batches:
-            vectors = np.stack(batch["vector"])
-            bound, least = directory.bounds(pivots.of_query(vectors)), batch["least"].to_numpy(float)
-            square = (vectors.astype(np.float64) ** 2).sum(axis=1) + pivots.largest - 2 * least
-            reach = np.where(np.isnan(least), np.inf, np.sqrt(np.clip(square, 0, None)) + pivots.slack())
-            yield from directory.by_run(batch, ~directory.first(bound, k) & (bound <= reach[:, None]))
+        for batch, vectors, bound in parts(batches):
+            least = batch["least"].to_numpy(float)
+            hopeful = np.isnan(least)[:, None] | (pivots.best_score(vectors, bound) >= least[:, None])
+            yield from directory.by_run(batch, ~directory.first(bound, k) & hopeful)
 
     start = queries.select("rep", "vector").mapInPandas(nearest, WANTED)
     seeds = stored(_expand(start, index, directory, pivots.largest, k), "topk-seeds")
@@ -224,7 +267,7 @@ def _expand(wanted: DataFrame, index: DataFrame, directory: Directory, largest:
 
     def meet(queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(entries):
-            return pd.DataFrame({"rep": [], "score": [], "ids": []})
+            return pd.DataFrame({"rep": [], "score": [], "ids": []}, dtype=object)
         exact, lowest = (np.float64, -np.inf) if largest < 2**53 else (np.int64, np.iinfo(np.int64).min) if largest < 2**63 else (object, 0)
         a, b = np.stack(queries["vector"]).astype(exact), np.stack(entries["vector"]).astype(exact)
         scores, opened = np.full((len(a), len(b)), lowest, exact), np.zeros((len(a), len(b)), bool)

@@ -328,6 +328,44 @@ def test_top_k_of_odd_vectors(spark, monkeypatch, block, queries_at_once):
     assert topk.top_k(frame.where("vec_id < 0")).count() == 0
 
 
+def share_compared(rows, k=21):
+    """Part of all pairs of query and vector that a search compares: the first annuli, then those that may hold better ones."""
+    index, pivots = topk.build(rows, k)
+    directory, held = topk.Directory(index, pivots), index.select("vector", "annulus").toPandas()
+    vectors, annulus = np.stack(held["vector"]), np.searchsorted(directory.annuli, held["annulus"].to_numpy())
+    queries = vectors[::20]
+    bound = directory.bounds(pivots.of_query(queries))
+    first = directory.first(bound, k)
+    scores = np.where(first[:, annulus], queries.astype(float) @ vectors.T, -np.inf)
+    opened = first | (pivots.best_score(queries, bound) >= np.sort(scores, axis=1)[:, [-k]])
+    return (opened @ directory.sizes).sum() / (len(queries) * len(vectors)), len(directory.annuli)
+
+
+def test_top_k_prunes_clustered_vectors(spark):
+    """Vectors around 40 centres; a larger table has more annuli."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    centres *= 4 / np.linalg.norm(centres, axis=1)[:, None]
+    found = []
+    for n in (2000, 8000):
+        near = centres[rng.integers(0, 40, n)] + 0.15 * rng.normal(size=(n, 16))
+        rows = topk.quantised(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(near)], "vec_id long, embedding array<double>"))
+        found.append(share_compared(rows))
+    assert max(share for share, _ in found) < 0.1 and found[1][1] > found[0][1]
+
+
+def test_no_bound_excludes_a_better_vector(spark):
+    rng = np.random.default_rng(6)
+    lengths = rng.lognormal(size=(400, 1))
+    rows = topk.quantised(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 5)) * lengths)], "vec_id long, embedding array<double>"))
+    index, pivots = topk.build(rows)
+    directory, held = topk.Directory(index, pivots), index.select("vector", "annulus").toPandas()
+    vectors = np.stack(held["vector"])
+    best = pivots.best_score(vectors, directory.bounds(pivots.of_query(vectors)))
+    annulus = np.searchsorted(directory.annuli, held["annulus"].to_numpy())
+    assert (vectors @ vectors.T <= best[:, annulus]).all()
+
+
 ODD_URLS = [None, "", "no scheme", "http://", "HTTP://A.ORG/", "http://org/x", "x://A.b.Example.ORG/es/?q#f", "http://a.com/fr/", "http://a.com?/fr/", "a://b://c.org/",
             "http://example.org/en/100", "http://example.org/e", "http://spam-farm.example.net", "http://x.spam-farm.example.net/fr/", "http://notspam-farm.example.org",
             "http://" + "a." * 3000 + "com/de/", "http://a.com/de/" + "x" * 20_000, "http://a.com/de/", "http://a.com/de/"]

@@ -381,8 +381,9 @@ def _hashed(edits: DataFrame, rows: DataFrame) -> DataFrame:
     texts = rows.select("conv", "turn", "role", *_identity(rows), "text")
     none = [F.lit(None).cast(t).alias(c) for c, t in (("lead", "string"), ("new_role", "string"), ("tail", "string"), ("first", "boolean"), ("last", "boolean"))]
     both = edits.withColumn("text", F.lit(None).cast("string")).unionByName(_thinned(texts).select("*", *none))
+    # an edit and its text are told apart by the sort only: a bound between them would part them
     order = [*ORDER, F.col("text").isNotNull()]
-    passed = both.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(lambda batches: _batches(assemble(batches), schema, 256), HASHED)
+    passed = both.repartitionByRange(*ORDER).sortWithinPartitions(*order).mapInArrow(lambda batches: _batches(assemble(batches), schema, 256), HASHED)
     passed = stored(passed, "repair-hashed")
     blocks = passed.where("sha256 IS NULL").repartition("conv").sortWithinPartitions("conv", "pid", "seq")
     rest = blocks.mapInArrow(lambda batches: _batches(chained(batches), schema, 256), HASHED)

@@ -136,6 +136,24 @@ def test_one_conversation_holds_most_rows(spark, monkeypatch):
     compare(repair.repair(frame).collect(), rows)
 
 
+@pytest.mark.parametrize("size", [512, 3])
+def test_bounds_of_tasks_part_no_edit_from_its_text(spark, monkeypatch, size):
+    """Every conversation comes once and whole, also where each task holds a few rows only."""
+    monkeypatch.setattr(repair, "SPAN", size)
+    draw = random.Random(6)
+    rows = [(i, j, draw.choice(["user", "assistant"]), f"row {j} of {i}" + draw.choice([".", "", "!"])) for i in range(40) for j in range(draw.randrange(1, 9))]
+    rows += odd(60, 5) + [(50, i, draw.choice(["user", "assistant"]), f"text {i}.") for i in range(120)]
+    wanted = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "24"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        compare(repair.repair(spark.createDataFrame(rows, TABLE)).collect(), rows)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def full_cyk(entries):
     """Every split of every span."""
     n, cell = len(entries), {}

@@ -8,13 +8,16 @@ The fast path is the identity map: for every A id the B id of the same bytes, an
 vocabulary. A group of one token on either side is such a pair, so it is counted in a vector of that length, one
 per task; the vectors are summed by id. Only the other pairs, of irregular groups, are shuffled as pairs: each
 batch of documents names its distinct ones with their number of documents, the sums are joined back to the
-batches that asked, and a batch works out its documents from that answer and the summed vector. So a frequent
-pair moves once a batch, not once a document, and texts are tokenised once and never shuffled.
+batches that asked, and a batch meets its answer as one group and works out its documents from that and the summed
+vector. So a frequent pair moves once a batch, not once a document, and texts are tokenised once and never shuffled.
 
 Memory: a task holds one batch (`BATCH_DOCS` documents, or `BATCH_CHARS` characters and the document that passes
 them) and vectors of A's vocabulary; two such vectors, document counts and greatest counts by A id, are all that
-the driver sees. Equal words are encoded once per batch by B, which is right because no piece of a model that is
-handled so crosses a space; other models encode whole texts.
+the driver sees. What Spark holds is rows of one document (an identity pair by its A id, another by its place in what
+the batch asks for) or of `ROW_PAIRS` asked pairs, so its buffers, which count rows, stay small; texts come to Python
+in Arrow batches of `ARROW_BYTES`, and a batch and its answer as one. B splits `SPLIT_CHARS` characters at a time and
+remembers their words, which is right because no piece of a model that is handled so crosses a space; other models
+encode whole texts.
 
 Defined results: a NULL or empty text, and one whose joined token bytes of A or B differ from space and text, has
 no tokens, zeros and an empty `groups_sha256`. Repeated rows are documents of their own. Names of special tokens
@@ -27,12 +30,15 @@ import functools
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions.scratch import stored
@@ -40,13 +46,17 @@ from parcelflow.llm import packing
 
 VOCABULARY_A, RANKS_A, MODEL_B = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 BATCH_DOCS, BATCH_CHARS = 2000, 4_000_000
-#: Words of tokenizer B that a worker remembers; when full, it starts anew.
-WORDS_KEPT = 200_000
+#: Characters of whole texts that tokenizer B splits into words at once; words that a worker remembers, when there are more it starts anew.
+SPLIT_CHARS, WORDS_KEPT = 500_000, 100_000
+#: Bytes of an Arrow batch of texts, unless the session names its own; a longer text is a batch of its own.
+ARROW_BYTES = 8 << 20
+#: Asked pairs in one row.
+ROW_PAIRS = 10_000
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
-#: One row per batch: lists over its documents; over their distinct linked pairs, in order of the documents (`key`
-#: and the `times` a document holds it, `held` pairs a document); and over the batch's distinct irregular pairs.
-#: A row with a negative batch is the vector of a task: A ids and their numbers of documents.
-BATCH = "batch long, doc_id array<long>, groups_sha256 array<string>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, held array<int>, key array<long>, times array<int>, asked array<long>, asked_docs array<long>"
+#: A row is a document, with its distinct linked pairs and how often it holds each: identity pairs by their A id (`same`), irregular
+#: ones by their place among the sorted pairs of the batch (`odd`). Or, without a digest, pairs that its batch asks for and their numbers
+#: of documents in it; or, with a negative batch, the vector of a task: A ids and their numbers of documents.
+BATCH = "batch long, doc_id long, groups_sha256 string, n_a long, n_b long, n_groups long, n_links long, same array<int>, same_times array<int>, odd array<int>, odd_times array<int>, pair array<long>, docs array<long>"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -78,18 +88,36 @@ class PieceEncoder:
         self.is_byte = [self.model.is_byte(i) for i in range(size)]
         self.bytes = [bytes([int(p[1:-1], 16)]) if b else p.replace("▁", " ").encode() for p, b in zip(pieces, self.is_byte, strict=True)]
         self.by_word = not any(re.search("[^▁]▁", p) for p, b in zip(pieces, self.is_byte, strict=True) if not b)
-        self.words: dict[str, list[int]] = dict.fromkeys(" ▁", [self.model.piece_to_id("▁")])
+        self.space = array("i", [self.model.piece_to_id("▁")]).tobytes()
+        self.words: dict[str, bytes] = dict.fromkeys(" ▁", self.space)
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text. A word is a run of spaces (U+2581 is one for the model) and what follows up to the next."""
-        if not self.by_word:
-            return [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
-        split = [re.findall("[ ▁]*[^ ▁]+|[ ▁]+", " " + text) for text in texts]
-        if len(self.words) > WORDS_KEPT:
-            self.words = {space: self.words[space] for space in " ▁"}
-        fresh = list({word for words in split for word in words} - self.words.keys())
-        self.words.update(zip(fresh, self.model.encode([word[1:] for word in fresh], num_threads=1), strict=True))
-        return [np.array([i for word in words for i in self.words[word]], np.int64) for words in split]
+        for some in slices(texts, SPLIT_CHARS):
+            if not self.by_word:
+                yield from (np.array(ids, np.int64) for ids in self.model.encode(some, num_threads=1))
+                continue
+            split = [re.findall("[ ▁]*[^ ▁]+|[ ▁]+", " " + text) for text in some]
+            if len(self.words) > WORDS_KEPT:
+                self.words = dict.fromkeys(" ▁", self.space)
+            fresh = list({word for words in split for word in words} - self.words.keys())
+            ids = self.model.encode([word[1:] for word in fresh], num_threads=1)
+            self.words.update((word, array("i", x).tobytes()) for word, x in zip(fresh, ids, strict=True))
+            for words in split:
+                yield np.frombuffer(b"".join([self.words[word] for word in words]), np.int32).astype(np.int64)
+
+
+def slices(texts: list[str], chars: int) -> Iterator[list[str]]:
+    """The texts in order, each list at an end with the text that brings it to so many characters."""
+    some, held = [], 0
+    for text in texts:
+        some.append(text)
+        held += len(text)
+        if held >= chars:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
 
 
 class Aligner:
@@ -135,25 +163,28 @@ class Aligner:
         return hashlib.sha256("".join([self.names[i] for i in ordered.tolist()]).encode()).hexdigest()
 
     def batch(self, number: int, doc_ids: list, texts: list[str], vector: np.ndarray) -> dict:
-        """A row of type `BATCH` for these documents; `vector` gains a document for every identity pair."""
-        kept = [i for i, text in enumerate(texts) if text]
-        ids_b = dict(zip(kept, self.encode_b([texts[i] for i in kept]), strict=True))
-        row = {"batch": number, "doc_id": doc_ids, "groups_sha256": [], **{c: [] for c in COUNTS}, "held": []}
-        keys, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, text in enumerate(texts):
-            found = self.align(text, np.frombuffer(self.encode_a(" " + text), "<u4").astype(np.int64), ids_b[i]) if i in ids_b else None
-            counts, digest, key, count = found or ([0, 0, 0, 0], "", keys[0], times[0])
+        """Columns of `BATCH` for these documents, lists as their values and numbers of values; `vector` gains a document for every identity pair."""
+        ids_b = self.encode_b([text for text in texts if text])
+        found = {"batch": number, "doc_id": doc_ids, "groups_sha256": [], **{c: [] for c in COUNTS}}
+        held, keys, times = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for text in texts:
+            aligned = self.align(text, np.frombuffer(self.encode_a(" " + text), "<u4").astype(np.int64), next(ids_b)) if text else None
+            counts, digest, key, count = aligned or ([0, 0, 0, 0], "", keys[0], times[0])
             for c, n in zip(COUNTS, counts, strict=True):
-                row[c].append(n)
-            row["groups_sha256"].append(digest)
-            row["held"].append(len(key))
+                found[c].append(n)
+            found["groups_sha256"].append(digest)
+            held.append(len(key))
             keys.append(key)
             times.append(count)
-        key = np.concatenate(keys)
+        key, times, ends = np.concatenate(keys), np.concatenate(times), np.cumsum(held)
         identity = self.same[key >> 32] == (key & 0xFFFFFFFF)
-        vector += np.bincount(key[identity] >> 32, minlength=len(vector))
-        asked, docs = np.unique(key[~identity], return_counts=True)
-        return row | {"key": key, "times": np.concatenate(times), "asked": asked, "asked_docs": docs}
+        same_held = np.diff(np.concatenate(([0], np.cumsum(identity)))[ends], prepend=0)
+        same = key[identity] >> 32
+        vector += np.bincount(same, minlength=len(vector))
+        asked, odd, docs = np.unique(key[~identity], return_inverse=True, return_counts=True)
+        found |= {"same": (same, same_held), "same_times": (times[identity], same_held)}
+        found |= {"odd": (odd, held - same_held), "odd_times": (times[~identity], held - same_held)}
+        return found | {"asked": asked, "asked_docs": docs}
 
 
 @functools.cache
@@ -171,11 +202,48 @@ def _arrow(spark, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def _rows(schema: pa.Schema, size: int, **columns) -> pa.RecordBatch:
+    """So many rows; a column that is not given is NULL, one number is repeated, and values with numbers of values are lists."""
+    made = []
+    for field in schema:
+        column = columns.get(field.name)
+        if isinstance(column, tuple):
+            values, held = column
+            made.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(held))), pa.int32()), pa.array(values, field.type.value_type), type=field.type))
+        else:
+            made.append(pa.array(column if isinstance(column, list) else [column] * size, field.type))
+    return pa.RecordBatch.from_arrays(made, schema=schema)
+
+
+def _pair_rows(schema: pa.Schema, number: int, pairs: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
+    held = [min(ROW_PAIRS, len(pairs) - at) for at in range(0, len(pairs), ROW_PAIRS)]
+    return _rows(schema, len(held), batch=number, pair=(pairs, held), docs=(docs, held))
+
+
+@contextmanager
+def _arrow_bytes(spark: SparkSession) -> Iterator[None]:
+    """What runs inside hands Python Arrow batches of `ARROW_BYTES`, unless the session names its own size."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name, None)
+    if own is None:
+        spark.conf.set(name, str(ARROW_BYTES))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(name)
+
+
 def align(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = None, model: str | None = None) -> DataFrame:
     """Columns of `RESULT` for every document."""
     spark = docs.sparkSession
     batch_schema, result_schema = _arrow(spark, BATCH), _arrow(spark, RESULT)
 
+    def rows(found: dict) -> Iterator[pa.RecordBatch]:
+        yield _rows(batch_schema, len(found["doc_id"]), **found)
+        if len(found["asked"]):
+            yield _pair_rows(batch_schema, found["batch"], found["asked"], found["asked_docs"])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(vocabulary, ranks, model)
         task = TaskContext.get().partitionId()
@@ -187,44 +255,41 @@ def align(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = No
                 texts.append(text.as_py() or "")
                 chars += len(texts[-1])
                 if len(ids) >= BATCH_DOCS or chars >= BATCH_CHARS:
-                    yield pa.RecordBatch.from_pylist([own.batch(number, ids, texts, vector)], schema=batch_schema)
+                    yield from rows(own.batch(number, ids, texts, vector))
                     number, ids, texts, chars = number + 1, [], [], 0
         if ids:
-            yield pa.RecordBatch.from_pylist([own.batch(number, ids, texts, vector)], schema=batch_schema)
+            yield from rows(own.batch(number, ids, texts, vector))
         found = np.flatnonzero(vector)
         if len(found):
-            yield pa.RecordBatch.from_pylist([{"batch": -1 - task, "key": found, "times": vector[found]}], schema=batch_schema)
+            yield _pair_rows(batch_schema, -1 - task, found, vector[found])
 
-    batches = stored(docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(cut, BATCH), "align-batches")
-    vectors = batches.where("batch < 0").select(F.explode(F.arrays_zip("key", "times")).alias("x"))
-    identity = {r.id: r.n for r in vectors.groupBy(F.col("x.key").alias("id")).agg(F.sum("x.times").alias("n")).collect()}
-    asked = batches.where("batch >= 0").select("batch", F.explode(F.arrays_zip("asked", "asked_docs")).alias("x"))
-    asked = asked.select("batch", F.col("x.asked").alias("pair"), F.col("x.asked_docs").alias("docs"))
+    with _arrow_bytes(spark):
+        batches = stored(docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(cut, BATCH), "align-batches")
+    listed = batches.select("batch", F.explode(F.arrays_zip("pair", "docs")).alias("x")).select("batch", "x.pair", "x.docs")
+    identity = {r.id: r.n for r in listed.where("batch < 0").groupBy(F.col("pair").alias("id")).agg(F.sum("docs").alias("n")).collect()}
+    asked = listed.where("batch >= 0")
     pairs = stored(asked.groupBy("pair").agg(F.sum("docs").alias("n")), "align-pairs")
     best = {r.id: r.n for r in pairs.groupBy(F.shiftright("pair", 32).alias("id")).agg(F.max("n").alias("n")).collect()}
-    answers = asked.join(pairs, "pair").groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("pair", "n"))).alias("answer"))
-    answers = stored(answers.select("batch", F.col("answer.pair").alias("pair"), F.col("answer.n").alias("n")), "align-answers")
-
-    def finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(vocabulary, ranks, model)
-        shared, highest = np.zeros(len(own.bytes_a), np.int64), np.zeros(len(own.bytes_a), np.int64)
-        shared[list(identity)] = list(identity.values())
-        highest[list(best)] = list(best.values())
-        highest = np.maximum(highest, shared)
-        for several in rows:
-            for row in range(several.num_rows):
-                of = {name: several.column(name)[row].values for name in several.schema.names if name != "batch"}
-                key, times, held = (of[c].to_numpy(zero_copy_only=False) for c in ("key", "times", "held"))
-                count = shared[key >> 32]
-                irregular = own.same[key >> 32] != (key & 0xFFFFFFFF)
-                if irregular.any():
-                    pair, n = (of[c].to_numpy(zero_copy_only=False) for c in ("pair", "n"))
-                    count[irregular] = n[np.searchsorted(pair, key[irregular])]
-                ends = np.cumsum(held)
-                total, most = (np.concatenate(([0], np.cumsum(x))) for x in (times * count, times * (count == highest[key >> 32])))
-                sums = {"n_best": most, "count_sum": total}
-                columns = [pa.array(sums[c][ends] - sums[c][ends - held]) if c in sums else of[c] for c in result_schema.names]
-                yield pa.RecordBatch.from_arrays(columns, schema=result_schema)
-
-    lists = ["batch", "doc_id", "groups_sha256", *COUNTS, "held", "key", "times"]
-    return batches.where("batch >= 0").select(*lists).join(answers, "batch", "left").mapInArrow(finish, RESULT)
+    shared, highest = np.zeros((2, 1 + max([0, *identity, *best])), np.int64)
+    shared[list(identity)] = list(identity.values())
+    highest[list(best)] = list(best.values())
+    highest = np.maximum(highest, shared)
+
+    def finish(found: pa.Table, answer: pa.Table) -> pa.Table:
+        pair, n = (answer.column(c).to_numpy() for c in ("pair", "n"))
+        order = np.argsort(pair)
+        pair, n = pair[order] >> 32, n[order]
+        sums = {"n_best": 0, "count_sum": 0}
+        for kind, count, most in (("same", shared, highest), ("odd", n, highest[pair])):
+            of, times = (pc.list_flatten(found.column(c)).to_numpy() for c in (kind, f"{kind}_times"))
+            held = pc.list_value_length(found.column(kind)).to_numpy()
+            ends = np.cumsum(held)
+            for c, x in (("n_best", times * (count == most)[of]), ("count_sum", times * count[of])):
+                total = np.concatenate(([0], np.cumsum(x)))
+                sums[c] = sums[c] + total[ends] - total[ends - held]
+        return pa.table([pa.array(sums[c]) if c in sums else found.column(c) for c in result_schema.names], schema=result_schema)
+
+    lists = ["batch", "doc_id", "groups_sha256", *COUNTS, "same", "same_times", "odd", "odd_times"]
+    answers = asked.join(pairs, "pair").select(F.col("batch").alias("asked_by"), "pair", "n")
+    found = batches.where(batches.groups_sha256.isNotNull()).select(*lists)
+    return found.groupBy("batch").cogroup(answers.groupBy("asked_by")).applyInArrow(finish, RESULT)

@@ -6,9 +6,11 @@ import random
 from collections import Counter, defaultdict
 
 import public_tokenizers as public
+import pyarrow as pa
 import sentencepiece
 from cases import ROWS, SF, docs
 from parcelflow.llm import alignment, common, queries
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 FIELDS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -111,6 +113,56 @@ def test_frequent_text_is_asked_for_once_a_batch(spark):
     assert len(row["asked"]) == len(set(row["asked"].tolist())) < 60 and max(row["asked_docs"]) >= 300
 
 
+def test_no_row_that_spark_holds_grows_with_a_batch(spark, monkeypatch):
+    """Rows of a batch's documents in one fill buffers that count rows: each holds one document, or what a batch asks for."""
+    rows = [(i, f"Unaufhörlich rauschte Wasserfall {i % 7}", "de", "a", 0) for i in range(900)]
+    tables, name = {}, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def stored(df, table, write=alignment.stored):
+        tables[table] = spark.conf.get(name, None), write(df, table)
+        return tables[table][1]
+
+    monkeypatch.setattr(alignment, "stored", stored)
+    compare(alignment.align(docs(spark, rows).coalesce(1)).collect(), rows)
+    set_to, batches = tables["align-batches"]
+    values = sum(F.greatest(F.size(c), F.lit(0)) for c, kind in batches.dtypes if kind.startswith("array"))
+    assert batches.select(values.alias("n")).agg(F.max("n")).first()[0] < 400
+    assert set_to == str(alignment.ARROW_BYTES) and spark.conf.get(name, None) is None
+
+
+def test_texts_come_in_small_arrow_batches(spark):
+    texts, name = docs(spark, [(i, "x" * 1_000_000, "en", "a", 0) for i in range(40)]).coalesce(1), "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    with alignment._arrow_bytes(spark):
+        found = [r.n for r in texts.select("text").mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 40_000_000 and max(found) <= alignment.ARROW_BYTES + 2_000_000
+    spark.conf.set(name, "1m")
+    try:
+        with alignment._arrow_bytes(spark):
+            assert spark.conf.get(name) == "1m"
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_only_documents_without_tokens(spark):
+    rows = [(1, None, "en", "a", 0), (None, "", "en", "a", 0), (1, None, "en", "a", 0)]
+    compare(alignment.align(docs(spark, rows)).collect(), rows)
+
+
+def test_words_kept_do_not_grow_with_a_batch(monkeypatch):
+    monkeypatch.setattr(alignment, "WORDS_KEPT", 300)
+    monkeypatch.setattr(alignment, "SPLIT_CHARS", 1000, raising=False)
+    own = alignment.PieceEncoder(public.path(alignment.MODEL_B))
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(500)]
+    assert [x.tolist() for x in own(texts)] == own.model.encode(texts)
+    assert len(own.words) < 1000
+
+
 def test_words_encode_as_the_whole_text():
     own, draw = alignment.aligner().encode_b, random.Random(5)
     assert own.by_word

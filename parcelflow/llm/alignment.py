@@ -47,7 +47,7 @@ from parcelflow.llm import packing
 VOCABULARY_A, RANKS_A, MODEL_B = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 BATCH_DOCS, BATCH_CHARS = 2000, 4_000_000
 #: Characters of whole texts that tokenizer B splits into words at once; words that a worker remembers, when there are more it starts anew.
-SPLIT_CHARS, WORDS_KEPT = 500_000, 100_000
+SPLIT_CHARS, WORDS_KEPT = 500_000, 200_000
 #: Bytes of an Arrow batch of texts, unless the session names its own; a longer text is a batch of its own.
 ARROW_BYTES = 8 << 20
 #: Asked pairs in one row.
@@ -104,7 +104,7 @@ class PieceEncoder:
             ids = self.model.encode([word[1:] for word in fresh], num_threads=1)
             self.words.update((word, array("i", x).tobytes()) for word, x in zip(fresh, ids, strict=True))
             for words in split:
-                yield np.frombuffer(b"".join([self.words[word] for word in words]), np.int32).astype(np.int64)
+                yield np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.int32).astype(np.int64)
 
 
 def slices(texts: list[str], chars: int) -> Iterator[list[str]]:
@@ -140,7 +140,7 @@ class Aligner:
             return None
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         start_a, start_b = end_a - self.size_a[a], end_b - self.size_b[b]
-        cuts = end_a[np.isin(end_a, end_b, assume_unique=True)]
+        cuts = end_a[end_b[np.searchsorted(end_b, end_a)] == end_a]  # the last ends are equal, so every place exists
         first, after = np.searchsorted(end_b, start_a, side="right"), np.searchsorted(start_b, end_a, side="left")
         width = after - first
         of_b = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(first, width)
@@ -155,8 +155,9 @@ class Aligner:
         """SHA-256 of the groups as text: of each group A's ids, then B's."""
         sides = []
         for ids, ends, last in ((a, end_a, 1), (b, end_b, 2)):
-            closing = np.where(np.isin(ends, cuts, assume_unique=True), last, 0)
-            sides.append((4 * ids + closing, 2 * np.searchsorted(cuts, ends, side="left") + (last == 2)))
+            group = np.searchsorted(cuts, ends)
+            closing = np.where(cuts[group] == ends, last, 0)
+            sides.append((4 * ids + closing, 2 * group + (last == 2)))
         names, places = (np.concatenate(x) for x in zip(*sides, strict=True))
         ordered = names[np.argsort(places, kind="stable")]
         ordered[-1] += 1  # nothing after the last id
